@@ -11,6 +11,7 @@ import xml.etree.ElementTree as ET
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mentiongrid.fixed_values import NAMESPACES
 from mentiongrid.functions.ids import article_id_from_file, is_page_item, repair_namespace
@@ -29,12 +30,16 @@ ISSUE_FIELDS = [
     ("newspaper_spatial", ".//dcterms:spatial", "document"),
 ]
 
-_ARTICLE_TYPE = "title string, text string, parse_error string"
-_ISSUE_TYPE = (
-    "newspaper_id string, "
-    + ", ".join(f"{name} string" for name, _, _ in ISSUE_FIELDS)
-    + ", items array<struct<article_id:string,article_subject:string>>, parse_error string"
-)
+def _strings(*names):
+    return [T.StructField(n, T.StringType()) for n in names]
+
+
+_ARTICLE_TYPE = T.StructType(_strings("title", "text", "parse_error"))
+_ISSUE_TYPE = T.StructType([
+    *_strings("newspaper_id", *(name for name, _, _ in ISSUE_FIELDS)),
+    T.StructField("items", T.ArrayType(T.StructType(_strings("article_id", "article_subject")))),
+    *_strings("parse_error"),
+])
 
 
 @F.pandas_udf(_ARTICLE_TYPE)
