@@ -107,14 +107,8 @@ def _emit(nodes, ascii_mode: bool, before=(), after=()) -> str:
     out = []
     for i, (op, arg) in enumerate(nodes):
         left, right = [*before, *nodes[:i]], [*nodes[i + 1:], *after]
-        if op is sre.LITERAL:
-            out.append(_char(arg))
-        elif op is sre.NOT_LITERAL:
-            out.append(f"[^{_char(arg)}]")
-        elif op is sre.ANY:
-            out.append("[^\\n]")
-        elif op is sre.IN:
-            out.append(_class(arg))
+        if op in (sre.LITERAL, sre.NOT_LITERAL, sre.ANY, sre.IN):
+            out.append(_emit_char(op, arg, ascii_mode))
         elif op is sre.BRANCH:
             out.append("(?:" + "|".join(_emit(b, ascii_mode, left, right) for b in arg[1]) + ")")
         elif op is sre.SUBPATTERN:
@@ -130,9 +124,36 @@ def _emit(nodes, ascii_mode: bool, before=(), after=()) -> str:
     return "".join(out)
 
 
+def _emit_char(op, arg, ascii_mode: bool) -> str:
+    """Java text for one character. Java's Unicode folding also equates i with U+0130 and
+    U+0131, which the pattern modes do not, so those two are decided without folding."""
+    if op is sre.ANY:
+        return "[^\\n]"
+    if op is sre.LITERAL:
+        letter = chr(arg)
+        return "(?-iu:[iI])" if not ascii_mode and letter in "iI" else _char(arg)
+    members = [(sre.NEGATE, None), (sre.LITERAL, arg)] if op is sre.NOT_LITERAL else list(arg)
+    negated = members[0][0] is sre.NEGATE
+    text = _class(members)
+    if ascii_mode or not _covers_i(members):
+        return text
+    return f"(?:{text}|(?-iu:[\u0130\u0131]))" if negated else f"(?:(?-iu:(?![\u0130\u0131])){text})"
+
+
+def _covers_i(members) -> bool:
+    """The class names i, but neither of its two dotted or dotless relatives."""
+    def has(codes):
+        return any(
+            (op is sre.LITERAL and arg in codes) or (op is sre.RANGE and any(arg[0] <= c <= arg[1] for c in codes))
+            for op, arg in members
+        )
+
+    return has((0x69, 0x49)) and not has((0x130, 0x131))
+
+
 def _emit_repeat(low, high, item, ascii_mode: bool) -> str:
     single = len(item) == 1 and item[0][0] in (sre.LITERAL, sre.NOT_LITERAL, sre.ANY, sre.IN)
-    body = _emit(item, ascii_mode) if single else f"(?:{_emit(item, ascii_mode)})"
+    body = _emit(item, ascii_mode) if single and ascii_mode else f"(?:{_emit(item, ascii_mode)})"
     if (low, high) == (0, 1):
         return body + "?"
     if high is sre.MAXREPEAT and low < 2:

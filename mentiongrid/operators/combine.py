@@ -36,9 +36,8 @@ def combine(article_meta: DataFrame, article_texts: DataFrame, newspapers: DataF
     adaptive execution splits an issue (or source) that holds a large share of the articles.
     """
     issues = one_per_key(newspapers.filter(in_years("newspaper_date", start, end)), "newspaper_id")
-    wanted = one_per_key(article_meta.join(issues.select("newspaper_id"), "newspaper_id", "left_semi"), "article_id")
-    with_issue = wanted.join(issues, "newspaper_id")
-    return with_issue.join(one_per_key(article_texts, "article_id"), "article_id", "left")
+    wanted = one_per_key(article_meta.join(issues, "newspaper_id"), "article_id")
+    return wanted.join(one_per_key(article_texts, "article_id"), "article_id", "left")
 
 
 def partitioned(combined: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from mentiongrid.functions.patterns import fold_case, near_pattern, near_pattern_column
 from mentiongrid.operators.dictionary import EVERYWHERE, Term, compile_term
-from mentiongrid.operators.matching import match_terms, mention, with_mentioned_ids
+from mentiongrid.operators.matching import match_terms, mention, mentioned_ids, with_keys
+from mentiongrid.session import local_table
 
 TEXT = "article_text"
 DATE = "newspaper_date"
@@ -47,7 +48,8 @@ def mention_counts(
     large share of all articles is reduced before the shuffle.
     """
     by = list(by)
-    flagged = with_mentioned_ids(articles.select(*by, text), text, topics, "topic_ids", unicode_case)
+    keyed = with_keys(articles.select(*by, text), text, places, topics, unicode_case=unicode_case)
+    flagged = keyed.withColumn("topic_ids", mentioned_ids(text, topics))
     hits = match_terms(flagged, places, text, unicode_case, keep_text=max_chars > 0).withColumnRenamed("term_id", "place_id")
     if len(topics) <= WIDE_TOPICS:
         return _counts_wide(hits, topics, by, max_chars, text, unicode_case)
@@ -72,7 +74,7 @@ def _counts_wide(hits, topics, by, max_chars, text, unicode_case):
 
 def _counts_long(hits, topics, by, max_chars, text, unicode_case):
     """As the wide form, but counting (place, topic) rows; the mark -1 counts the place itself."""
-    bodies = hits.sparkSession.createDataFrame([(t.id, t.body) for t in topics], "topic_id int, topic_body string")
+    bodies = local_table(hits.sparkSession, [(t.id, t.body) for t in topics], {"topic_id": "int", "topic_body": "string"})
     rows = hits.select("*", F.explode(F.concat(F.array(F.lit(-1)), "topic_ids")).alias("topic_id"))
     if max_chars:
         near = _near(F.col("topic_body"), text, max_chars, unicode_case)

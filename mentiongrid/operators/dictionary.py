@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentiongrid.functions.patterns import ALWAYS, Key, PatternError, index_keys, java_body, java_pattern
+from mentiongrid.session import local_table
 
 
 @dataclass(frozen=True)
@@ -101,7 +102,6 @@ def select_pattern(dictionary: DataFrame, contains: str, column: str = "Disease"
     return rows[0][0]
 
 
-def terms_table(spark: SparkSession, terms: list[Term], columns: dict[str, str]) -> DataFrame:
-    """(term_id, *attributes) of compiled terms; `columns` maps attribute names to SQL types."""
-    schema = ", ".join(["term_id int", *(f"`{name}` {kind}" for name, kind in columns.items())])
-    return spark.createDataFrame([(t.id, *t.attributes) for t in terms], schema)
+def terms_table(spark: SparkSession, terms: list[Term], key: str, columns: dict[str, str]) -> DataFrame:
+    """(key, *attributes) of compiled terms; `columns` maps attribute names to types."""
+    return local_table(spark, [(t.id, *t.attributes) for t in terms], {key: "int", **columns})

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +17,11 @@ from mentiongrid.functions.patterns import (
     ALWAYS, INSIDE, RUN, RUN_START, WORD, WORD_START, Key, fold_case,
 )
 from mentiongrid.operators.dictionary import Term
+from mentiongrid.session import local_table
 
-# Up to this many terms a plain expression per term is cheaper than the word lookup.
-SMALL_DICTIONARY = 32
+# Up to this many terms, flags are one expression per term; beyond it, one expression over
+# the dictionary as a constant.
+SMALL_DICTIONARY = 100
 # Up to this many keys the lookup set is rebuilt per article; beyond it words are joined.
 MAX_KEYS_IN_SET = 20_000
 # A dictionary up to this size is broadcast; a larger one is joined as Spark sees fit.
@@ -58,30 +59,26 @@ def with_folded(df: DataFrame, text: str, unicode_case: bool = False) -> DataFra
 
 # Stored keys carry the mark of their kind, then their literal.
 _MARKS = {WORD: "", WORD_START: "^", RUN: "-", RUN_START: "/", INSIDE: "~", ALWAYS: "*"}
-# The units a text is split into: their characters, the kind of a whole unit and of its start.
-_UNITS = (("a-z0-9_", WORD, WORD_START), ("a-z", RUN, RUN_START))
+# The units a text is split into: their separator, the kind of a whole unit and of its start.
+# (`\W` is ASCII here; written out as a class with an underscore, Java is six times slower.)
+_UNITS = ((r"\W+", WORD, WORD_START), ("[^a-z]+", RUN, RUN_START))
 
 
 def _stored(key: Key) -> str:
     return _MARKS[key.kind] + key.literal
 
 
-def _key_rows(terms: list[Term]) -> list[tuple[Key, Term, list[str]]]:
-    """(key, term, the term's earlier keys); a term's certain keys come before the others."""
-    return [(key, term, [_stored(k) for k in term.keys[:i]]) for term in terms for i, key in enumerate(term.keys)]
-
-
 def _text_keys(folded: Column, keys: list[Key]) -> Column:
     """The array of stored dictionary keys found in a folded text."""
     parts = []
-    for chars, whole, start in _UNITS:
+    for separator, whole, start in _UNITS:
+        units = F.split(folded, separator)
         wholes = [k.literal for k in keys if k.kind == whole]
         if wholes:
-            parts.append(_mark(whole, _common(F.split(folded, f"[^{chars}]+"), wholes)))
+            parts.append(_mark(whole, _common(units, wholes)))
         for length in sorted({len(k.literal) for k in keys if k.kind == start}):
             starts = [k.literal for k in keys if k.kind == start and len(k.literal) == length]
-            cut = F.regexp_replace(folded, f"([{chars}]{{{length}}})[{chars}]*", "$1")
-            parts.append(_mark(start, _common(F.split(cut, f"[^{chars}]+"), starts)))
+            parts.append(_mark(start, _common(_starts(units, length), starts)))
     inside = [k for k in keys if k.kind == INSIDE]
     if inside:
         found = (F.when(folded.contains(k.literal), F.lit(_stored(k))) for k in inside)
@@ -93,10 +90,14 @@ def _text_keys(folded: Column, keys: list[Key]) -> Column:
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
+def _starts(units: Column, length: int) -> Column:
+    return F.transform(units, lambda u: F.left(u, F.lit(length)))
+
+
 def _common(units: Column, literals: list[str]) -> Column:
     if len(literals) > MAX_KEYS_IN_SET:
         return F.array_distinct(units)
-    return F.array_intersect(units, F.split(F.lit(" ".join(sorted(literals))), " "))
+    return F.array_intersect(units, _key_list(literals))
 
 
 def _mark(kind: str, literals: Column) -> Column:
@@ -104,22 +105,35 @@ def _mark(kind: str, literals: Column) -> Column:
     return F.transform(literals, lambda x: F.concat(F.lit(mark), x)) if mark else literals
 
 
-def _with_keys(folded: DataFrame, rows) -> DataFrame:
-    keys = sorted({key for key, _, _ in rows})
-    return folded.withColumn(_KEYS, _text_keys(F.col(_FOLDED), keys))
+def with_keys(df: DataFrame, text: str, *dictionaries: list[Term], unicode_case: bool = False) -> DataFrame:
+    """Add the keys of all the dictionaries found in a text, so that it is split only once."""
+    if _KEYS in df.columns:
+        return df
+    keys = sorted({key for terms in dictionaries for term in terms for key in term.keys})
+    found = _text_keys(F.col(_FOLDED), keys) if keys else F.array().cast("array<string>")
+    # Two projections: the folded text is used several times and must be computed once.
+    return with_folded(df, text, unicode_case).withColumn(_KEYS, found).drop(_FOLDED)
 
 
-def _lookup_table(spark, rows) -> DataFrame:
-    """The dictionary by key, as a local relation of known size."""
-    table = pa.table({
-        "_key": pa.array([_stored(k) for k, _, _ in rows], pa.string()),
-        "term_id": pa.array([t.id for _, t, _ in rows], pa.int32()),
-        "term_body": pa.array([t.body for _, t, _ in rows], pa.string()),
-        "_pattern": pa.array([None if k.certain else t.pattern for k, t, _ in rows], pa.string()),
-        "_earlier": pa.array([e for _, _, e in rows], pa.list_(pa.string())),
-    })
-    lookup = spark.createDataFrame(table)
-    return F.broadcast(lookup) if table.nbytes <= MAX_BROADCAST_BYTES else lookup
+def _key_list(keys) -> Column:
+    return F.split(F.lit(" ".join(sorted(keys))), " ")
+
+
+def _has_any(keys: list[str]) -> Column:
+    return F.arrays_overlap(_KEYS, _key_list(keys)) if keys else F.lit(False)
+
+
+def _lookup_table(spark, terms: list[Term]) -> DataFrame:
+    """The dictionary by key; a term's certain keys come before the others."""
+    columns = {"_key": "string", "term_id": "int", "term_body": "string", "_pattern": "string", "_earlier": "array<string>"}
+    rows = [
+        (_stored(key), t.id, t.body, None if key.certain else t.pattern, [_stored(k) for k in t.keys[:i]])
+        for t in terms
+        for i, key in enumerate(t.keys)
+    ]
+    size = sum(len(r[0]) + len(r[2]) + len(r[3] or "") + sum(map(len, r[4])) for r in rows)
+    lookup = local_table(spark, rows, columns)
+    return F.broadcast(lookup) if size <= MAX_BROADCAST_BYTES else lookup
 
 
 def match_terms(df: DataFrame, terms: list[Term], text: str, unicode_case: bool = False, keep_text: bool = False) -> DataFrame:
@@ -128,38 +142,35 @@ def match_terms(df: DataFrame, terms: list[Term], text: str, unicode_case: bool
     Unless `keep_text`, the text column is dropped, and an article whose keys are all
     certain does not carry its text into the candidate rows at all.
     """
-    rows = _key_rows(terms)
-    columns = [c for c in df.columns if c != _FOLDED and (keep_text or c != text)]
-    if not rows:
-        return df.select(*columns, F.lit(0).alias("term_id"), F.lit("").alias("term_body")).limit(0)
-    keyed = _with_keys(with_folded(df, text, unicode_case), rows).drop(_FOLDED)
+    columns = [c for c in df.columns if c != _KEYS and (keep_text or c != text)]
+    keyed = with_keys(df, text, terms, unicode_case=unicode_case)
     if not keep_text:
-        unsure = sorted({_stored(k) for k, _, _ in rows if k.uncertain})
-        needed = F.arrays_overlap(_KEYS, F.split(F.lit(" ".join(unsure)), " ")) if unsure else F.lit(False)
-        keyed = keyed.withColumn(text, F.when(needed, F.col(text)))
+        unsure = {_stored(k) for t in terms for k in t.keys if k.uncertain}
+        keyed = keyed.withColumn(text, F.when(_has_any(unsure), F.col(text)))
     # array_compact keeps Spark from inferring a filter on the array, which would be
     # pushed below the projection and evaluate the keys a second time.
     candidates = keyed.select("*", F.explode(F.array_compact(_KEYS)).alias("_key"))
     # A term found under several keys is taken under the first of them only.
-    matched = candidates.join(_lookup_table(df.sparkSession, rows), "_key").filter(
+    matched = candidates.join(_lookup_table(df.sparkSession, terms), "_key").filter(
         ~F.arrays_overlap(_KEYS, "_earlier")
         & (F.col("_pattern").isNull() | F.rlike(F.col(text), F.col("_pattern")))
     )
     return matched.select(*columns, "term_id", "term_body")
 
 
-def with_mentioned_ids(df: DataFrame, text: str, terms: list[Term], out: str, unicode_case: bool = False) -> DataFrame:
-    """Add the array of the ids of all mentioned terms, computed in place (no extra rows).
+def mentioned_ids(text: str, terms: list[Term]) -> Column:
+    """Array of the ids of all mentioned terms, for articles with keys (`with_keys`)."""
+    if len(terms) > SMALL_DICTIONARY:
+        return _mentioned_in_large(text, terms)
+    tests = []
+    for t in terms:
+        proven = _has_any([_stored(k) for k in t.keys if k.certain])
+        nominated = _has_any([_stored(k) for k in t.keys if k.uncertain])
+        tests.append(F.when(proven | (nominated & F.col(text).rlike(t.pattern)), F.lit(t.id)))
+    return F.array_compact(F.array(*tests)) if tests else F.array().cast("array<int>")
 
-    The folded text stays as a column for the next matching step.
-    """
-    folded = with_folded(df, text, unicode_case)
-    if not terms:
-        return folded.withColumn(out, F.array().cast("array<int>"))
-    if len(terms) <= SMALL_DICTIONARY:
-        tests = [F.when(mention(text, t, F.col(_FOLDED)), F.lit(t.id)) for t in terms]
-        return folded.withColumn(out, F.array_compact(F.array(*tests)))
-    # The dictionary enters the plan as one constant instead of one expression per term.
+
+def _mentioned_in_large(text: str, terms: list[Term]) -> Column:
     entries = [
         {
             "id": t.id,
@@ -170,11 +181,15 @@ def with_mentioned_ids(df: DataFrame, text: str, terms: list[Term], out: str, un
         for t in terms
     ]
     schema = "array<struct<id:int,pattern:string,sure:array<string>,keys:array<string>>>"
-    table = F.from_json(F.lit(json.dumps(entries)), schema)
     hits = F.filter(
-        table,
+        F.from_json(F.lit(json.dumps(entries)), schema),
         lambda t: F.arrays_overlap(F.col(_KEYS), t["sure"])
         | (F.arrays_overlap(F.col(_KEYS), t["keys"]) & F.rlike(F.col(text), t["pattern"])),
     )
-    keyed = _with_keys(folded, _key_rows(terms))
-    return keyed.withColumn(out, F.transform(hits, lambda t: t["id"])).drop(_KEYS)
+    return F.transform(hits, lambda t: t["id"])
+
+
+def with_mentioned_ids(df: DataFrame, text: str, terms: list[Term], out: str, unicode_case: bool = False) -> DataFrame:
+    """Add the array of the ids of all mentioned terms, computed in place (no extra rows)."""
+    keyed = with_keys(df, text, terms, unicode_case=unicode_case)
+    return keyed.withColumn(out, mentioned_ids(text, terms)).drop(_KEYS)

@@ -28,11 +28,8 @@ def flat_counts(articles: DataFrame, terms: Dictionaries, max_chars: int = 0) ->
     """
     spark = articles.sparkSession
     counts = mention_counts(with_year_month(articles), terms.places, terms.topics, max_chars=max_chars)
-    places = terms_table(spark, terms.places, {"location": "string", "cbscode": "int", "amsterdamcode": "int"})
-    topics = terms_table(spark, terms.topics, {"disease": "string"})
-    return database_rows(
-        counts, places.withColumnRenamed("term_id", "place_id"), topics.withColumnRenamed("term_id", "topic_id")
-    )
+    places = terms_table(spark, terms.places, "place_id", {"location": "string", "cbscode": "int", "amsterdamcode": "int"})
+    return database_rows(counts, places, terms_table(spark, terms.topics, "topic_id", {"disease": "string"}))
 
 
 def panel_tables(flat: DataFrame) -> tuple[DataFrame, DataFrame]:

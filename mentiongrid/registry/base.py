@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mentiongrid.operators.dictionary import Term, compile_terms
 from mentiongrid.plans.build_database import Dictionaries, flat_counts
-from mentiongrid.session import materialise, new_folder, spread_small_scan
+from mentiongrid.session import local_table, new_folder, spread_small_scan
 from mentiongrid.sources.sinks import write_by_year
 
 
@@ -132,7 +132,7 @@ NAMES_SQL = "names AS (SELECT location, cbscode, amsterdamcode FROM places)"
 
 def names(spark: SparkSession) -> DataFrame:
     rows = [(name, cbs, ams) for name, _, cbs, ams in PLACES]
-    return spark.createDataFrame(rows, "location string, cbscode int, amsterdamcode int")
+    return local_table(spark, rows, {"location": "string", "cbscode": "int", "amsterdamcode": "int"})
 
 
 # Results that several queries read are stored once per session and input.
@@ -158,7 +158,3 @@ def stored_flat(spark: SparkSession, sf: str) -> DataFrame:
         flat_counts(articles(spark, sf), dictionaries()).write.parquet(path)
 
     return spark.read.parquet(_stored(spark, sf, "flat", write))
-
-
-def round_trip(df: DataFrame, name: str) -> DataFrame:
-    return materialise(df, name)

@@ -6,6 +6,7 @@ from mentiongrid.operators.combine import combine, one_per_key, partitioned
 from mentiongrid.operators.counting import pair_counts, place_counts
 from mentiongrid.operators.panel import complete_panel, mention_rates
 from mentiongrid.operators.reports import join_attributes, with_names
+from mentiongrid.session import local_table
 from mentiongrid.registry.base import (
     ARTICLES, FLAT_SQL, NAMES_SQL, PAIR_PLACE, PAIR_TOPIC, PANEL_SQL, PLACES_SQL, TOPICS,
     articles, names, place_terms, query, stored_flat, table, topic_terms,
@@ -126,8 +127,8 @@ def _g10(spark, sf):
     terms = place_terms()
     year = articles(spark, sf).filter("newspaper_date >= '1834-01-01' and newspaper_date < '1835-01-01'")
     counts = place_counts(year, terms, topic_terms()[0], by=("year",), unicode_case=False)
-    columns = "place_id int, Regex string, location string, cbscode int, amsterdamcode int"
-    dictionary = spark.createDataFrame([(t.id, t.regex, *t.attributes) for t in terms], columns)
+    columns = {"place_id": "int", "Regex": "string", "location": "string", "cbscode": "int", "amsterdamcode": "int"}
+    dictionary = local_table(spark, [(t.id, t.regex, *t.attributes) for t in terms], columns)
     joined = dictionary.join(counts, "place_id")
     return joined.select("location", "Regex", "cbscode", "amsterdamcode", "n_disease", "n_location", "n_both")
 

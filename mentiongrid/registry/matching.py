@@ -6,7 +6,7 @@ from mentiongrid.functions.interval import binomial_interval
 from mentiongrid.operators.counting import (
     mention_counts, pair_counts, place_counts, place_shares, with_pair_flags,
 )
-from mentiongrid.operators.dictionary import compile_term, compile_terms
+from mentiongrid.operators.dictionary import compile_terms, terms_table
 from mentiongrid.operators.matching import match_terms, mention, with_folded, with_mentioned_ids
 from mentiongrid.operators.panel import complete_panel, duplicate_keys, mention_rates, yearly
 from mentiongrid.plans.build_database import flat_counts, monthly_panel
@@ -70,8 +70,7 @@ FROM numbered JOIN words USING (id) SEMI JOIN vocabulary USING (word) GROUP BY y
 def _e03_large(spark, sf):
     terms = vocabulary_terms(spark, sf)
     counts = mention_counts(articles(spark, sf), terms, [topic_terms()[2]])
-    names = spark.createDataFrame([(t.id, t.label) for t in terms], "place_id int, location string")
-    return counts.join(names, "place_id").select("year", "month", "location", "n_location", "n_both")
+    return counts.join(terms_table(spark, terms, "place_id", {"location": "string"}), "place_id").select("year", "month", "location", "n_location", "n_both")
 
 
 @query("e04_completed_panel", f"WITH {PANEL_SQL} SELECT disease, year, month, cbscode, n_location, n_both FROM panel")
@@ -157,8 +156,7 @@ def _query_space(spark, sf):
     terms = place_terms()
     year = articles(spark, sf).filter("newspaper_date >= '1833-01-01' and newspaper_date < '1834-01-01'")
     counts = mention_counts(year, terms, [topic_terms()[2]])
-    columns = "place_id int, municipality string, cbscode int, amsterdamcode int"
-    codes = spark.createDataFrame([(t.id, *t.attributes) for t in terms], columns)
+    codes = terms_table(spark, terms, "place_id", {"municipality": "string", "cbscode": "int", "amsterdamcode": "int"})
     return counts.join(codes, "place_id").select(
         F.col("year").alias("yr"), F.col("month").alias("mo"), "municipality", "cbscode", "amsterdamcode", "n_location", "n_both"
     )

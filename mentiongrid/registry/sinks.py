@@ -9,7 +9,7 @@ from mentiongrid.registry.base import (
     ARTICLES, FLAT_SQL, HITS_SQL, PANEL_SQL, articles, place_terms, query, stored_articles, stored_flat, table, topic_terms,
 )
 from mentiongrid.operators.counting import place_shares
-from mentiongrid.session import new_folder
+from mentiongrid.session import local_table, new_folder
 from mentiongrid.sources.sinks import append_csv, write_csv, write_parquet, write_pending, write_sorted
 from mentiongrid.sources.tables import read_csv, read_month_counts
 from mentiongrid.streaming.incremental import ingest_new_files
@@ -124,8 +124,8 @@ FROM places p CROSS JOIN periods q LEFT JOIN counted USING (place_id, year, mont
 def _b05_shares(spark, sf):
     terms = place_terms()
     shares = place_shares(articles(spark, sf), terms, topic_terms()[2], unicode_case=False)
-    columns = "place_id int, Location_Regex string, name string, cbscode int, amsterdamcode int"
-    attributes = spark.createDataFrame([(t.id, t.regex, *t.attributes) for t in terms], columns)
+    columns = {"place_id": "int", "Location_Regex": "string", "name": "string", "cbscode": "int", "amsterdamcode": "int"}
+    attributes = local_table(spark, [(t.id, t.regex, *t.attributes) for t in terms], columns)
     rows = shares.withColumnRenamed("normalized_mentions", "Normalized_Mentions").join(attributes, "place_id")
     path = new_folder(spark, "municipality_month")
     order = ["Location_Regex", "name", "cbscode", "amsterdamcode", "n_both", "n_total", "Normalized_Mentions"]

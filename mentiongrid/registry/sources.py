@@ -8,7 +8,7 @@ from mentiongrid.registry.archives import ARTICLE_XML_SQL, article_archives, iss
 from mentiongrid.registry.base import (
     ARTICLES, HITS_SQL, articles, place_terms, query, stored_articles, table, topic_terms,
 )
-from mentiongrid.session import new_folder
+from mentiongrid.session import local_table, new_folder
 from mentiongrid.sources.archives import with_zip_period, zip_members
 from mentiongrid.sources.nested_json import keyed_values, region_names
 from mentiongrid.sources.sinks import write_csv
@@ -152,7 +152,7 @@ def _a12(spark, sf):
     "LEFT JOIN articles ON year = year(date) GROUP BY date, label, yloc",
 )
 def _a13(spark, sf):
-    dates = spark.createDataFrame(KEY_DATES, "date string, label string, yloc double").withColumn("date", F.to_date("date"))
+    dates = local_table(spark, KEY_DATES, {"date": "string", "label": "string", "yloc": "double"}).withColumn("date", F.to_date("date"))
     per_year = articles(spark, sf).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
     joined = dates.withColumn("year", F.year("date")).join(per_year, "year", "left")
     return joined.select("date", "label", "yloc", F.coalesce("n", F.lit(0)).alias("n_articles"))
@@ -167,7 +167,7 @@ def _a13(spark, sf):
 def _a14(spark, sf):
     recent = articles(spark, sf).filter(in_years("newspaper_date", 1834, 1836))
     counts = place_counts(recent, place_terms(), topic_terms()[2], by=("year",), unicode_case=False)
-    codes = spark.createDataFrame([(t.id, t.attributes[1]) for t in place_terms()], "place_id int, cbscode int")
+    codes = local_table(spark, [(t.id, t.attributes[1]) for t in place_terms()], {"place_id": "int", "cbscode": "int"})
     path = new_folder(spark, "years")
     counts.join(codes, "place_id").write.partitionBy("year").parquet(path)
     saved = read_years(spark, path, 1834, 1836)

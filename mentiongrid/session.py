@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job needs whatever the cluster size. Shuffle partition counts
@@ -72,3 +74,19 @@ def spread_small_scan(scan: DataFrame, key: str) -> DataFrame:
     if scan.rdd.getNumPartitions() >= cores:
         return scan
     return scan.repartition(2 * cores, key)
+
+
+_ARROW_TYPES = {
+    "int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "array<string>": pa.list_(pa.string()),
+}
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], columns: dict[str, str]) -> DataFrame:
+    """A small driver-side table as a local relation, so that Spark knows its size.
+
+    From a plain list of rows Spark would build a scan of unknown size and join it by
+    shuffling the other side.
+    """
+    values = list(zip(*rows, strict=True)) if rows else [()] * len(columns)
+    arrays = [pa.array(v, _ARROW_TYPES[kind]) for v, kind in zip(values, columns.values(), strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=list(columns)))
