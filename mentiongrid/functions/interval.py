@@ -94,7 +94,7 @@ def interval_bounds(successes, tries, coverage: float = 0.95, variant: str = "te
 def binomial_interval(
     df: DataFrame, successes: str, tries: str, coverage: float = 0.95, variant: str = "textbook"
 ) -> DataFrame:
-    """Add `lower` and `upper` of the Jeffreys interval.
+    """Add `lower` and `upper` of the Jeffreys interval; NULL for missing or impossible counts.
 
     `variant="textbook"` uses Beta(s + 1/2, n - s + 1/2); `variant="reference"` uses
     Beta(s + 1/2, n + 1/2), the form behind the published tables.

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentiongrid.registry.base import table
+from mentiongrid.session import spread_small_scan
 
 # Every 97th article is damaged on purpose.
 _XML = """'<text><title>' || source || ' ' || lang || '</title><p>' ||
@@ -41,7 +42,7 @@ def _pack(batches):
 
 def article_archives(spark: SparkSession, sf: str) -> DataFrame:
     """(path, content) zip blobs of article XML."""
-    docs = table(spark, sf, "documents")
+    docs = spread_small_scan(table(spark, sf, "documents"), "doc_id")
     member = F.expr("concat(upper(source), '/', upper(source), '_', cast(doc_id as string), '_0001_articletext.xml')")
     return docs.select(member.alias("member"), F.expr(_XML).alias("content")).mapInArrow(_pack, "path string, content binary")
 
@@ -57,7 +58,7 @@ def issue_descriptions(spark: SparkSession, sf: str) -> DataFrame:
 
     Each lists the document as an article and one page scan.
     """
-    docs = table(spark, sf, "documents")
+    docs = spread_small_scan(table(spark, sf, "documents"), "doc_id")
     parts = [
         f"<didl:DIDL {_NAMESPACES} ><didl:Item dc:identifier=\"",
         F.col("source"),

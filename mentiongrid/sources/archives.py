@@ -6,6 +6,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs  # noqa: F401 - used as pa.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +14,41 @@ from mentiongrid.fixed_values import ZIP_PERIODS
 from mentiongrid.functions.ids import file_name
 
 _BATCH_BYTES = 8 * 2**20
+_MEMBERS = "path string, member string, content string"
+
+
+def read_zip_members(spark: SparkSession, folder: str, suffix: str, part_bytes: int = 128 * 2**20) -> DataFrame:
+    """(path, member, content) of the members of all zip files of a folder.
+
+    A delivery is a few archives of many gigabytes each. So only their paths and lengths
+    are listed, each archive is divided into parts of about `part_bytes`, and every task
+    opens an archive in place and reads the members of its own part.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", True)
+    parts = F.greatest(F.ceil(F.col("length") / part_bytes), F.lit(1)).cast("int")
+    slices = files.load(folder).select("path", parts.alias("parts"))
+    slices = slices.select("path", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                with _open(row["path"]) as source, zipfile.ZipFile(source) as archive:
+                    yield from _members(row["path"], archive, suffix, row["part"], row["parts"])
+
+    return slices.repartition("path", "part").mapInArrow(members, _MEMBERS)
+
+
+def _open(path: str):
+    """A seekable file on whatever store holds it; Spark writes some schemes its own way."""
+    for spark_scheme, scheme in (("file:/", "file:///"), ("s3a://", "s3://")):
+        if path.startswith(spark_scheme) and not path.startswith(scheme):
+            path = scheme + path.removeprefix(spark_scheme)
+    filesystem, location = pa.fs.FileSystem.from_uri(path)
+    return filesystem.open_input_file(location)
 
 
 def read_zip_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, content) of the zip files of a folder, each below Spark's 2 GB value limit."""
+    """(path, content) of zip files that are small enough to be values (below 2 GB each)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", True)
     return files.load(folder).select("path", "content")
 
@@ -24,36 +56,39 @@ def read_zip_files(spark: SparkSession, folder: str) -> DataFrame:
 def read_member_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     """(path, member, content) of already unpacked members, one task per group of files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", True)
-    return files.load(folder).select("path", F.col("path").alias("member"), F.decode("content", "UTF-8").alias("content"))
+    content = F.try_validate_utf8(F.col("content").cast("string"))
+    return files.load(folder).select("path", F.col("path").alias("member"), content.alias("content"))
 
 
 def zip_members(archives: DataFrame, suffix: str) -> DataFrame:
-    """(path, member, content) of the members whose name ends in `suffix`.
-
-    Works on Arrow batches and emits members in small batches, so one archive is held as
-    its compressed bytes only. Undecodable or damaged members have NULL content.
-    """
+    """(path, member, content) of the members of zip values whose name ends in `suffix`."""
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                yield from _unpack(path.as_py(), content.as_buffer(), suffix)
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
+                    yield from _members(path.as_py(), archive, suffix)
+
+    return archives.select("path", "content").mapInArrow(members, _MEMBERS)
 
-    return archives.select("path", "content").mapInArrow(members, "path string, member string, content string")
 
+def _members(path: str, archive: zipfile.ZipFile, suffix: str, part: int = 0, parts: int = 1) -> Iterator[pa.RecordBatch]:
+    """Wanted members of one part of an archive, in batches of bounded size.
 
-def _unpack(path: str, content, suffix: str) -> Iterator[pa.RecordBatch]:
+    Undecodable or damaged members have NULL content.
+    """
+    listed = sorted(archive.infolist(), key=lambda info: info.header_offset)
+    mine = listed[len(listed) * part // parts: len(listed) * (part + 1) // parts]
     rows, size = [], 0
-    with zipfile.ZipFile(pa.BufferReader(content)) as archive:
-        for info in archive.infolist():
-            if not info.filename.endswith(suffix):
-                continue
-            text = _read_text(archive, info)
-            rows.append((path, info.filename, text))
-            size += len(text or "")
-            if size > _BATCH_BYTES:
-                yield _batch(rows)
-                rows, size = [], 0
+    for info in mine:
+        if not info.filename.endswith(suffix):
+            continue
+        text = _read_text(archive, info)
+        rows.append((path, info.filename, text))
+        size += len(text or "")
+        if size > _BATCH_BYTES:
+            yield _batch(rows)
+            rows, size = [], 0
     if rows:
         yield _batch(rows)
 
