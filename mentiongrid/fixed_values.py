@@ -52,5 +52,31 @@ KEY_DATES = [
     ("1866-07-01", "1866 cholera epidemic", 0.045),
 ]
 
+# Saved pair queries (label, topic pattern, place pattern), Unicode mode.
+PAIR_QUERIES = [
+    ("typhus amsterdam", r"ty(ph|f)(us|euz.)|febris.?typhoidea|kwaadaardige.*koorts", r"amste[rl]da.*|amst\."),
+    ("cholera rotterdam", r"cholera", r"rotter*"),
+    ("cholera amsterdam wide", r"cholera", r"amster*"),
+    ("cholera utrecht", r"cholera", r"u[i]trec*"),
+    ("cholera maastricht wide", r"cholera", r"maastric*"),
+    ("cholera den haag", r"choler.*|krim.?koorts", r"graven.?hage|haag.*|s.?hage|grave\."),
+    ("cholera amsterdam", r"choler.*|krim.?koorts", r"amste.?dam|amst\.?"),
+    ("flu amsterdam", r"griep|influenza", r"amste.?dam|amst\.?"),
+    ("smallpox amsterdam", r"pokken|variola", r"amste.?dam|amst\."),
+    ("cholera franekeradeel", r"choler.*|krim.?koorts", r"franekeradeel|frjentsjerteradiel"),
+    ("smallpox franekeradeel", r"pokken|variola", r"franekeradeel|frjentsjerteradiel"),
+    ("cholera leeuwarden", r"choler.*|krim.?koorts", r"l(eeu|iw|ieu)ward(en|\.)|ljouwert"),
+    ("smallpox leeuwarden", r"pokken|variola", r"l(eeu|iw|ieu)ward(en|\.)|ljouwert"),
+    ("cholera leiden", r"choler.*|krim.?koorts", r"le(i|y)den|leid(s|sch)e"),
+    ("smallpox leiden", r"pokken|variola", r"le(i|y)den|leid(s|sch)e"),
+    ("cholera maastricht", r"cholera", r"maastr(ich.*|\.)"),
+    ("smallpox maastricht", r"pokken|variola", r"maastr(ich.*|\.)"),
+    ("cholera leiden short", r"cholera", r"le[iy]den"),
+]
+
+# Topic patterns of the saved queries over all places, Unicode mode, 20 or 40 characters.
+CHOLERA_EVERYWHERE = r"choler.*|krim.?koorts"
+SMALLPOX_EVERYWHERE = r"pokken|variola|pok.?ziekte"
+
 # Place names too ambiguous to map (also ordinary words or surnames).
 AMBIGUOUS_PLACES = "Sluis|Broek|Heer|Haren|Vries|Bergen|Waarde"

@@ -50,7 +50,9 @@ def mention_counts(
     by = list(by)
     keyed = with_keys(articles.select(*by, text), text, places, topics, unicode_case=unicode_case)
     flagged = keyed.withColumn("topic_ids", mentioned_ids(text, topics))
-    hits = match_terms(flagged, places, text, unicode_case, keep_text=max_chars > 0).withColumnRenamed("term_id", "place_id")
+    # Distances are only measured in articles with a topic; the others leave their text behind.
+    near_text = (F.size("topic_ids") > 0) if max_chars else None
+    hits = match_terms(flagged, places, text, unicode_case, near_text).withColumnRenamed("term_id", "place_id")
     if len(topics) <= WIDE_TOPICS:
         return _counts_wide(hits, topics, by, max_chars, text, unicode_case)
     return _counts_long(hits, topics, by, max_chars, text, unicode_case)
@@ -161,6 +163,45 @@ def pair_counts(
     return flags.groupBy(*by).agg(F.count(F.lit(1)).alias("n_total"), *counters)
 
 
+def pair_set_counts(
+    articles: DataFrame,
+    pairs: Sequence[tuple[str, str, str]],
+    start: int | None = None,
+    end: int | None = None,
+    by: Sequence[str] = ("yr", "mo"),
+    unicode_case: bool = True,
+    text: str = TEXT,
+    date: str = DATE,
+) -> DataFrame:
+    """`pair_counts` for many (label, disease, location) pairs, reading every text once.
+
+    A pattern that several pairs share is tested once per article.
+    """
+    if start is not None and end is not None:
+        articles = articles.filter(in_years(date, start, end))
+    dated = with_year_month(articles.select(date, text), date, "yr", "mo")
+    folded = dated.withColumn("_folded", fold_case(F.col(text), unicode_case))
+    names = {regex: f"p{i}" for i, regex in enumerate(dict.fromkeys(r for _, *regexes in pairs for r in regexes))}
+    flags = folded.select(*by, *(
+        mention(text, compile_term(regex, unicode_case=unicode_case), F.col("_folded")).alias(name)
+        for regex, name in names.items()
+    ))
+    both = {(names[d], names[p]) for _, d, p in pairs}
+    counts = flags.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_total"),
+        *(F.count_if(name).alias(name) for name in names.values()),
+        *(F.count_if(F.col(d) & F.col(p)).alias(f"{d}_{p}") for d, p in both),
+    )
+    per_pair = F.array(*(
+        F.struct(
+            F.lit(label).alias("label"), "n_total", F.col(names[d]).alias("n_disease"),
+            F.col(names[p]).alias("n_location"), F.col(f"{names[d]}_{names[p]}").alias("n_both"),
+        )
+        for label, d, p in pairs
+    ))
+    return counts.select(*by, F.inline(per_pair))
+
+
 def place_counts(
     articles: DataFrame,
     places: list[Term],

@@ -119,7 +119,7 @@ def _key_list(keys) -> Column:
     return F.split(F.lit(" ".join(sorted(keys))), " ")
 
 
-def _has_any(keys: list[str]) -> Column:
+def _has_any(keys) -> Column:
     return F.arrays_overlap(_KEYS, _key_list(keys)) if keys else F.lit(False)
 
 
@@ -136,17 +136,20 @@ def _lookup_table(spark, terms: list[Term]) -> DataFrame:
     return F.broadcast(lookup) if size <= MAX_BROADCAST_BYTES else lookup
 
 
-def match_terms(df: DataFrame, terms: list[Term], text: str, unicode_case: bool = False, keep_text: bool = False) -> DataFrame:
+def match_terms(
+    df: DataFrame, terms: list[Term], text: str, unicode_case: bool = False, keep_text: Column | None = None
+) -> DataFrame:
     """One row per (article, mentioned term): the columns of `df` plus `term_id` and `term_body`.
 
-    Unless `keep_text`, the text column is dropped, and an article whose keys are all
-    certain does not carry its text into the candidate rows at all.
+    The text is dropped, or with `keep_text` stays where that condition holds. An article
+    whose keys are all certain does not carry its text into the candidate rows otherwise.
     """
-    columns = [c for c in df.columns if c != _KEYS and (keep_text or c != text)]
+    columns = [c for c in df.columns if c != _KEYS and (keep_text is not None or c != text)]
     keyed = with_keys(df, text, terms, unicode_case=unicode_case)
-    if not keep_text:
-        unsure = {_stored(k) for t in terms for k in t.keys if k.uncertain}
-        keyed = keyed.withColumn(text, F.when(_has_any(unsure), F.col(text)))
+    needed = _has_any({_stored(k) for t in terms for k in t.keys if k.uncertain})
+    if keep_text is not None:
+        needed = needed | keep_text
+    keyed = keyed.withColumn(text, F.when(needed, F.col(text)))
     # array_compact keeps Spark from inferring a filter on the array, which would be
     # pushed below the projection and evaluate the keys a second time.
     candidates = keyed.select("*", F.explode(F.array_compact(_KEYS)).alias("_key"))

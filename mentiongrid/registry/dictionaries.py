@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from mentiongrid.fixed_values import TOPIC_TERMS
 from mentiongrid.functions.ids import choose_query, last_word
 from mentiongrid.functions.patterns import java_pattern, near_pattern
-from mentiongrid.operators.counting import pair_counts
+from mentiongrid.operators.counting import pair_set_counts
 from mentiongrid.operators.dictionary import compile_term, select_pattern, validate_dictionary
 from mentiongrid.operators.matching import mention, with_folded
 from mentiongrid.registry.base import (
@@ -106,8 +106,5 @@ _CITIES = [("Oned", r"oned\."), ("Thing", "thing.*")]
     ),
 )
 def _d08(spark, sf):
-    tables = [
-        pair_counts(articles(spark, sf), PAIR_TOPIC, regex).select(F.lit(city).alias("City"), "yr", "mo", "n_total", "n_location")
-        for city, regex in _CITIES
-    ]
-    return tables[0].unionByName(tables[1])
+    counts = pair_set_counts(articles(spark, sf), [(city, PAIR_TOPIC, regex) for city, regex in _CITIES])
+    return counts.select(F.col("label").alias("City"), "yr", "mo", "n_total", "n_location")

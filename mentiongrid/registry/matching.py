@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from mentiongrid.fixed_values import PAIR_QUERIES
 from mentiongrid.functions.interval import binomial_interval
 from mentiongrid.operators.counting import (
-    mention_counts, pair_counts, place_counts, place_shares, with_pair_flags,
+    mention_counts, pair_counts, pair_set_counts, place_counts, place_shares, with_pair_flags,
 )
 from mentiongrid.operators.dictionary import compile_terms, terms_table
 from mentiongrid.operators.matching import match_terms, mention, with_folded, with_mentioned_ids
@@ -138,6 +139,25 @@ def _e08(spark, sf):
     return pair_counts(articles(spark, sf), PAIR_TOPIC, PAIR_PLACE, 1831, 1839)
 
 
+_SAVED = [*PAIR_QUERIES, ("erth thing", PAIR_TOPIC, PAIR_PLACE), ("cholera thing", r"cholera", PAIR_PLACE)]
+
+
+@query(
+    "e08_saved_pair_queries",
+    f"WITH {ARTICLES} "
+    + " UNION ALL ".join(
+        f"SELECT '{label}' AS label, year AS yr, month AS mo, COUNT(*) AS n_total, "
+        f"COUNT(*) FILTER (WHERE regexp_matches(article_text, '(?i){d}')) AS n_disease, "
+        f"COUNT(*) FILTER (WHERE regexp_matches(article_text, '(?i){p}')) AS n_location, "
+        f"COUNT(*) FILTER (WHERE regexp_matches(article_text, '(?i){d}') AND regexp_matches(article_text, '(?i){p}')) AS n_both "
+        "FROM articles GROUP BY year, month"
+        for label, d, p in _SAVED
+    ),
+)
+def _e08_saved(spark, sf):
+    return pair_set_counts(articles(spark, sf), _SAVED)
+
+
 @query(
     "e09_pair_counts_of_a_year",
     f"""WITH {_PAIR_FLAGS} SELECT yr, mo, COUNT(*) AS n_location, COUNT(*) FILTER (WHERE disease) AS n_both

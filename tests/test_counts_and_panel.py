@@ -5,10 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from mentiongrid.operators import counting
-from mentiongrid.operators.counting import mention_counts, pair_counts, place_counts, place_shares, with_year_month
+from mentiongrid.operators.counting import mention_counts, pair_counts, pair_set_counts, place_counts, place_shares, with_year_month
 from mentiongrid.operators.dictionary import compile_term, compile_terms, require_columns, select_pattern
 from mentiongrid.operators.panel import complete_panel, duplicate_keys, mean_rate, mention_rates, require_unique, yearly
 from mentiongrid.operators.series import impute_group_mean, rolling_mean
+from mentiongrid.plans import ad_hoc
 from mentiongrid.plans.build_database import Dictionaries, build, monthly_panel
 
 DAY = datetime.date(1866, 7, 1)
@@ -137,3 +138,33 @@ def test_dictionary_helpers(spark):
             select_pattern(df, wrong)
     with pytest.raises(ValueError, match="Missing"):
         require_columns(df, "Missing")
+
+
+def test_ad_hoc_questions(articles):
+    places = [compile_term(r, n, i, True, (n, c, a)) for i, (n, r, _, c, a) in enumerate(PLACES)]
+    space = ad_hoc.over_space(articles, places, "choler.*|krim.?koorts", 1866).collect()
+    assert [(r.location, r.month, r.n_location, r.n_both) for r in space] == [("Amsterdam", 7, 1, 0), ("Leiden", 7, 2, 1), ("Leiden", 8, 4, 4)]
+    assert all(0 <= r.lower <= r.upper <= 1 for r in space)
+    time = {(r.yr, r.mo): (r.n_location, r.n_both) for r in ad_hoc.over_time(articles, "cholera", "leiden", 1866, 1867).collect()}
+    assert time == {(1866, 7): (2, 1), (1866, 8): (4, 4)}
+    year = {r.location: (r.n_disease, r.n_location, r.n_both) for r in ad_hoc.year_map(articles, places, "cholera", 1866).collect()}
+    assert year == {"Leiden": (5, 6, 5), "Amsterdam": (5, 1, 0), "Nergens": (5, 0, 0)}
+    near = {(r.location, r.month): (r.n_both, r.n_total) for r in ad_hoc.near_shares(articles, places, "cholera", 1866, 1867).collect()}
+    assert near[("Leiden", 8)] == (2, 4) and near[("Nergens", 7)] == (0, 0) and len(near) == 6
+    of_all = {r.year: r.normalized_mentions for r in ad_hoc.near_shares(articles, places[:1], "cholera", 1866, 1867, 20, "total", ("year",)).collect()}
+    assert of_all == {1866: 1 / 8}
+
+
+def test_pair_set_equals_single_pairs(articles):
+    pairs = [("a", "choler.*", "leiden"), ("b", "choler.*", "amster"), ("c", "pokken", "leiden")]
+    got = {(r.label, r.yr, r.mo): (r.n_total, r.n_disease, r.n_location, r.n_both) for r in pair_set_counts(articles, pairs, 1866, 1868).collect()}
+    expected = {
+        (label, r.yr, r.mo): (r.n_total, r.n_disease, r.n_location, r.n_both)
+        for label, d, p in pairs for r in pair_counts(articles, d, p, 1866, 1868).collect()
+    }
+    assert got == expected
+    assert share_of_july(articles) == 1 / 4
+
+
+def share_of_july(articles):
+    return {r.mo: r.y for r in ad_hoc.share_of_total(pair_counts(articles, "cholera", "leiden", 1866, 1867)).collect()}[7]
