@@ -35,7 +35,10 @@ def read_zip_members(spark: SparkSession, folder: str, suffix: str, part_bytes:
                 with _open(row["path"]) as source, zipfile.ZipFile(source) as archive:
                     yield from _members(row["path"], archive, suffix, row["part"], row["parts"])
 
-    return slices.repartition("path", "part").mapInArrow(members, _MEMBERS)
+    # A fixed number of partitions: adaptive execution would see a few bytes of paths and
+    # merge them into one task.
+    tasks = max(1, min(slices.count(), 100_000))
+    return slices.repartition(tasks, "path", "part").mapInArrow(members, _MEMBERS)
 
 
 def _open(path: str):
