@@ -25,6 +25,19 @@ def in_years(date: Column | str, start: int, end: int) -> Column:
     return (date >= F.make_date(F.lit(start), F.lit(1), F.lit(1))) & (date < F.make_date(F.lit(end), F.lit(1), F.lit(1)))
 
 
+def of_years(articles: DataFrame, start: int | None, end: int | None, date: str = DATE) -> DataFrame:
+    """The articles of the years [start, end), or all without bounds.
+
+    Where the articles are stored by `year`, the same range on that column skips whole
+    partitions; the range on the date lets the remaining files skip row groups.
+    """
+    if start is None or end is None:
+        return articles
+    if "year" in articles.columns:
+        articles = articles.filter((F.col("year") >= start) & (F.col("year") < end))
+    return articles.filter(in_years(date, start, end))
+
+
 def with_year_month(df: DataFrame, date: str = DATE, year: str = "year", month: str = "month") -> DataFrame:
     return df.withColumns({year: F.year(date), month: F.month(date)})
 
@@ -148,9 +161,8 @@ def pair_counts(
     """
     if denominator not in ("total", "location"):
         raise ValueError("denominator must be 'total' or 'location'")
-    if start is not None and end is not None:
-        articles = articles.filter(in_years(date, start, end))
-    flags = with_pair_flags(with_year_month(articles.select(date, text), date, "yr", "mo"), disease, location, max_chars, text, unicode_case)
+    dated = with_year_month(of_years(articles, start, end, date).select(date, text), date, "yr", "mo")
+    flags = with_pair_flags(dated, disease, location, max_chars, text, unicode_case)
     counters = [
         F.count_if("disease").alias("n_disease"),
         F.count_if("location").alias("n_location"),
@@ -177,9 +189,7 @@ def pair_set_counts(
 
     A pattern that several pairs share is tested once per article.
     """
-    if start is not None and end is not None:
-        articles = articles.filter(in_years(date, start, end))
-    dated = with_year_month(articles.select(date, text), date, "yr", "mo")
+    dated = with_year_month(of_years(articles, start, end, date).select(date, text), date, "yr", "mo")
     folded = dated.withColumn("_folded", fold_case(F.col(text), unicode_case))
     names = {regex: f"p{i}" for i, regex in enumerate(dict.fromkeys(r for _, *regexes in pairs for r in regexes))}
     flags = folded.select(*by, *(

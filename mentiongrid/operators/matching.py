@@ -87,7 +87,9 @@ def _text_keys(folded: Column, keys: list[Key]) -> Column:
     parts = [F.coalesce(p, F.array().cast("array<string>")) for p in parts]
     if any(k.kind == ALWAYS for k in keys):
         parts.append(F.array(F.lit(_MARKS[ALWAYS])))
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+    found = F.concat(*parts) if len(parts) > 1 else parts[0]
+    # Unfiltered words repeat, and short words are their own start at several lengths.
+    return F.array_distinct(found) if len(keys) > MAX_KEYS_IN_SET else found
 
 
 def _starts(units: Column, length: int) -> Column:
@@ -96,7 +98,7 @@ def _starts(units: Column, length: int) -> Column:
 
 def _common(units: Column, literals: list[str]) -> Column:
     if len(literals) > MAX_KEYS_IN_SET:
-        return F.array_distinct(units)
+        return units
     return F.array_intersect(units, _key_list(literals))
 
 

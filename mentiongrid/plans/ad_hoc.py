@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from mentiongrid.functions.interval import binomial_interval
 from mentiongrid.operators.counting import (
-    DATE, in_years, mention_counts, pair_counts, place_counts, place_shares, with_year_month,
+    mention_counts, of_years, pair_counts, place_counts, place_shares, with_year_month,
 )
 from mentiongrid.operators.dictionary import Term, compile_term, terms_table
 
@@ -19,7 +19,7 @@ _ATTRIBUTES = {"location": "string", "cbscode": "int", "amsterdamcode": "int"}
 
 
 def _of_years(articles: DataFrame, start: int, end: int) -> DataFrame:
-    return with_year_month(articles.filter(in_years(DATE, start, end)))
+    return with_year_month(of_years(articles, start, end))
 
 
 def over_space(articles: DataFrame, places: list[Term], disease: str, year: int, variant: str = "reference") -> DataFrame:

@@ -33,7 +33,9 @@ def write_sorted(df: DataFrame, path: str, keys: Sequence[str], files: int, mode
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    """CSV with a header; with `partition_by` one folder per value, each written by few tasks."""
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = rows.write.mode(mode).option("header", True).option("escape", '"')
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.csv(path)
@@ -46,5 +48,5 @@ def append_csv(df: DataFrame, path: str) -> None:
 def write_pending(df: DataFrame, path: str, existing: DataFrame | None, *keys: str) -> None:
     """Append only the chunks (by `keys`, which partition the output) that do not exist yet."""
     todo = df if existing is None else df.join(existing.select(*keys).distinct(), list(keys), "left_anti")
-    todo.write.mode("append").partitionBy(*keys).parquet(path)
+    todo.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).parquet(path)
 

@@ -11,6 +11,7 @@ from mentiongrid.operators.panel import complete_panel, duplicate_keys, mean_rat
 from mentiongrid.operators.series import impute_group_mean, rolling_mean
 from mentiongrid.plans import ad_hoc
 from mentiongrid.plans.build_database import Dictionaries, build, monthly_panel
+from mentiongrid.sources.sinks import write_by_year
 
 DAY = datetime.date(1866, 7, 1)
 GAP = "x" * 38
@@ -168,3 +169,21 @@ def test_pair_set_equals_single_pairs(articles):
 
 def share_of_july(articles):
     return {r.mo: r.y for r in ad_hoc.share_of_total(pair_counts(articles, "cholera", "leiden", 1866, 1867)).collect()}[7]
+
+
+def test_year_ranges_skip_partitions(spark, tmp_path):
+    dated = spark.createDataFrame([(t, d, d.year) for d, t in ARTICLES], "article_text string, newspaper_date date, year int")
+    write_by_year(dated, str(tmp_path / "a"))
+    counts = pair_counts(spark.read.parquet(str(tmp_path / "a")), "cholera", "leiden", 1867, 1868)
+    assert [(r.yr, r.n_total) for r in counts.collect()] == [(1867, 2)]
+    plan = counts._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "PushedFilters: [IsNotNull(newspaper_date), GreaterThanOrEqual(newspaper_date" in plan
+
+
+def test_matching_neither_shuffles_texts_nor_evaluates_keys_twice(articles):
+    counts = mention_counts(with_year_month(articles), compile_terms(PLACES), compile_terms(TOPICS))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "SortMergeJoin" not in plan
+    assert plan.count("lower(replace(") == 1
+    aggregated = plan.split("Exchange hashpartitioning(place_id")[0]
+    assert plan.count("Exchange hashpartitioning(place_id") == 1 and "article_text" not in aggregated
