@@ -98,29 +98,30 @@ def _issue(content):
     return (_identifier(issue) or None, *fields, items, None)
 
 
-def article_texts(members: DataFrame) -> DataFrame:
-    """(article_id, article_title, article_text, parse_error) from (member, content) rows."""
-    parsed = members.select(article_id_from_file(F.col("member")).alias("article_id"), parse_article("content").alias("a"))
+def article_texts(members: DataFrame, *keep: str) -> DataFrame:
+    """(article_id, article_title, article_text, parse_error, *keep) from (member, content) rows."""
+    article_id = article_id_from_file(F.col("member")).alias("article_id")
+    parsed = members.select(article_id, parse_article("content").alias("a"), *keep)
     return parsed.select(
-        "article_id", F.col("a.title").alias("article_title"), F.col("a.text").alias("article_text"), "a.parse_error"
+        "article_id", F.col("a.title").alias("article_title"), F.col("a.text").alias("article_text"), "a.parse_error", *keep
     )
 
 
-def parsed_issues(members: DataFrame) -> DataFrame:
+def parsed_issues(members: DataFrame, *keep: str) -> DataFrame:
     """Parsed issue descriptions; both tables below read this one result."""
-    return members.select(parse_issue(repair_namespace(F.col("content"))).alias("issue")).select("issue.*")
+    return members.select(parse_issue(repair_namespace(F.col("content"))).alias("issue"), *keep).select("issue.*", *keep)
 
 
-def newspaper_meta(issues: DataFrame) -> DataFrame:
+def newspaper_meta(issues: DataFrame, *keep: str) -> DataFrame:
     names = [name for name, _, _ in ISSUE_FIELDS]
-    return issues.select("newspaper_id", *names, "parse_error").withColumn(
+    return issues.select("newspaper_id", *names, "parse_error", *keep).withColumn(
         "newspaper_date", F.try_to_date("newspaper_date", "yyyy-MM-dd")
     )
 
 
-def article_meta(issues: DataFrame) -> DataFrame:
+def article_meta(issues: DataFrame, *keep: str) -> DataFrame:
     """One row per listed article; page scans are left out."""
-    items = issues.select("newspaper_id", F.inline("items"))
+    items = issues.select("newspaper_id", F.inline("items"), *keep)
     return items.filter(~is_page_item(F.col("article_id")))
 
 

@@ -17,16 +17,21 @@ _BATCH_BYTES = 8 * 2**20
 _MEMBERS = "path string, member string, content string"
 
 
-def read_zip_members(spark: SparkSession, folder: str, suffix: str, part_bytes: int = 128 * 2**20) -> DataFrame:
-    """(path, member, content) of the members of all zip files of a folder.
+def list_zip_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, length) of the zip files of a folder; their content is not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", True)
+    return files.load(folder).select("path", "length")
+
 
-    A delivery is a few archives of many gigabytes each. So only their paths and lengths
-    are listed, each archive is divided into parts of about `part_bytes`, and every task
-    opens an archive in place and reads the members of its own part.
+def read_zip_members(files: DataFrame, suffix: str, part_bytes: int = 128 * 2**20) -> DataFrame:
+    """(path, member, content) of the members of listed zip files.
+
+    A delivery is a few archives of many gigabytes each. So each archive is divided into
+    parts of about `part_bytes`, and every task opens an archive in place and reads the
+    members of its own part.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", True)
     parts = F.greatest(F.ceil(F.col("length") / part_bytes), F.lit(1)).cast("int")
-    slices = files.load(folder).select("path", parts.alias("parts"))
+    slices = files.select("path", parts.alias("parts"))
     slices = slices.select("path", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentiongrid.operators.dictionary import require_columns
+from mentiongrid.session import local_table
 
 
 def read_folder(spark: SparkSession, path: str | Sequence[str], schema: str | None = None) -> DataFrame:
@@ -26,6 +28,16 @@ def read_partitioned(spark: SparkSession, path: str, schema: str | None = None)
     return reader.parquet(path)
 
 
+def stored_keys(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """Distinct keys of a stored table; none where nothing is stored yet."""
+    try:
+        return spark.read.parquet(path).select(*(F.col(c).cast(t).alias(c) for c, t in columns.items())).distinct()
+    except AnalysisException as exc:
+        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return local_table(spark, [], columns)
+
+
 def read_years(spark: SparkSession, path: str, start: int, end: int, schema: str | None = None) -> DataFrame:
     """The partitions of the years [start, end)."""
     return read_partitioned(spark, path, schema).filter((F.col("year") >= start) & (F.col("year") < end))

@@ -7,7 +7,10 @@ from mentiongrid.functions import ids
 from mentiongrid.functions.markup import article_meta, article_texts, newspaper_meta, parsed_issues, web_paragraphs, web_title
 from mentiongrid.operators.combine import combine, harmonise, one_per_key, partitioned
 from mentiongrid.operators.worklist import month_grid, pending, ready, result_pages
-from mentiongrid.sources.archives import read_member_files, read_zip_files, read_zip_members, with_zip_period, zip_members
+from mentiongrid.plans.build_database import Dictionaries, monthly_panel
+from mentiongrid.plans.ingest import combine_years, extract_archives
+from mentiongrid.operators.dictionary import compile_terms
+from mentiongrid.sources.archives import list_zip_files, read_member_files, read_zip_files, read_zip_members, with_zip_period, zip_members
 
 DIDL = """<didl:DIDL xmlns:didl="urn:mpeg:mpeg21:2002:02-DIDL-NS" xmlns:dc="http://purl.org/dc/elements/1.1/"
  xmlns:dcterms="http://purl.org/dc/terms/" xmlns:ddd="http://www.kb.nl/namespaces/ddd">
@@ -61,7 +64,7 @@ def test_archives(spark, tmp_path):
         archive.writestr("d/readme.txt", "x")
     (tmp_path / "plain_articletext.xml").write_text("<text/>")
     by_value = zip_members(read_zip_files(spark, str(tmp_path)), "articletext.xml")
-    in_parts = read_zip_members(spark, str(tmp_path), "articletext.xml", part_bytes=500)
+    in_parts = read_zip_members(list_zip_files(spark, str(tmp_path)), "articletext.xml", part_bytes=500)
     for found in (by_value, in_parts):
         rows = {r.member: r.content for r in found.collect()}
         assert set(rows) == {*names, "d/bad_articletext.xml"}
@@ -112,3 +115,34 @@ def test_work_lists(spark):
     done = months.filter("month < 11").select("year", "month")
     assert sorted(r.month for r in pending(months, done, "year", "month").collect()) == [11, 12]
     assert sorted(r.month for r in ready(months, [done, months.filter("month > 9")], "year", "month").collect()) == [10]
+
+
+def _delivery(path, issues):
+    with zipfile.ZipFile(path, "w") as archive:
+        for number, date, texts in issues:
+            didl = DIDL.format(date=date).replace("ddd:1:", f"ddd:{number}:")
+            archive.writestr(f"DDD_{number}/DDD_{number}_didl.xml", didl)
+            for item, text in texts.items():
+                archive.writestr(f"DDD_{number}/DDD_{number}_{item}_articletext.xml", f"<text><title>t</title><p>{text}</p></text>")
+
+
+def test_from_archives_to_panel(spark, tmp_path):
+    delivery, out = tmp_path / "in", tmp_path / "out"
+    delivery.mkdir()
+    folders = {n: str(out / n) for n in ("texts", "meta", "papers", "combined")}
+    _delivery(delivery / "kranten_pd_183x.zip", [("1", "1832-07-01", {"0001": "Cholera te Leiden", "0002": "Leiden"})])
+    extract_archives(spark, str(delivery), folders["texts"], folders["meta"], folders["papers"])
+    combine_years(spark, folders["texts"], folders["meta"], folders["papers"], folders["combined"], 1830, 1840)
+    # A later delivery adds its own period and years; what is there already is left alone.
+    _delivery(delivery / "kranten_pd_184x.zip", [("2", "1841-01-01", {"0001": "cholera"})])
+    for _ in range(2):
+        extract_archives(spark, str(delivery), folders["texts"], folders["meta"], folders["papers"])
+        combine_years(spark, folders["texts"], folders["meta"], folders["papers"], folders["combined"], 1830, 1850)
+    stored = spark.read.parquet(folders["combined"])
+    rows = {(r.article_id, r.year): r.article_text for r in stored.collect()}
+    assert stored.count() == 4 and rows == {
+        ("ddd:1:mpeg21:a0001", 1832): "Cholera te Leiden", ("ddd:1:mpeg21:a0002", 1832): "Leiden",
+        ("ddd:2:mpeg21:a0001", 1841): "cholera", ("ddd:2:mpeg21:a0002", 1841): None,
+    }
+    terms = Dictionaries(compile_terms([("Leiden", r"\bleiden\b", "Leiden", 1, 2)]), compile_terms([("C", r"\bcholer\w*\b", "Cholera")]))
+    assert [tuple(r) for r in monthly_panel(stored, terms).collect()] == [("cholera", 1832, 7, 1, 0.5, 2, 1)]
