@@ -94,6 +94,24 @@ def test_random_patterns_equal_brute_force(spark, texts, patterns):
     assert {(texts[i], patterns[j]) for i, j in got} == {(texts[i], patterns[j]) for i, j in expected}
 
 
+folding = st.text(alphabet="iIıİkKKsSſéÉ -.\n", max_size=10)
+plain_pieces = st.sampled_from(["i", "k", "s", "is", "ski", "é", ".?", "[^a-zA-Z]", "[a-z]", "[ik]", "(i|k)", "s*", "k+", "-", "[^i]", ".{0,3}", "i?", r"\."])
+plain_regexes = st.lists(plain_pieces, min_size=1, max_size=5).map("".join)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(folding, min_size=40, max_size=60, unique=True), st.lists(plain_regexes, min_size=30, max_size=30, unique=True))
+def test_random_unicode_patterns_equal_sql_engine(spark, texts, patterns):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(x VARCHAR)")
+    con.execute("CREATE TABLE p(x VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?)", [[t] for t in texts])
+    con.executemany("INSERT INTO p VALUES (?)", [[r] for r in patterns])
+    expected = set(con.execute("SELECT t.x, p.x FROM t, p WHERE regexp_matches(t.x, '(?i)' || p.x)").fetchall())
+    got = matched(spark, patterns, texts, unicode_case=True)
+    assert {(texts[i], patterns[j]) for i, j in got} == expected
+
+
 @pytest.mark.parametrize("regex, keys", [
     (r"\bver\b", [Key(False, WORD, "ver")]),
     (r"\b(oned|oner)\b", [Key(False, WORD, "oned"), Key(False, WORD, "oner")]),
