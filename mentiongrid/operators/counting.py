@@ -66,6 +66,9 @@ def mention_counts(
     # Distances are only measured in articles with a topic; the others leave their text behind.
     near_text = (F.size("topic_ids") > 0) if max_chars else None
     hits = match_terms(flagged, places, text, unicode_case, near_text).withColumnRenamed("term_id", "place_id")
+    if not topics:
+        none = F.lit(0).cast("bigint")
+        return hits.select("place_id", *by, F.lit(0).alias("topic_id"), none.alias("n_location"), none.alias("n_both")).limit(0)
     if len(topics) <= WIDE_TOPICS:
         return _counts_wide(hits, topics, by, max_chars, text, unicode_case)
     return _counts_long(hits, topics, by, max_chars, text, unicode_case)

@@ -28,17 +28,25 @@ class Term:
     body: str
     keys: tuple[Key, ...]
     attributes: tuple = field(default=())
+    unicode_case: bool = False
 
 
 # A pseudo place that every article mentions; counts under it are totals.
 EVERYWHERE = Term(-1, "", "", "", "", (Key(False, ALWAYS),))
 
 
+def require_mode(terms: Iterable[Term], unicode_case: bool) -> None:
+    """Terms compiled for one pattern mode must not meet texts folded for the other."""
+    wrong = [t.label or t.regex for t in terms if t is not EVERYWHERE and t.unicode_case != unicode_case]
+    if wrong:
+        raise ValueError(f"compiled with unicode_case={not unicode_case}, used with {unicode_case}: {wrong[:5]}")
+
+
 def compile_term(regex: str, label: str = "", term_id: int = 0, unicode_case: bool = False, attributes: tuple = ()) -> Term:
     return Term(
         term_id, label, regex,
         java_pattern(regex, unicode_case), java_body(regex, unicode_case),
-        tuple(index_keys(regex, unicode_case)), attributes,
+        tuple(index_keys(regex, unicode_case)), attributes, unicode_case,
     )
 
 

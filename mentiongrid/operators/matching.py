@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from mentiongrid.functions.patterns import (
     ALWAYS, INSIDE, RUN, RUN_START, WORD, WORD_START, Key, fold_case,
 )
-from mentiongrid.operators.dictionary import Term
+from mentiongrid.operators.dictionary import Term, require_mode
 from mentiongrid.session import local_table
 
 # Up to this many terms, flags are one expression per term; beyond it, one expression over
@@ -111,6 +111,8 @@ def with_keys(df: DataFrame, text: str, *dictionaries: list[Term], unicode_case:
     """Add the keys of all the dictionaries found in a text, so that it is split only once."""
     if _KEYS in df.columns:
         return df
+    for terms in dictionaries:
+        require_mode(terms, unicode_case)
     keys = sorted({key for terms in dictionaries for term in terms for key in term.keys})
     found = _text_keys(F.col(_FOLDED), keys) if keys else F.array().cast("array<string>")
     # Two projections: the folded text is used several times and must be computed once.

@@ -187,3 +187,18 @@ def test_matching_neither_shuffles_texts_nor_evaluates_keys_twice(articles):
     assert plan.count("lower(replace(") == 1
     aggregated = plan.split("Exchange hashpartitioning(place_id")[0]
     assert plan.count("Exchange hashpartitioning(place_id") == 1 and "article_text" not in aggregated
+
+
+def test_empty_dictionaries_and_empty_periods(articles):
+    dated, places, topics = with_year_month(articles), compile_terms(PLACES), compile_terms(TOPICS)
+    expected = ["place_id", "year", "month", "topic_id", "n_location", "n_both"]
+    for counts in (mention_counts(dated, [], topics), mention_counts(dated, places, []), mention_counts(dated, [], [])):
+        assert counts.columns == expected and counts.collect() == []
+    nothing = place_shares(dated.filter("year = 1900"), places, topics[0], by=(), unicode_case=False)
+    assert {r.place_id: (r.n_both, r.n_total, r.normalized_mentions) for r in nothing.collect()} == {i: (0, 0, 0.0) for i in range(3)}
+    assert place_shares(dated, [], topics[0], unicode_case=False).collect() == []
+
+
+def test_pattern_modes_must_agree(articles):
+    with pytest.raises(ValueError, match="Leiden"):
+        mention_counts(with_year_month(articles), compile_terms(PLACES, unicode_case=True), compile_terms(TOPICS))
