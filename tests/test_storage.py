@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from mentiongrid import schemas
 from mentiongrid.fixed_values import TOPIC_TERMS
+from mentiongrid.operators.combine import one_per_key
 from mentiongrid.operators.dictionary import load_terms
 from mentiongrid.session import local_table, materialise, shared_folder
 from mentiongrid.sources.nested_json import keyed_values, read_region_names
@@ -92,3 +93,29 @@ def test_cut_lineage_is_a_stored_table(spark):
     assert cut.collect() == cut.collect() and cut.dtypes == df.dtypes
     assert cut.inputFiles()[0].startswith("file:") and "cut-" in cut.inputFiles()[0] and shared_folder(spark)
     assert local_table(spark, [], {"a": "int"}).count() == 0
+
+
+def test_a_hot_year_is_written_by_several_tasks(spark, tmp_path):
+    hot = spark.range(200_000, numPartitions=8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("article_text"),
+        F.date_add(F.lit("1866-01-01"), F.when(F.col("id") % 3 == 0, 0).otherwise((F.col("id") % 4000).cast("int"))).alias("newspaper_date"),
+    ).withColumn("year", F.year("newspaper_date"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        write_by_year(hot, str(tmp_path / "y"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.read.parquet(str(tmp_path / "y"))
+    per_file = stored.groupBy("year", F.input_file_name()).count().collect()
+    of_hot_year = [r["count"] for r in per_file if r.year == 1866]
+    assert sum(r["count"] for r in per_file) == 200_000 and len(of_hot_year) > 1 and max(of_hot_year) < 50_000
+
+
+def test_copies_of_one_id_collapse_before_the_shuffle(spark):
+    copies = spark.range(30_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("article_id"), F.lit("text").alias("article_text")
+    )
+    unique = one_per_key(copies, "article_id")
+    assert unique.count() == 20_001
+    plan = unique._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortAggregate") < plan.index("Exchange") < plan.rindex("SortAggregate")
