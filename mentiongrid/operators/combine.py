@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mentiongrid.operators.counting import in_years
+from mentiongrid.session import materialise
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -32,10 +33,15 @@ def combine(article_meta: DataFrame, article_texts: DataFrame, newspapers: DataF
 
     The date range cuts the issues first, the inner join with them cuts the article ids, and
     only then do the texts, by far the largest input, join on the article id. An article
-    without text stays with NULLs. Spark broadcasts the issues if they are small; otherwise
-    adaptive execution splits an issue (or source) that holds a large share of the articles.
+    without text stays with NULLs.
+
+    The issues of the range are stored first. So Spark knows their real size and broadcasts
+    them if they are small; and if they are not, both sides of the join are plain shuffles, the
+    only form in which adaptive execution splits an issue or source that holds a large share of
+    all articles.
     """
-    issues = one_per_key(newspapers.filter(in_years("newspaper_date", start, end)), "newspaper_id")
+    in_range = newspapers.filter(in_years("newspaper_date", start, end))
+    issues = materialise(one_per_key(in_range, "newspaper_id"), "issues")
     wanted = one_per_key(article_meta.join(issues, "newspaper_id"), "article_id")
     return wanted.join(one_per_key(article_texts, "article_id"), "article_id", "left")
 

@@ -23,8 +23,9 @@ def rolling_mean(
 def impute_group_mean(df: DataFrame, group: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Replace NULLs by the mean of the group's known values.
 
-    The means come from a partially aggregated group-by joined back (a few rows per group)
-    instead of a window, which would gather each whole group in one task.
+    The means come from a partially aggregated group-by joined back (one row per group, such
+    as a year, so adaptive execution broadcasts them) instead of a window, which would gather
+    each whole group in one task.
     """
     means = df.groupBy(*group).agg(*(F.avg(c).alias(f"_mean_{c}") for c in columns))
     joined = df.join(means, list(group), "left")

@@ -146,3 +146,28 @@ def test_from_archives_to_panel(spark, tmp_path):
     }
     terms = Dictionaries(compile_terms([("Leiden", r"\bleiden\b", "Leiden", 1, 2)]), compile_terms([("C", r"\bcholer\w*\b", "Cholera")]))
     assert [tuple(r) for r in monthly_panel(stored, terms).collect()] == [("cholera", 1832, 7, 1, 0.5, 2, 1)]
+
+
+def test_a_hot_issue_is_split_over_tasks(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    meta = spark.range(200_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("n"), (F.col("id") % 500).cast("string"))).alias("newspaper_id"),
+        F.col("id").cast("string").alias("article_id"), F.sha2(F.col("id").cast("string"), 256).alias("article_subject"),
+    )
+    papers = meta.select("newspaper_id").distinct().withColumn("newspaper_date", F.lit("1850-01-01").cast("date"))
+    texts = meta.select("article_id", F.lit("t").alias("article_title"), F.lit("x").alias("article_text"))
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        combined = combine(meta, texts, papers, 1850, 1851)
+        rows = combined.collect()
+        assert len(rows) == 200_000
+        assert "SortMergeJoin(skew=true)" in combined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
