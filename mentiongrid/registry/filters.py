@@ -7,7 +7,7 @@ from mentiongrid.operators.panel import mention_rates, complete_panel
 from mentiongrid.operators.reports import blank_ambiguous
 from mentiongrid.functions.ids import choose_query
 from mentiongrid.registry.base import (
-    ARTICLES, FLAT_SQL, NAMES_SQL, PAIR_PLACE, PAIR_TOPIC, PANEL_SQL, articles, names, query, stored_articles, stored_flat, table,
+    ARTICLES, FLAT_SQL, NAMES_SQL, PAIR_PLACE, PAIR_TOPIC, PANEL_SQL, articles, query, stored_articles, stored_flat, table,
 )
 from mentiongrid.sources.tables import read_partitioned
 
