@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -33,6 +35,26 @@ def get_session(app_name: str = "mentiongrid", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the Python workers, wherever they start."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="mentiongrid-"), "mentiongrid.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, files in os.walk(here):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(here)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by `spark.checkpoint.dir`.
 
