@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mentiongrid.llm.common import annotate, table
+from mentiongrid.session import materialise
 
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double, runner_up string, bit_errors int, ambiguous boolean"
@@ -95,17 +96,20 @@ def _distance(codes: np.ndarray) -> int:
 def _sample(labelled: DataFrame, per_language: int, total: int) -> DataFrame:
     """At most `per_language` rows (text, lang) of each language, by a hash of doc_id.
 
-    Ids are chosen first from two narrow columns, so that no text is sorted or shuffled
-    except those chosen.
+    Ids are chosen first from two narrow columns; a share of the hashes, some four times as many
+    rows as needed, goes through the ranking. The ids chosen, at most `total` or 20 for each language,
+    are broadcast, so no text is shuffled except those chosen.
     """
     usable = labelled.where("text is not null and lang is not null and doc_id is not null")
-    languages = usable.select("lang").distinct().count()
-    n = max(20, min(per_language, total // max(1, languages)))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = usable.select("doc_id", "lang").withColumn("n", F.row_number().over(first)).where(F.col("n") <= n)
+    counts = materialise(usable.groupBy("lang").count(), "language-counts")
+    n = max(20, min(per_language, total // max(1, counts.count())))
+    hashed = F.xxhash64("doc_id")
+    some = usable.select("doc_id", "lang").join(counts, "lang").where(F.pmod(hashed, F.lit(1 << 40)).cast("double") * F.col("count") < F.lit(float(4 * n * (1 << 40))))
+    first = Window.partitionBy("lang").orderBy(hashed, "doc_id")
+    ids = some.select("doc_id", "lang").withColumn("n", F.row_number().over(first)).where(F.col("n") <= n)
     ids = ids.select("doc_id", "lang").distinct()
     again = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
-    rows = usable.select("doc_id", "lang", "text").join(ids, ["doc_id", "lang"])  # more rows than ids if ids repeat
+    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])  # more rows than ids if ids repeat
     return rows.withColumn("n", F.row_number().over(again)).where(F.col("n") <= n).select("lang", "text", "doc_id")
 
 
