@@ -3,13 +3,14 @@ r"""Toxicity by cumulative-link ordinal regression.
 A document has a severity grade 0 .. K-1. One weight vector over sparse text features serves all
 thresholds: P(grade > k) = sigmoid(w.x - t_k) with t_0 <= t_1 <= ...; the expected severity is the sum
 of these probabilities. Thresholds stay ordered because the model holds the first and the logarithms of
-the steps. Features are hashed words (A-Z lower-cased, outer punctuation removed), each once per text,
-damped by 1/sqrt(number of distinct words); a bias of their number is left to the thresholds.
+the steps. Features are hashed words (A-Z lower-cased, outer punctuation removed) and their beginnings of
+three to seven characters, each once per text, damped by the square root of the number of distinct words.
+Only features whose number of toxic training rows is `CERTAIN` standard deviations from chance have a weight;
+it starts at their smoothed log odds and is pulled back towards them.
 
 The labels say toxic or not, so the grades of the training rows are made from them: grade 0 is not toxic;
 toxic rows get the grades 1 .. K-1 by how much of the text is toxic vocabulary, at the quantiles of the
-toxic training rows. A word is toxic vocabulary if the training rows of both kinds that hold it leave
-its smoothed log odds above `strong`.
+toxic training rows. A feature is toxic vocabulary if its smoothed log odds exceed `strong`.
 
 Fitted on at most `most_rows` labelled rows chosen by a hash of doc_id, toxic and other rows by halves.
 Prediction covers every whole text.
@@ -22,6 +23,7 @@ or without other labels nothing can be learned and every severity is 0.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -33,6 +35,7 @@ from mentiongrid.session import materialise
 
 BUCKETS = 1 << 18
 GRADES = 4
+CERTAIN = 5.0
 _EDGES = b".,;:!?\"'()[]{}<>*#$%&|-_/\\"
 _CACHE = 200_000
 
@@ -44,18 +47,22 @@ class OrdinalModel:
 
 
 class _Buckets(dict):
-    def __missing__(self, word: bytes) -> int:
+    """Word to the buckets of its features; emptied when full."""
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) > _CACHE:
             self.clear()
-        core = word.strip(_EDGES) or word
-        value = self[word] = xxhash.xxh64_intdigest(core) % BUCKETS
+        core = (word.strip(_EDGES) or word).decode("utf-8", "surrogatepass")
+        parts = [core, *(f"^{core[:k]}" for k in range(3, min(7, len(core)) + 1))]
+        value = self[word] = tuple(xxhash.xxh64_intdigest(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in parts)
         return value
 
 
-def word_buckets(text: str | None, known: dict[bytes, int]) -> np.ndarray:
-    """The distinct buckets of the words of a text, ascending."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return np.unique(np.fromiter(map(known.__getitem__, set(words)), np.int32))
+def feature_buckets(text: str | None, known: dict[bytes, tuple[int, ...]]) -> np.ndarray:
+    """The number of distinct words of a text, and the distinct buckets of their features."""
+    words = set((text or "").encode("utf-8", "surrogatepass").lower().split())
+    buckets = np.unique(np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32))
+    return np.concatenate([np.array([len(words)], np.int32), buckets])
 
 
 def _training_rows(documents: DataFrame, labels: DataFrame, most_rows: int) -> DataFrame:
@@ -74,68 +81,83 @@ def _training_rows(documents: DataFrame, labels: DataFrame, most_rows: int) -> D
     return rows.withColumn("n", F.row_number().over(again)).where(F.col("n") <= half).drop("n")
 
 
-def fit(documents: DataFrame, labels: DataFrame, most_rows: int = 8000, strong: float = 3.0, rounds: int = 300, penalty: float = 1e-4) -> OrdinalModel:
+def fit(documents: DataFrame, labels: DataFrame, most_rows: int = 6000, strong: float = 3.0, rounds: int = 150, pull: float = 1e-3) -> OrdinalModel:
     def work(texts):
         known = _Buckets()
         for text in texts:
-            yield (word_buckets(text, known).tobytes(),)
+            yield (feature_buckets(text, known).tobytes(),)
 
     got = annotate(_training_rows(documents, labels, most_rows), ["doc_id", "toxic"], ["text"], work, "x binary")
     rows = got.select("row.doc_id", "row.toxic", "x").toArrow().sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
     found = [np.frombuffer(b, np.int32) for b in rows.column("x").to_pylist()]
-    toxic = np.array(rows.column("toxic").to_pylist(), np.int64)
-    keep = np.array([len(x) > 0 for x in found], bool)
-    found, toxic = [x for x, k in zip(found, keep, strict=True) if k], toxic[keep] if len(toxic) else toxic
-    if len(set(toxic.tolist())) < 2:
-        return OrdinalModel(np.zeros(BUCKETS, np.float32), np.zeros(0))
-    lengths = np.array([len(x) for x in found])
-    columns, owner = np.concatenate(found), np.repeat(np.arange(len(found)), lengths)
-    grade = severity_grades(columns, owner, lengths, toxic, strong)
-    return _descend(columns, owner, 1 / np.sqrt(lengths), grade, rounds, penalty)
+    return learn(found, np.array(rows.column("toxic").to_pylist(), np.int64), strong, rounds, pull)
 
 
-def severity_grades(columns: np.ndarray, owner: np.ndarray, lengths: np.ndarray, toxic: np.ndarray, strong: float) -> np.ndarray:
-    """Grades of training rows from their labels and the share of toxic vocabulary."""
+def learn(found: list[np.ndarray], toxic: np.ndarray, strong: float = 3.0, rounds: int = 150, pull: float = 1e-3) -> OrdinalModel:
+    """From the feature vectors and labels of the training rows."""
+    keep = [i for i, x in enumerate(found) if x[0] > 0]
+    found, toxic = [found[i] for i in keep], toxic[keep]
+    if len(set(toxic.tolist())) < 2:
+        return OrdinalModel(np.zeros(BUCKETS, np.float32), np.zeros(0))
+    words = np.array([x[0] for x in found])
+    columns, owner = np.concatenate([x[1:] for x in found]), np.repeat(np.arange(len(found)), [len(x) - 1 for x in found])
     bad = toxic[owner] == 1
     in_bad, in_good = (np.bincount(columns[m], minlength=BUCKETS) for m in (bad, ~bad))
-    odds = np.log((in_bad + 0.5) / (toxic.sum() + 1)) - np.log((in_good + 0.5) / ((1 - toxic).sum() + 1))
-    share = np.bincount(owner, (odds[columns] > strong) & (in_bad[columns] > 4), len(lengths)) / lengths
+    share_bad, both = toxic.mean(), in_bad + in_good
+    expected = both * share_bad
+    odds = np.log((in_bad + 1) / (expected + 1)) - np.log((in_good + 1) / (both - expected + 1))
+    # Only features whose count in toxic rows chance does not explain have a weight.
+    odds[np.abs(in_bad - expected) < CERTAIN * np.sqrt(expected * (1 - share_bad))] = 0
+    share = np.bincount(owner, odds[columns] > strong, len(words)) / words  # of the vocabulary, by its features
     cuts = np.quantile(share[toxic == 1], [k / (GRADES - 1) for k in range(1, GRADES - 1)])
-    return np.where(toxic == 1, 1 + np.searchsorted(cuts, share, side="right"), 0)
+    grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, share, side="right"), 0)
+    return _descend(columns, owner, odds, 1 / np.sqrt(words), grade, rounds, pull)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def _descend(columns: np.ndarray, owner: np.ndarray, scale: np.ndarray, grade: np.ndarray, rounds: int, penalty: float) -> OrdinalModel:
-    """Maximum likelihood of the cumulative-link model by adaptive gradient steps (Adam)."""
+def _descend(columns, owner, odds, scale, grade, rounds: int, pull: float) -> OrdinalModel:
+    """Penalised likelihood of the cumulative-link model, by adaptive gradient steps (Adam).
+
+    A weight is odds * (1 + change); the penalty holds the changes near 0.
+    """
     used, place = np.unique(columns, return_inverse=True)
     n, k = len(grade), GRADES - 1
-    value = scale[owner]
-    # w, the first threshold, and the logarithms of the steps to the others
-    state = np.concatenate([np.zeros(len(used)), [0.0], np.zeros(k - 1)])
+    value, m = scale[owner] * odds[columns], len(used)
+    # the changes, the common factor, the first threshold, and the logarithms of the steps to the others
+    state = np.concatenate([np.zeros(m), [1.0, 0.0], np.zeros(k - 1)])
     first, second = np.zeros_like(state), np.zeros_like(state)
-    rate = np.concatenate([np.full(len(used), 0.2), np.full(k, 0.05)])
+    rate = np.concatenate([np.full(m, 0.02), np.full(k + 1, 0.1)])
     for step in range(1, rounds + 1):
-        weights, t0, logs = state[: len(used)], state[len(used)], state[len(used) + 1 :]
-        steps = np.exp(logs)
+        change, factor, t0, steps = state[:m], state[m], state[m + 1], np.exp(state[m + 2 :])
         thresholds = np.concatenate([[-np.inf], t0 + np.concatenate([[0.0], np.cumsum(steps)]), [np.inf]])
-        z = np.bincount(owner, weights[place] * value, n)
-        low, high = z - thresholds[grade], z - thresholds[grade + 1]  # P(y) = s(low) - s(high)
+        plain = np.bincount(owner, (1 + change[place]) * value, n)
+        z = factor * plain
+        low, high = z - thresholds[grade], z - thresholds[grade + 1]  # P(grade) = s(low) - s(high)
         s_low, s_high = np.where(np.isinf(low), 1.0, _sigmoid(low)), np.where(np.isinf(high), 0.0, _sigmoid(high))
         likely = np.maximum(s_low - s_high, 1e-9)
-        d_low, d_high = s_low * (1 - s_low) / likely, s_high * (1 - s_high) / likely
-        d_z = (d_low - d_high) / n
-        d_t = np.bincount(grade, -d_low, k + 1)[1:] / n + np.bincount(grade, d_high, k + 1)[:k] / n
-        d_logs = np.cumsum(d_t[::-1])[::-1][1:] * steps
-        slope = np.concatenate([np.bincount(place, d_z[owner] * value, len(used)) - penalty * weights, [d_t.sum()], d_logs])
+        d_low, d_high = s_low * (1 - s_low) / likely / n, s_high * (1 - s_high) / likely / n
+        d_z = d_low - d_high
+        d_t = np.bincount(grade, -d_low, k + 1)[1:] + np.bincount(grade, d_high, k + 1)[:k]
+        d_steps = np.cumsum(d_t[::-1])[::-1][1:] * steps
+        d_change = factor * np.bincount(place, d_z[owner] * value, m) - pull * change
+        slope = np.concatenate([d_change, [(d_z * plain).sum(), d_t.sum()], d_steps])
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
-        state = state + rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-10)
+        state = state + rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     weights = np.zeros(BUCKETS, np.float32)
-    weights[used] = state[: len(used)]
-    t0, logs = state[len(used)], state[len(used) + 1 :]
-    return OrdinalModel(weights, t0 + np.concatenate([[0.0], np.cumsum(np.exp(logs))]))
+    weights[used] = state[m] * (1 + state[:m]) * odds[used]
+    return OrdinalModel(weights, state[m + 1] + np.concatenate([[0.0], np.cumsum(np.exp(state[m + 2 :]))]))
+
+
+def predict(model: OrdinalModel, x: np.ndarray) -> tuple[float, int, float, bool]:
+    """expected_severity, severity, p_toxic and toxic of a feature vector."""
+    if not x[0] or not len(model.thresholds):
+        return 0.0, 0, 0.0, False
+    above = _sigmoid(float(model.weights[x[1:]].sum()) / np.sqrt(x[0]) - model.thresholds)
+    each = -np.diff(np.concatenate([[1.0], above, [0.0]]))
+    return float(above.sum()), int(np.argmax(each)), float(above[0]), bool(above[0] >= 0.5)
 
 
 def grade_severity(documents: DataFrame, model: OrdinalModel, keep=("doc_id",)) -> DataFrame:
@@ -145,13 +167,7 @@ def grade_severity(documents: DataFrame, model: OrdinalModel, keep=("doc_id",))
     def work(texts):
         model, known = shared.value, _Buckets()
         for text in texts:
-            x = word_buckets(text, known)
-            if not len(x) or not len(model.thresholds):
-                yield 0.0, 0, 0.0, False
-                continue
-            above = _sigmoid(float(model.weights[x].sum()) / np.sqrt(len(x)) - model.thresholds)
-            each = -np.diff(np.concatenate([[1.0], above, [0.0]]))
-            yield float(above.sum()), int(np.argmax(each)), float(above[0]), bool(above[0] >= 0.5)
+            yield predict(model, feature_buckets(text, known))
 
     return annotate(documents, keep, ["text"], work, "expected_severity double, severity int, p_toxic double, toxic boolean")
 
