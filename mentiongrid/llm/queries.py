@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentiongrid.llm import langid, mixing, neardup, quality, secrets, toxicity, warc
+from mentiongrid.llm import decontam, langid, mixing, neardup, quality, secrets, toxicity, urlfilter, warc
 
-_MODULES = (langid, warc, neardup, mixing, toxicity, quality, secrets)
+_MODULES = (langid, decontam, warc, neardup, urlfilter, mixing, toxicity, quality, secrets)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL: dict[str, str] = {k: v for m in _MODULES for k, v in m.SQL.items()}
