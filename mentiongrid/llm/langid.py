@@ -74,6 +74,8 @@ def features(text: str, buckets: int) -> np.ndarray | None:
 
 def codewords(n: int, seed: int = 7) -> np.ndarray:
     """n codewords: all splits up to five languages, else the random code of best distance."""
+    if n < 2:
+        return np.zeros((n, 0))
     if n <= 5:
         splits = [[1 if i == 0 or (s >> (i - 1)) & 1 else -1 for i in range(n)] for s in range(2 ** (n - 1) - 1)]
         return np.array(splits, np.float64).T.reshape(n, -1)
