@@ -30,6 +30,10 @@ ISSUE_FIELDS = [
     ("newspaper_spatial", ".//dcterms:spatial", "document"),
 ]
 
+# The entities of web markup that texts use; the ampersand comes last.
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+
+
 def _strings(*names):
     return [T.StructField(n, T.StringType()) for n in names]
 
@@ -130,6 +134,13 @@ def web_title(html: Column) -> Column:
 
 
 def web_paragraphs(html: Column) -> Column:
-    """Closed paragraphs of raw web markup joined by blanks, without their tags."""
-    paragraphs = F.regexp_extract_all(html, F.lit(r"(?s)<p>(.*?)</p>"), F.lit(1))
-    return F.regexp_replace(F.array_join(paragraphs, " "), r"<[^>]*>", "")
+    """Paragraphs of raw web markup joined by blanks, without their tags.
+
+    A paragraph ends at its end tag, at the next paragraph or at the end of the page. The
+    usual entities are decoded.
+    """
+    paragraphs = F.regexp_extract_all(html, F.lit(r"(?s)<p(?:\s[^>]*)?>(.*?)(?=<p[\s>]|</p>|\z)"), F.lit(1))
+    text = F.regexp_replace(F.array_join(paragraphs, " "), r"<[^>]*>", "")
+    for entity, char in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text

@@ -38,6 +38,9 @@ def _parse(regex: str):
     if regex is None or not regex.strip():
         raise PatternError("empty pattern")
     body = re.sub(r"^\(\?[a-z]*(?:-[a-z]+)?\)", "", regex)
+    if re.search(r"\[:\^?[a-z]+:\]", body):
+        # The parser below would read such a class as single characters.
+        raise PatternError("POSIX character classes are not supported")
     try:
         return _parser.parse(body)
     except (re.error, OverflowError) as exc:

@@ -50,27 +50,31 @@ def compile_term(regex: str, label: str = "", term_id: int = 0, unicode_case: bo
     )
 
 
-def compile_terms(rows: Iterable[tuple], unicode_case: bool = False) -> list[Term]:
-    """Terms from (label, regex, *attributes) rows; rows whose pattern fails are left out.
+def compile_terms(rows: Iterable[tuple], unicode_case: bool = False, skip_invalid: bool = False) -> list[Term]:
+    """Terms from (label, regex, *attributes) rows.
 
-    `validate_dictionary` lists those rows with the reason.
+    Rows whose pattern fails raise one error that names them all; only `skip_invalid` leaves
+    them out. `validate_dictionary` lists them with the reason.
     """
-    terms = []
+    terms, bad = [], []
     for term_id, (label, regex, *attributes) in enumerate(rows):
         try:
             terms.append(compile_term(regex, label, term_id, unicode_case, tuple(attributes)))
-        except PatternError:
-            continue
+        except PatternError as exc:
+            bad.append(f"{label!r} ({regex!r}): {exc}")
+    if bad and not skip_invalid:
+        raise PatternError(f"{len(bad)} dictionary rows cannot be used: " + "; ".join(bad))
     return terms
 
 
 def load_terms(
-    dictionary: DataFrame, label: str, regex: str = "Regex", attributes: tuple[str, ...] = (), unicode_case: bool = False
+    dictionary: DataFrame, label: str, regex: str = "Regex", attributes: tuple[str, ...] = (), unicode_case: bool = False,
+    skip_invalid: bool = False,
 ) -> list[Term]:
     """Compile a dictionary table. Rows are ordered by their values so that ids are stable."""
     columns = [label, regex, *attributes]
     rows = dictionary.select(*columns).orderBy(*columns).collect()
-    return compile_terms([tuple(r) for r in rows], unicode_case)
+    return compile_terms([tuple(r) for r in rows], unicode_case, skip_invalid)
 
 
 def require_columns(dictionary: DataFrame, *columns: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,17 +22,23 @@ def complete_panel(counts: DataFrame, keys: Sequence[str] = PANEL_KEYS, fill: Se
 
     The last key should be the one with most values: its values stay rows spread over the
     cluster, and each is expanded by the small sets of the other keys, which arrive as one
-    scalar. Rows of `counts` that share a key all stay (see `duplicate_keys`).
+    scalar. Rows of `counts` that share a key all stay (see `duplicate_keys`). NULL is a key
+    value like any other.
 
     `counts` is read three times, so pass a stored table, not the matching job itself.
     """
     *small, spread = keys
-    sets = counts.agg(F.struct(*(F.collect_set(k).alias(k) for k in small)))
-    grid = counts.select(spread).distinct().withColumn("_sets", sets.scalar())
+    # Values in structs, as a set of bare values leaves NULL out.
+    sets = counts.agg(F.struct(*(F.collect_set(F.struct(k)).alias(k) for k in small)))
+    values = counts.select(spread).distinct()
+    # Few rows that become many: spread by number, which adaptive execution leaves alone.
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grid = values.repartition(tasks, spread).withColumn("_sets", sets.scalar())
     for key in small:
-        grid = grid.withColumn(key, F.explode(F.array_compact(F.col("_sets")[key])))
-    facts = counts.select(*keys, *fill)
-    return grid.select(*keys).join(facts, list(keys), "left").fillna(0, subset=list(fill))
+        grid = grid.withColumn(key, F.explode(F.col("_sets")[key])).withColumn(key, F.col(key)[key])
+    facts = counts.select(*(F.col(k).alias(f"_{k}") for k in keys), *fill)
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    return grid.select(*keys).join(facts, same, "left").select(*keys, *fill).fillna(0, subset=list(fill))
 
 
 def mention_rates(panel: DataFrame) -> DataFrame:

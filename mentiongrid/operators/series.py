@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +28,9 @@ def impute_group_mean(df: DataFrame, group: Sequence[str], columns: Sequence[str
     as a year, so adaptive execution broadcasts them) instead of a window, which would gather
     each whole group in one task.
     """
-    means = df.groupBy(*group).agg(*(F.avg(c).alias(f"_mean_{c}") for c in columns))
-    joined = df.join(means, list(group), "left")
+    means = df.groupBy(*(F.col(g).alias(f"_{g}") for g in group)).agg(*(F.avg(c).alias(f"_mean_{c}") for c in columns))
+    # NULL is a group of its own.
+    same = reduce(lambda a, b: a & b, (F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group))
+    joined = df.join(means, same, "left")
     filled = {c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in columns}
     return joined.select(*(filled.get(c, F.col(c)).alias(c) for c in df.columns))

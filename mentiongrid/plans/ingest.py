@@ -19,7 +19,10 @@ _PERIOD = {"period": "string"}
 
 
 def _new_archives(spark: SparkSession, folder: str, target: str) -> DataFrame:
-    archives = with_zip_period(list_zip_files(spark, folder)).filter(F.col("period").isNotNull())
+    archives = with_zip_period(list_zip_files(spark, folder))
+    unknown = [r.path for r in archives.filter(F.col("period").isNull()).select("path").limit(20).collect()]
+    if unknown:
+        raise ValueError(f"archives of unknown periods: {unknown}")
     return pending(archives, stored_keys(spark, target, _PERIOD), "period")
 
 

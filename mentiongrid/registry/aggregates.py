@@ -86,14 +86,14 @@ def _h06_series(spark, sf):
 
 @query(
     "h07_group_mean_imputation",
-    """WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year,
+    """WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_returnflag <> 'R' THEN CAST(year(l_shipdate) AS INTEGER) END AS year,
   CASE WHEN l_quantity > 10 THEN l_quantity END AS n_both, CASE WHEN l_linenumber <> 2 THEN CAST(l_linenumber AS DOUBLE) END AS n_location FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, year, round(COALESCE(n_both, AVG(n_both) OVER (PARTITION BY year)), 6) AS n_both,
   round(COALESCE(n_location, AVG(n_location) OVER (PARTITION BY year)), 6) AS n_location FROM x""",
 )
 def _h07(spark, sf):
     rows = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.year("l_shipdate").alias("year"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(F.col("l_returnflag") != "R", F.year("l_shipdate")).alias("year"),
         F.when(F.col("l_quantity") > 10, F.col("l_quantity")).alias("n_both"),
         F.when(F.col("l_linenumber") != 2, F.col("l_linenumber").cast("double")).alias("n_location"),
     )

@@ -53,6 +53,16 @@ _NAMESPACES = (
 )
 
 
+# The same description as one SQL expression.
+ISSUE_XML_SQL = f"""'<didl:DIDL {_NAMESPACES} ><didl:Item dc:identifier="' || source || '"><didl:Component dc:identifier="' || source ||
+  ':meta"><dc:title>Daily ' || source || '</dc:title><dcterms:spatial>Region ' || lang ||
+  '</dcterms:spatial><dcterms:spatial xsi:type="dcx:creation">' || upper(lang) || '</dcterms:spatial><dc:date>' ||
+  CASE WHEN doc_id % 50 = 0 THEN 'undated' ELSE strftime(DATE '1830-01-01' + CAST((doc_id * 37) % 3650 AS INTEGER), '%Y-%m-%d') END ||
+  '</dc:date><dc:language xsi:type="dcterms:ISO639-1">' || lang || '</dc:language></didl:Component><didl:Item dc:identifier="' ||
+  source || ':a' || doc_id || '"><dc:subject>artikel</dc:subject></didl:Item><didl:Item dc:identifier="' || source ||
+  ':p001"/></didl:Item></didl:DIDL>'"""
+
+
 def issue_descriptions(spark: SparkSession, sf: str) -> DataFrame:
     """(member, content): one issue description per document and its source, without the xsi namespace.
 

@@ -27,7 +27,9 @@ def _c01(spark, sf):
 @query(
     "c02_title_and_paragraphs_of_web_markup",
     """SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title,
-  regexp_replace(array_to_string(regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1), ' '), '<[^>]*>', '', 'g') AS text FROM pages""",
+  replace(replace(replace(replace(replace(replace(regexp_replace(array_to_string(list_transform(
+    string_split(regexp_replace(html, '<p(\\s[^>]*)?>', chr(1), 'g'), chr(1))[2:], lambda x: string_split(x, '</p>')[1]), ' '),
+    '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&') AS text FROM pages""",
 )
 def _c02_web(spark, sf):
     pages = table(spark, sf, "pages")

@@ -12,23 +12,24 @@ from mentiongrid.registry.base import (
     articles, names, place_terms, query, stored_flat, table, topic_terms,
 )
 
-# Ids, texts and issues as three tables. Every seventh article lacks a text and the issues
-# cover some sources only.
+# Ids, texts and issues as three tables. Each article is listed a second time under an id
+# without text and an issue without description, so that no side of the joins is complete.
 _SPLIT_SQL = f"""{ARTICLES},
-meta AS (SELECT newspaper_id || '-' || year AS newspaper_id, article_id, lang AS article_subject FROM articles),
-texts AS (SELECT article_id, lang AS article_title, article_text FROM articles WHERE CAST(article_id AS BIGINT) % 7 <> 0),
+meta AS (SELECT newspaper_id || '-' || year AS newspaper_id, article_id, lang AS article_subject FROM articles
+  UNION ALL SELECT 'lost-' || newspaper_id, 'x' || article_id, lang FROM articles),
+texts AS (SELECT article_id, lang AS article_title, article_text FROM articles),
 papers AS (SELECT newspaper_id || '-' || year AS newspaper_id, MIN(newspaper_date) AS newspaper_date FROM articles
-  WHERE newspaper_id <> 'src3' GROUP BY 1)"""
+  GROUP BY 1)"""
 
 
 def _split(spark, sf):
     rows = articles(spark, sf)
     issue = F.concat("newspaper_id", F.lit("-"), "year").alias("newspaper_id")
-    meta = rows.select(issue, "article_id", F.col("lang").alias("article_subject"))
-    texts = rows.filter(F.col("article_id").cast("bigint") % 7 != 0).select(
-        "article_id", F.col("lang").alias("article_title"), "article_text"
-    )
-    papers = rows.filter("newspaper_id <> 'src3'").groupBy(issue).agg(F.min("newspaper_date").alias("newspaper_date"))
+    listed = rows.select(issue, "article_id", F.col("lang").alias("article_subject"))
+    lost = rows.select(F.concat(F.lit("lost-"), "newspaper_id").alias("newspaper_id"), F.concat(F.lit("x"), "article_id").alias("article_id"), F.col("lang").alias("article_subject"))
+    meta = listed.unionAll(lost)
+    texts = rows.select("article_id", F.col("lang").alias("article_title"), "article_text")
+    papers = rows.groupBy(issue).agg(F.min("newspaper_date").alias("newspaper_date"))
     return meta, texts, papers
 
 
@@ -55,31 +56,31 @@ def _g02(spark, sf):
 @query(
     "g03_skeleton_with_facts",
     """WITH facts AS (SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS year,
-  CAST(month(o_orderdate) AS INTEGER) AS month, COUNT(*) AS n FROM orders WHERE o_totalprice > 400000 GROUP BY 1, 2, 3, 4)
+  CAST(month(o_orderdate) AS INTEGER) AS month, COUNT(*) AS n FROM orders GROUP BY 1, 2, 3, 4)
 SELECT o_orderstatus, o_orderpriority, year, month, COALESCE(n, 0) AS n
 FROM (SELECT * FROM (SELECT DISTINCT o_orderstatus FROM facts), (SELECT DISTINCT o_orderpriority FROM facts),
   (SELECT DISTINCT year FROM facts), (SELECT DISTINCT month FROM facts)) LEFT JOIN facts USING (o_orderstatus, o_orderpriority, year, month)""",
 )
 def _g03(spark, sf):
     keys = ["o_orderstatus", "o_orderpriority", "month", "year"]
-    orders = table(spark, sf, "orders").filter("o_totalprice > 400000")
+    orders = table(spark, sf, "orders")
     dated = orders.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
     return complete_panel(dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys, ["n"])
 
 
-@query("g04_panel_with_names", f"WITH {PANEL_SQL}, {NAMES_SQL} SELECT p.*, location FROM panel p LEFT JOIN (SELECT location, cbscode FROM names WHERE cbscode <> 103) USING (cbscode)")
+@query("g04_panel_with_names", f"WITH {PANEL_SQL}, {NAMES_SQL} SELECT p.*, location FROM panel p LEFT JOIN (SELECT location, cbscode FROM names) USING (cbscode)")
 def _g04(spark, sf):
     panel = mention_rates(complete_panel(stored_flat(spark, sf)))
-    return with_names(panel, names(spark).filter("cbscode <> 103").drop("amsterdamcode"))
+    return with_names(panel, names(spark).drop("amsterdamcode"))
 
 
 @query(
     "g05_attributes_by_text_key",
-    f"""WITH {FLAT_SQL}, {NAMES_SQL} SELECT CAST(n.cbscode AS VARCHAR) AS cbscode, n.location, n.amsterdamcode, year, month, n_both
-FROM names n LEFT JOIN (SELECT cbscode, year, month, n_both FROM flat WHERE disease = 'gamma') f ON n.cbscode = f.cbscode""",
+    f"""WITH {FLAT_SQL}, {NAMES_SQL} SELECT CAST(n.cbscode AS VARCHAR) AS cbscode, n.location, n.amsterdamcode, disease, year, month, n_both
+FROM names n LEFT JOIN (SELECT cbscode, disease, year, month, n_both FROM flat) f ON n.cbscode = f.cbscode""",
 )
 def _g05(spark, sf):
-    facts = stored_flat(spark, sf).filter("disease = 'gamma'").select("cbscode", "year", "month", "n_both")
+    facts = stored_flat(spark, sf).select("cbscode", "disease", "year", "month", "n_both")
     return join_attributes(names(spark), facts, "cbscode")
 
 

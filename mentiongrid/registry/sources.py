@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from mentiongrid.fixed_values import ARTICLE_SUFFIX, ISSUE_SUFFIX, KEY_DATES, ZIP_PERIODS
-from mentiongrid.operators.counting import place_counts, in_years
-from mentiongrid.registry.archives import ARTICLE_XML_SQL, article_archives, issue_archives
+from mentiongrid.operators.counting import place_counts
+from mentiongrid.registry.archives import ARTICLE_XML_SQL, ISSUE_XML_SQL, article_archives, issue_archives
 from mentiongrid.registry.base import (
     ARTICLES, HITS_SQL, articles, place_terms, query, stored_articles, table, topic_terms,
 )
@@ -122,11 +122,10 @@ def _a10(spark, sf):
 
 @query(
     "a11_issue_members_of_archives",
-    "SELECT source || '/' || source || '_' || doc_id || '_didl.xml' AS member, TRUE AS described FROM documents",
+    f"SELECT source || '/' || source || '_' || doc_id || '_didl.xml' AS member, {ISSUE_XML_SQL} AS content FROM documents",
 )
 def _a11(spark, sf):
-    members = zip_members(issue_archives(spark, sf), ISSUE_SUFFIX)
-    return members.select("member", F.col("content").contains("<dc:subject>").alias("described"))
+    return zip_members(issue_archives(spark, sf), ISSUE_SUFFIX).select("member", "content")
 
 
 _PERIOD_NAMES = [*(name for name, _ in ZIP_PERIODS), "unknown.zip"]
@@ -162,13 +161,12 @@ def _a13(spark, sf):
     "a14_saved_year_tables",
     f"WITH {HITS_SQL} SELECT cbscode, year, COUNT(*) AS n_location, "
     r"COUNT(*) FILTER (WHERE regexp_matches(article_text, '(?i)\b(die|der)\b')) AS n_both "
-    "FROM hits WHERE year >= 1834 AND year < 1836 GROUP BY cbscode, year",
+    "FROM hits GROUP BY cbscode, year",
 )
 def _a14(spark, sf):
-    recent = articles(spark, sf).filter(in_years("newspaper_date", 1834, 1836))
-    counts = place_counts(recent, place_terms(), topic_terms()[2], by=("year",), unicode_case=False)
+    counts = place_counts(articles(spark, sf), place_terms(), topic_terms()[2], by=("year",), unicode_case=False)
     codes = local_table(spark, [(t.id, t.attributes[1]) for t in place_terms()], {"place_id": "int", "cbscode": "int"})
     path = new_folder(spark, "years")
     counts.join(codes, "place_id").write.partitionBy("year").parquet(path)
-    saved = read_years(spark, path, 1834, 1836)
+    saved = read_years(spark, path, 1830, 1840)
     return saved.filter("n_location > 0").select("cbscode", "year", "n_location", "n_both")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,7 +15,7 @@ from mentiongrid.fixed_values import ZIP_PERIODS
 from mentiongrid.functions.ids import file_name
 
 _BATCH_BYTES = 8 * 2**20
-_MEMBERS = "path string, member string, content string"
+_MEMBERS = "path string, member string, content string, read_error string"
 
 
 def list_zip_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,7 +25,7 @@ def list_zip_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_zip_members(files: DataFrame, suffix: str, part_bytes: int = 128 * 2**20) -> DataFrame:
-    """(path, member, content) of the members of listed zip files.
+    """(path, member, content, read_error) of the members of listed zip files.
 
     A delivery is a few archives of many gigabytes each. So each archive is divided into
     parts of about `part_bytes`, and every task opens an archive in place and reads the
@@ -69,7 +70,7 @@ def read_member_files(spark: SparkSession, folder: str, suffix: str) -> DataFram
 
 
 def zip_members(archives: DataFrame, suffix: str) -> DataFrame:
-    """(path, member, content) of the members of zip values whose name ends in `suffix`."""
+    """(path, member, content, read_error) of the members of zip values whose name ends in `suffix`."""
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +84,7 @@ def zip_members(archives: DataFrame, suffix: str) -> DataFrame:
 def _members(path: str, archive: zipfile.ZipFile, suffix: str, part: int = 0, parts: int = 1) -> Iterator[pa.RecordBatch]:
     """Wanted members of one part of an archive, in batches of bounded size.
 
-    Undecodable or damaged members have NULL content.
+    Members that are damaged, encrypted, or not text have NULL content and a `read_error`.
     """
     listed = sorted(archive.infolist(), key=lambda info: info.header_offset)
     mine = listed[len(listed) * part // parts: len(listed) * (part + 1) // parts]
@@ -91,8 +92,8 @@ def _members(path: str, archive: zipfile.ZipFile, suffix: str, part: int = 0, pa
     for info in mine:
         if not info.filename.endswith(suffix):
             continue
-        text = _read_text(archive, info)
-        rows.append((path, info.filename, text))
+        text, error = _read_text(archive, info)
+        rows.append((path, info.filename, text, error))
         size += len(text or "")
         if size > _BATCH_BYTES:
             yield _batch(rows)
@@ -101,16 +102,16 @@ def _members(path: str, archive: zipfile.ZipFile, suffix: str, part: int = 0, pa
         yield _batch(rows)
 
 
-def _read_text(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> str | None:
+def _read_text(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> tuple[str | None, str | None]:
     try:
-        return archive.read(info).decode("utf8")
-    except (UnicodeDecodeError, zipfile.BadZipFile):
-        return None
+        return archive.read(info).decode("utf8"), None
+    except (UnicodeDecodeError, zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, EOFError) as exc:
+        return None, f"{type(exc).__name__}: {exc}"
 
 
 def _batch(rows) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["path", "member", "content"])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["path", "member", "content", "read_error"])
 
 
 def zip_period(path: Column) -> Column:

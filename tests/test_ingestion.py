@@ -75,9 +75,9 @@ def test_archives(spark, tmp_path):
 
 
 def test_web_markup(spark):
-    html = "<title>A\nB</title><p>x <b>y</b></p><p>open<p>z</p>"
+    html = "<title>A\nB</title><p>x <b>y</b></p><p class='a'>open<p>z &lt;&amp;lt;</p> no <p>last"
     row = spark.createDataFrame([(html,)], "h string").select(web_title(F.col("h")), web_paragraphs(F.col("h"))).first()
-    assert tuple(row) == ("A\nB", "x y openz")
+    assert tuple(row) == ("A\nB", "x y open z <&lt; last")
 
 
 def test_ids(spark):

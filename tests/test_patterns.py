@@ -148,4 +148,8 @@ def test_validation_sets_bad_rows_apart(spark):
     rows = [("ok", r"\bver\b"), ("bad", "("), ("none", None)]
     checked = validate_dictionary(spark.createDataFrame(rows, "name string, Regex string")).collect()
     assert {r.name: r.pattern_error is None for r in checked} == {"ok": True, "bad": False, "none": False}
-    assert [t.label for t in compile_terms(rows)] == ["ok"]
+    assert [t.label for t in compile_terms(rows, skip_invalid=True)] == ["ok"]
+    with pytest.raises(PatternError, match="cannot be used"):
+        compile_terms(rows)
+    with pytest.raises(PatternError, match="POSIX"):
+        java_pattern(r"[[:alpha:]]ver")
