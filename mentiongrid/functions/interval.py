@@ -40,12 +40,14 @@ def _beta_fraction(a, b, x, eps=1e-15, max_steps=20_000):
     return result
 
 
-def beta_cdf(x, a, b):
-    """Regularised incomplete beta function for arrays, 0 < x < 1."""
+def beta_cdf(x, a, b, log_norm=None):
+    """Regularised incomplete beta function for arrays, 0 < x < 1; `log_norm` is the logarithm of 1 / B(a, b)."""
     x, a, b = (np.asarray(v, float) for v in (x, a, b))
+    if log_norm is None:
+        log_norm = _log_gamma(a + b) - _log_gamma(a) - _log_gamma(b)
     swap = x > (a + 1.0) / (a + b + 2.0)
     p, q, y = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, 1.0 - x, x)
-    front = np.exp(_log_gamma(p + q) - _log_gamma(p) - _log_gamma(q) + p * np.log(y) + q * np.log1p(-y)) / p
+    front = np.exp(log_norm + p * np.log(y) + q * np.log1p(-y)) / p
     value = front * _beta_fraction(p, q, y)
     return np.where(swap, 1.0 - value, value)
 
@@ -57,7 +59,7 @@ def beta_ppf(prob: float, a, b):
     x = np.clip(a / (a + b), 1e-12, 1 - 1e-12)
     log_norm = _log_gamma(a + b) - _log_gamma(a) - _log_gamma(b)
     for _ in range(200):
-        error = beta_cdf(x, a, b) - prob
+        error = beta_cdf(x, a, b, log_norm) - prob
         low, high = np.where(error < 0, x, low), np.where(error < 0, high, x)
         density = np.exp(log_norm + (a - 1) * np.log(x) + (b - 1) * np.log1p(-x))
         with np.errstate(divide="ignore", invalid="ignore", over="ignore"):

@@ -9,6 +9,7 @@ from mentiongrid.operators.series import impute_group_mean, rolling_mean
 from mentiongrid.registry.base import (
     ARTICLES, FLAT_SQL, NAMES_SQL, PANEL_SQL, articles, names, query, stored_flat, table,
 )
+from mentiongrid.registry.interval_sql import with_interval
 from mentiongrid.registry.sources import MONTHLY_ORDERS_SQL, monthly_orders
 
 
@@ -178,14 +179,22 @@ def _h16(spark, sf):
     )
 
 
-@query("h17_binomial_interval")
+_SUPPLIER_COUNTS = f"WITH {_SUPPLIER_YEAR} SELECT l_suppkey, year, n_location, n_both FROM s"
+
+
+def rounded(bounds):
+    """Bounds to six digits, as two ways of computing them agree on."""
+    return bounds.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
+
+
+@query("h17_binomial_interval", with_interval(_SUPPLIER_COUNTS, "l_suppkey, year, n_location, n_both", "textbook"))
 def _h17(spark, sf):
-    return binomial_interval(_supplier_years(spark, sf), "n_both", "n_location")
+    return rounded(binomial_interval(_supplier_years(spark, sf), "n_both", "n_location"))
 
 
-@query("h17_binomial_interval_as_published")
+@query("h17_binomial_interval_as_published", with_interval(_SUPPLIER_COUNTS, "l_suppkey, year, n_location, n_both", "reference"))
 def _h17_published(spark, sf):
-    return binomial_interval(_supplier_years(spark, sf), "n_both", "n_location", variant="reference")
+    return rounded(binomial_interval(_supplier_years(spark, sf), "n_both", "n_location", variant="reference"))
 
 
 @query(
@@ -277,16 +286,23 @@ def _series(spark, sf):
     return series_report(_panel(spark, sf), names(spark), ["Oned", "Ver", "Thble"], ["alpha", "gamma"])
 
 
-@query("h26_series_report")
-def _h26(spark, sf):
-    return _series(spark, sf)
+_SERIES_SQL = f"""WITH {PANEL_SQL}, {NAMES_SQL} SELECT panel.*, location, amsterdamcode, make_date(year, month, 1) AS date,
+  CASE WHEN n_location = 0 THEN CAST('NaN' AS DOUBLE) ELSE CAST(n_both AS DOUBLE) / n_location END AS normalized_mentions
+FROM panel JOIN names USING (cbscode) WHERE location IN ('Oned', 'Ver', 'Thble') AND disease IN ('alpha', 'gamma')"""
 
 
 @query(
-    "h26_series_report_rates",
-    f"""WITH {PANEL_SQL}, {NAMES_SQL} SELECT panel.*, location, amsterdamcode, make_date(year, month, 1) AS date,
-  CASE WHEN n_location = 0 THEN CAST('NaN' AS DOUBLE) ELSE CAST(n_both AS DOUBLE) / n_location END AS normalized_mentions
-FROM panel JOIN names USING (cbscode) WHERE location IN ('Oned', 'Ver', 'Thble') AND disease IN ('alpha', 'gamma')""",
+    "h26_series_report",
+    with_interval(
+        _SERIES_SQL, "base.*", "reference",
+        "CASE WHEN n_both = 0 THEN CAST(0 AS DOUBLE) ELSE least(lower, normalized_mentions) END",
+        "CASE WHEN normalized_mentions = 1 THEN CAST(1 AS DOUBLE) ELSE greatest(upper, normalized_mentions) END",
+    ),
 )
+def _h26(spark, sf):
+    return rounded(_series(spark, sf))
+
+
+@query("h26_series_report_rates", _SERIES_SQL)
 def _h26_rates(spark, sf):
     return _series(spark, sf).drop("lower", "upper")

@@ -11,6 +11,7 @@ from mentiongrid.operators.dictionary import compile_terms, terms_table
 from mentiongrid.operators.matching import match_terms, mention, with_folded, with_mentioned_ids
 from mentiongrid.operators.panel import complete_panel, duplicate_keys, mention_rates, yearly
 from mentiongrid.plans.build_database import flat_counts, monthly_panel
+from mentiongrid.registry.interval_sql import with_interval
 from mentiongrid.registry.base import (
     ARTICLES, FLAT_SQL, HITS_SQL, PAIR_PLACE, PAIR_TOPIC, PANEL_SQL, PLACES, PLACES_SQL, TOPICS,
     articles, dictionaries, place_terms, query, stored_flat, table, topic_terms,
@@ -187,9 +188,10 @@ def _e10(spark, sf):
     return _query_space(spark, sf)
 
 
-@query("e10_counts_over_space_with_interval")
+@query("e10_counts_over_space_with_interval", with_interval(_SPACE_SQL, "base.*", "reference"))
 def _e10_interval(spark, sf):
-    return binomial_interval(_query_space(spark, sf), "n_both", "n_location", variant="reference")
+    found = binomial_interval(_query_space(spark, sf), "n_both", "n_location", variant="reference")
+    return found.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
 
 
 _TIME_SQL = f"""WITH {_PAIR_FLAGS} SELECT yr, mo, COUNT(*) AS n_location, COUNT(*) FILTER (WHERE disease) AS n_both
@@ -201,10 +203,11 @@ def _e11(spark, sf):
     return pair_counts(articles(spark, sf), PAIR_TOPIC, PAIR_PLACE, 1830, 1840, denominator="location")
 
 
-@query("e11_counts_over_time_with_interval")
+@query("e11_counts_over_time_with_interval", with_interval(_TIME_SQL, "base.*", "reference"))
 def _e11_interval(spark, sf):
     counts = pair_counts(articles(spark, sf), PAIR_TOPIC, PAIR_PLACE, 1830, 1840, denominator="location")
-    return binomial_interval(counts, "n_both", "n_location", variant="reference")
+    found = binomial_interval(counts, "n_both", "n_location", variant="reference")
+    return found.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
 
 
 @query(
