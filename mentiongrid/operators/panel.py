@@ -17,15 +17,12 @@ def rate(n_both: Column, n_location: Column) -> Column:
     return F.when(n_location == 0, F.lit(0.0)).otherwise(n_both / n_location)
 
 
-def complete_panel(counts: DataFrame, keys: Sequence[str] = PANEL_KEYS, fill: Sequence[str] = COUNTS) -> DataFrame:
-    """Every combination of the observed values of `keys`, with missing counts set to 0.
+def panel_grid(counts: DataFrame, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
+    """Every combination of the observed values of `keys`.
 
     The last key should be the one with most values: its values stay rows spread over the
     cluster, and each is expanded by the small sets of the other keys, which arrive as one
-    scalar. Rows of `counts` that share a key all stay (see `duplicate_keys`). NULL is a key
-    value like any other.
-
-    `counts` is read three times, so pass a stored table, not the matching job itself.
+    scalar. NULL is a key value like any other.
     """
     *small, spread = keys
     # Values in structs, as a set of bare values leaves NULL out.
@@ -36,9 +33,18 @@ def complete_panel(counts: DataFrame, keys: Sequence[str] = PANEL_KEYS, fill: Se
     grid = values.repartition(tasks, spread).withColumn("_sets", sets.scalar())
     for key in small:
         grid = grid.withColumn(key, F.explode(F.col("_sets")[key])).withColumn(key, F.col(key)[key])
+    return grid.select(*keys)
+
+
+def complete_panel(counts: DataFrame, keys: Sequence[str] = PANEL_KEYS, fill: Sequence[str] = COUNTS) -> DataFrame:
+    """The grid of `keys` with its counts, missing ones set to 0.
+
+    Rows of `counts` that share a key all stay (see `duplicate_keys`). `counts` is read three
+    times, so pass a stored table, not the matching job itself.
+    """
     facts = counts.select(*(F.col(k).alias(f"_{k}") for k in keys), *fill)
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
-    return grid.select(*keys).join(facts, same, "left").select(*keys, *fill).fillna(0, subset=list(fill))
+    return panel_grid(counts, keys).join(facts, same, "left").select(*keys, *fill).fillna(0, subset=list(fill))
 
 
 def mention_rates(panel: DataFrame) -> DataFrame:

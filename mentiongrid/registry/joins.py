@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from mentiongrid.operators.combine import combine, one_per_key, partitioned
 from mentiongrid.operators.counting import pair_counts, place_counts
-from mentiongrid.operators.panel import complete_panel, mention_rates
+from mentiongrid.operators.panel import complete_panel, mention_rates, panel_grid
 from mentiongrid.operators.reports import join_attributes, with_names
 from mentiongrid.session import local_table
 from mentiongrid.registry.base import (
@@ -102,7 +102,7 @@ def _g06(spark, sf):
     f"WITH {PANEL_SQL} SELECT disease, year, month, cbscode FROM skeleton",
 )
 def _g07(spark, sf):
-    return complete_panel(stored_flat(spark, sf)).select("disease", "year", "month", "cbscode").distinct()
+    return panel_grid(stored_flat(spark, sf))
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from mentiongrid.operators import counting
 from mentiongrid.operators.counting import mention_counts, pair_counts, pair_set_counts, place_counts, place_shares, with_year_month
 from mentiongrid.operators.dictionary import compile_term, compile_terms, require_columns, select_pattern
-from mentiongrid.operators.panel import complete_panel, duplicate_keys, mean_rate, mention_rates, require_unique, yearly
+from mentiongrid.operators.panel import complete_panel, duplicate_keys, mean_rate, mention_rates, panel_grid, require_unique, yearly
 from mentiongrid.operators.series import impute_group_mean, rolling_mean
 from mentiongrid.plans import ad_hoc
 from mentiongrid.plans.build_database import Dictionaries, build, monthly_panel
@@ -202,3 +202,20 @@ def test_empty_dictionaries_and_empty_periods(articles):
 def test_pattern_modes_must_agree(articles):
     with pytest.raises(ValueError, match="Leiden"):
         mention_counts(with_year_month(articles), compile_terms(PLACES, unicode_case=True), compile_terms(TOPICS))
+
+
+def test_null_keys_and_groups_are_values(spark):
+    rows = [("a", 1, None, 5, 1), ("a", 2, 7, 3, 0), (None, 1, 7, 2, 2)]
+    counts = spark.createDataFrame(rows, "disease string, year int, cbscode int, n_location long, n_both long")
+    panel = complete_panel(counts, ["disease", "year", "cbscode"]).collect()
+    assert len(panel) == 8 and sum(r.n_location for r in panel) == 10
+    assert {(r.disease, r.year, r.cbscode): r.n_both for r in panel}[(None, 1, 7)] == 2
+    filled = impute_group_mean(spark.createDataFrame([(None, 1.0), (None, None), ("a", 3.0)], "g string, x double"), ["g"], ["x"])
+    assert sorted(r.x for r in filled.collect()) == [1.0, 1.0, 3.0]
+
+
+def test_the_grid_is_expanded_by_many_tasks(spark):
+    counts = spark.range(400).selectExpr("id % 4 as disease", "id % 5 as year", "id as cbscode", "id as n_location", "id as n_both")
+    grid = panel_grid(counts, ["disease", "year", "cbscode"])
+    per_task = grid.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per_task) == 8000 and len(per_task) > 1 and max(r["count"] for r in per_task) < 6000
