@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -70,9 +71,40 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+# The scratch folders that are open, innermost last.
+_SCRATCH: list[str] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the innermost scratch folder, or else below the shared folder."""
+    return f"{_SCRATCH[-1] if _SCRATCH else shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """What is materialised inside goes into one folder that is removed at the end.
+
+    Gives a function that stores a result outside of it, so that nothing lazy is left that
+    would read the removed folder.
+    """
+    path = new_folder(spark, name)
+    outside = len(_SCRATCH)
+    _SCRATCH.append(path)
+
+    def keep(result: DataFrame) -> DataFrame:
+        held = _SCRATCH[outside:]
+        del _SCRATCH[outside:]
+        try:
+            return materialise(result, f"{name}-result")
+        finally:
+            _SCRATCH.extend(held)
+
+    try:
+        yield keep
+    finally:
+        del _SCRATCH[outside:]
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

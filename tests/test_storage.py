@@ -1,4 +1,7 @@
 import datetime
+import os
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -6,7 +9,7 @@ from mentiongrid import schemas
 from mentiongrid.fixed_values import TOPIC_TERMS
 from mentiongrid.operators.combine import one_per_key
 from mentiongrid.operators.dictionary import load_terms
-from mentiongrid.session import local_table, materialise, shared_folder
+from mentiongrid.session import local_table, materialise, new_folder, scratch, shared_folder
 from mentiongrid.sources.nested_json import keyed_values, read_region_names
 from mentiongrid.sources.sinks import append_csv, write_by_year, write_pending, write_sorted
 from mentiongrid.sources.tables import read_csv, read_folder, read_month_counts, read_years
@@ -119,3 +122,17 @@ def test_copies_of_one_id_collapse_before_the_shuffle(spark):
     assert unique.count() == 20_001
     plan = unique._jdf.queryExecution().executedPlan().toString()
     assert plan.index("SortAggregate") < plan.index("Exchange") < plan.rindex("SortAggregate")
+
+
+def test_scratch_folders_are_removed_and_results_kept(spark):
+    with scratch(spark, "outer") as keep:
+        inner = materialise(spark.range(5), "inner")
+        with scratch(spark, "nested"):
+            path = new_folder(spark, "x")
+            spark.range(3).write.parquet(path)
+        result = keep(inner.selectExpr("id + 1 as id"))
+        assert "/outer-" in path and not os.path.exists(path.removeprefix("file:"))
+        assert inner.count() == 5
+    assert sorted(r.id for r in result.collect()) == [1, 2, 3, 4, 5]
+    with pytest.raises(Exception):
+        inner.count()
