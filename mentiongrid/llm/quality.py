@@ -22,9 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentiongrid.llm.common import BLANKS, WORD, table
+from mentiongrid.llm.common import WORD, table
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
+BLANKS = r"\x20\x09-\x0D"
 WINDOW = 8
 
 # Phrases of pages rather than of texts, in lower case.
@@ -33,16 +34,22 @@ BOILERPLATE = [
     "javascript", "lorem ipsum", "sign up for our newsletter", "click here", "subscribe to", "powered by",
 ]
 SEPARATORS = r"[|»«›‹•·>/\\-]+"
+SENTENCE_ENDS = ".!?…:;\"'”»)]"
 
 
 def without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+    return F.regexp_replace(text, f"[{characters}]+", "")
 
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), 0)
 
 
+def _letters(words: str | Column) -> Column:
+    """Code points in an array of words."""
+    return F.length(F.array_join(words, "")).cast("long")
+
+
 def repeated_words(words: Column) -> Column:
     """How many words lie in a window of eight words that the text has at least twice.
 
@@ -79,16 +86,15 @@ def _let(value: Column, body) -> Column:
 
 
 def line_fails(line: Column, last: Column, long_line: int) -> Column:
-    """Whether a line that has a word is to be removed."""
-    words = words_of(line)
-    shown = without(line, BLANKS)
+    """Whether a line that has a word is to be removed. Costly measures stand behind cheap ones."""
     n_words = F.regexp_count(line, F.lit(WORD))
     # Letters and digits are what remains when the rest is taken away.
-    plain = F.length(F.regexp_replace(shown, r"[^\p{L}\p{N}]+", ""))
-    punctuation = (2 * plain < F.length(shown)) | (
-        ~last & (n_words > long_line) & ~F.rtrim(line).rlike(r"[.!?…:;\"'”»)\]]$")
-    )
-    navigation = 3 * F.size(F.filter(words, lambda w: w.rlike(f"^{SEPARATORS}$"))) >= n_words
+    plain = F.length(F.regexp_replace(line, r"[^\p{L}\p{N}]+", ""))
+    ends = F.instr(F.lit(SENTENCE_ENDS), F.right(F.rtrim(line), F.lit(1))) > 0
+    # A line of so many words has as many characters and the blanks between them.
+    punctuation = (2 * plain < F.length(without(line, BLANKS))) | ((F.length(line) > 2 * long_line) & ~last & ~ends & (n_words > long_line))
+    alone = F.regexp_count(line, F.lit(f"(?:^|[{BLANKS}]){SEPARATORS}+(?![^{BLANKS}])"))
+    navigation = (alone > 0) & (3 * alone >= n_words)
     folded = F.lower(line)
     boilerplate = F.lit(False)
     for phrase in BOILERPLATE:
@@ -101,30 +107,33 @@ def clean(documents: DataFrame, most_lost: int = 50, long_line: int = 200) -> Da
     lines = documents.select(
         "doc_id", "text", words_of(F.coalesce("text", F.lit(""))).alias("words"), F.split(F.coalesce("text", F.lit("")), "\n").alias("lines")
     )
-    worded = F.filter("lines", lambda x: F.length(without(x, BLANKS)) > 0)
+    worded = F.filter("lines", lambda x: x.rlike(WORD))
     measured = lines.select(
         "doc_id",
-        "text",
         F.size("words").cast("long").alias("n_words"),
-        F.coalesce(F.length(without(F.col("text"), BLANKS)), F.lit(0)).cast("long").alias("word_chars"),
-        F.coalesce(F.length("text") - F.length(without(F.col("text"), SYMBOLS)), F.lit(0)).cast("long").alias("n_symbols"),
+        _letters("words").alias("word_chars"),
+        F.coalesce(F.regexp_count("text", F.lit(SYMBOLS)), F.lit(0)).cast("long").alias("n_symbols"),
         worded.alias("worded"),
         repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
     )
-    judged = measured.select(
+    flagged = measured.select(
         "*",
         (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long").alias("n_dup_lines"),
-        F.filter("worded", lambda x, i: ~line_fails(x, i == F.size("worded") - 1, long_line)).alias("good"),
+        F.transform("worded", lambda x, i: F.struct(x.alias("line"), line_fails(x, i == F.size("worded") - 1, long_line).alias("bad"))).alias("flags"),
+    )
+    judged = flagged.select(
+        "*",
+        F.transform(F.filter("flags", lambda x: ~x["bad"]), lambda x: x["line"]).alias("good"),
+        _letters(words_of(F.array_join(F.transform(F.filter("flags", lambda x: x["bad"]), lambda x: x["line"]), "\n"))).alias("lost_chars"),
     )
-    left = F.coalesce(F.length(without(F.array_join("good", ""), BLANKS)), F.lit(0)).cast("long")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    lost = F.col("word_chars") - left
+    lost = F.col("lost_chars")
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"),
         F.size("worded").cast("long").alias("n_lines"),
         (F.size("worded") - F.size("good")).cast("long").alias("n_bad_lines"),
-        lost.alias("lost_chars"),
+        "lost_chars",
         (~failed & (100 * lost <= most_lost * F.col("word_chars"))).alias("kept"),
         F.array_join("good", "\n").alias("clean_text"),
     )
