@@ -94,22 +94,24 @@ def permuted(x: Column, n: Column, key: Column) -> Column:
 
 def draws(quotas: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     """(rank, n_blocks, quota) of each source to slots (shard, rank, j): the j-th draw of the source."""
-    total = quotas.select(F.coalesce(F.sum("quota"), F.lit(0))).scalar()
+    spark = quotas.sparkSession
+    total = quotas.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]  # one number
     # The sources are few; their cumulative shares travel as one sorted array.
     upto = Window.partitionBy().orderBy("rank")
     whole = F.nullif(F.sum("quota").over(Window.partitionBy()), F.lit(0))
     shares = quotas.select((F.sum("quota").over(upto) / whole).alias("upto"), "rank")
     steps = shares.select(F.array_sort(F.collect_list(F.struct("upto", "rank")))).scalar()
-    numbers = F.when(total > 0, F.sequence(F.lit(0), F.ceil(total / shard_slots) - 1))
-    shards = quotas.sparkSession.range(1).select(F.explode(numbers).alias("shard")).repartition("shard")
-    slots = shards.select("shard", F.explode(F.sequence(F.lit(0), F.least(F.lit(shard_slots), total - F.col("shard") * shard_slots) - 1)).alias("slot"))
+    # Few rows that become many: spread by number, which adaptive execution leaves alone.
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = spark.range(-(-total // shard_slots), numPartitions=spread).withColumnRenamed("id", "shard")
+    slots = shards.select("shard", F.explode(F.sequence(F.lit(0), F.least(F.lit(shard_slots), F.lit(total) - F.col("shard") * shard_slots) - 1)).alias("slot"))
     chance = slots.select("shard", _hash_unit(F.lit(seed), "shard", "slot").alias("u"), steps.alias("steps"))
     drawn = chance.select("shard", F.get(F.filter("steps", lambda s: s["upto"] > F.col("u")), F.lit(0))["rank"].alias("rank"))
     counts = drawn.groupBy("shard", "rank").count()
     earlier = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     runs = counts.withColumn("from", F.coalesce(F.sum("count").over(earlier), F.lit(0))).join(quotas, "rank")
     upper = F.least(F.col("from") + F.col("count"), F.col("quota"))
-    kept = runs.where(F.col("from") < F.col("quota")).select("shard", "rank", F.explode(F.sequence("from", upper - 1)).alias("j"))
+    kept = runs.where(F.col("from") < F.col("quota")).repartition(spread, "shard", "rank").select("shard", "rank", F.explode(F.sequence("from", upper - 1)).alias("j"))
     # Draws beyond a quota, numbered through, go to the open places of the other sources.
     over = runs.withColumn("spare", F.col("from") + F.col("count") - F.greatest("from", "quota")).where("spare > 0")
     reached = counts.groupBy("rank").agg(F.sum("count").alias("drawn"))
