@@ -8,9 +8,9 @@ r"""Near-duplicate documents: MinHash bands, odd sketches, exact confirmation, c
 2. *Classes.* Texts with equal sets share a 128-bit fingerprint and are one node from here on.
 3. *Stars before pairs.* In each band bucket all members are compared with one centre, not with each
    other: first with the least one over a few bands, then, over all bands and only across components
-   found so far, with the member that has most links. Only then are the pairs of a bucket that
-   still lie in different components compared, so every link that can join two components is
-   tried, and a large group of near copies costs about its size.
+   found so far, with the member that has most links. Buckets that still hold several components are
+   then compared whole, in blocks of at most two chunks of some 256 members, so that every link that can
+   join two components is tried; there no pair becomes a row, only confirmed links do.
 4. *Candidate filter.* A pair must agree in size within 3/4 and its sketches must not show a similarity
    below `SKETCH_LEAST`, more than five standard deviations under 0.75.
 5. *Confirmation.* Survivors are confirmed on the full sets of word runs. Blocks of at most some 256
@@ -43,6 +43,7 @@ NEED, OF = 75, 100
 _SAMPLES = ROWS * BANDS
 _FIRST_BANDS = 8
 _BLOCK = 256
+_CHUNK = 256
 _CACHE = 200_000
 
 
@@ -174,14 +175,103 @@ def _pairs(xy: DataFrame) -> DataFrame:
     return xy.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _all_across(bands: DataFrame, labels: DataFrame, tried: DataFrame) -> DataFrame:
-    """All pairs of a bucket that lie in different components and were not compared yet."""
+def _open_blocks(bands: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold several components, in blocks of two chunks of a bucket.
+
+    (key, low, high, chunk, node, label, n, sketch): two members of a bucket meet in one block.
+    """
     labelled = _labelled(bands, labels)
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    members = materialise(labelled.join(open_keys, "key").select("key", "node", "n", "label"), "open-buckets")
-    x, y = (members.withColumnsRenamed({c: f"{side}_{c}" for c in ("node", "n", "label")}) for side in "xy")
-    across = x.join(y, "key").where("x_label < y_label").where(_similar_size("x_n", "y_n"))
-    return _pairs(across.select(F.col("x_node").alias("x"), F.col("y_node").alias("y"))).join(tried, ["a", "b"], "left_anti")
+    spread = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("size"))
+    chunks = spread.where("least < most").select("key", F.ceil(F.col("size") / _CHUNK).alias("chunks"))
+    members = labelled.join(chunks, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    members = members.join(nodes.select("node", "sketch"), "node")
+    each = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    return each.select("key", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "node", "label", "n", "sketch")
+
+
+_BLOCK_KEY = ["key", "low", "high"]
+
+
+def _across(bands: DataFrame, labels: DataFrame, nodes: DataFrame, documents: DataFrame) -> DataFrame:
+    """(a, b): links between components, from all pairs of members of a bucket.
+
+    No pair becomes a row. Blocks of sketches tell which members may have a link in their block; only these are
+    sent again with their texts, and only confirmed links leave.
+    """
+    blocks = _open_blocks(bands, labels, nodes).repartition(*_BLOCK_KEY).sortWithinPartitions(*_BLOCK_KEY)
+    kinds = "key long, low long, high long, chunk long, node binary, label binary, n long, sketch array<long>"
+    hopeful = materialise(blocks.mapInArrow(_hopeful, kinds), "hopeful")
+    sent = _with_texts(hopeful, nodes, documents).select(*hopeful.columns, "text")
+    return sent.repartition(*_BLOCK_KEY).sortWithinPartitions(*_BLOCK_KEY).mapInArrow(_linked, "a binary, b binary").distinct()
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one block at a time, from rows in the order of the blocks."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = np.stack([batch.column(i).to_numpy() for i in range(3)])
+        if held:
+            ids = np.concatenate([np.array([[held[-1].column(i)[-1].as_py()] for i in range(3)]), ids], 1)
+        cuts = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(0)) + (0 if held else 1)
+        at = 0
+        for cut in cuts.tolist():
+            done = [*held, batch.slice(at, cut - at)]
+            held, at = [], cut
+            yield pa.Table.from_batches([b for b in done if b.num_rows])
+        held.append(batch.slice(at))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _candidates(block: pa.Table) -> np.ndarray:
+    """Which rows of a block may be linked: different components, similar size, and near sketches."""
+    chunk, n = block.column(3).to_numpy(), block.column(6).to_numpy()
+    label = np.unique(block.column(5).to_pylist(), return_inverse=True)[1]
+    sketch = block.column(7).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), -1)  # counts of signed numbers are of their absolute values
+    fits = (label[:, None] < label[None, :]) & (OF * n[:, None] >= NEED * n[None, :]) & (OF * n[None, :] >= NEED * n[:, None])
+    if block.column(1)[0].as_py() != block.column(2)[0].as_py():
+        fits &= chunk[:, None] != chunk[None, :]
+    a, b = np.nonzero(fits)
+    near = np.zeros(len(a), bool)
+    for k in range(0, len(a), 1 << 15):
+        x = sketch[a[k : k + (1 << 15)]] ^ sketch[b[k : k + (1 << 15)]]
+        near[k : k + (1 << 15)] = np.bitwise_count(x).sum(1) <= most_bits(SKETCH_LEAST)
+    return np.stack([a[near], b[near]], 1)
+
+
+def _hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in _by_block(batches):
+        rows = np.unique(_candidates(block))
+        if len(rows):
+            yield from block.take(pa.array(rows)).combine_chunks().to_batches()
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in _by_block(batches):
+        nodes, labels = block.column(4).to_pylist(), block.column(5).to_pylist()
+        sets = [shingle_set(words_of(t)) for t in block.column(8).to_pylist()]
+        joined, ends = set(), []
+        for i, j in _candidates(block).tolist():
+            if (labels[i], labels[j]) in joined:
+                continue  # one link joins two components
+            both = len(sets[i] & sets[j])
+            if OF * both >= NEED * (len(sets[i]) + len(sets[j]) - both):
+                joined.add((labels[i], labels[j]))
+                ends.append(sorted((nodes[i], nodes[j])))
+        yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in ends], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+
+def _with_texts(rows: DataFrame, nodes: DataFrame, documents: DataFrame) -> DataFrame:
+    """`rows` with the text of their `node`."""
+    keys = nodes.select("node", F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
+    wanted = rows.join(keys, "node")
+    needed = wanted.select("k_id", "k_hash").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("k_id")) & F.col("text_hash").eqNullSafe(F.col("k_hash"))
+    texts = documents.select(*row_key("text"), "text").join(needed, same, "left_semi")
+    texts = texts.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
+    return wanted.join(texts, same)
 
 
 def _sketched(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -210,13 +300,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, documents: DataFrame) -> Data
     members = stars.select("node", "centre", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(1).alias("role"))
     members = materialise(members, "pair-members")
     centres = members.select(F.col("centre").alias("node"), "centre", "block", F.lit(0).alias("role")).distinct()
-    keys = nodes.select("node", F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
-    wanted = members.unionByName(centres).join(keys, "node")
-    needed = wanted.select("k_id", "k_hash").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("k_id")) & F.col("text_hash").eqNullSafe(F.col("k_hash"))
-    texts = documents.select(*row_key("text"), "text").join(needed, same, "left_semi")
-    texts = texts.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
-    sent = wanted.join(texts, same).select("centre", "block", "role", "node", "text")
+    sent = _with_texts(members.unionByName(centres), nodes, documents).select("centre", "block", "role", "node", "text")
     in_order = sent.repartition("centre", "block").sortWithinPartitions("centre", "block", "role")
     return in_order.mapInArrow(_compare, "a binary, b binary")
 
@@ -279,10 +363,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     tried, links = round_(_stars(bands.where(F.col("band") < _FIRST_BANDS), None, None))
     labels = components(links)
-    more, new = round_(_stars(bands, labels, links).join(tried, ["a", "b"], "left_anti"))
-    labels, tried = components(new, labels), tried.unionByName(more)
-    _, new = round_(_all_across(bands, labels, tried))
+    _, new = round_(_stars(bands, labels, links).join(tried, ["a", "b"], "left_anti"))
     labels = components(new, labels)
+    labels = components(materialise(_across(bands, labels, nodes, documents), "confirmed"), labels)
 
     ids = nodes.select("node", "least_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     found = ids.groupBy("root").agg(F.min("least_id").alias("component_id"))
