@@ -9,7 +9,7 @@ r"""Near-duplicate documents: MinHash bands, odd sketches, exact confirmation, c
 3. *Stars before pairs.* In each band bucket all members are compared with one centre, not with each
    other: first with the least one over a few bands, then, over all bands and only across components
    found so far, with the member that has most links. Buckets that still hold several components are
-   then compared whole, in blocks of at most two chunks of some 256 members, so that every link that can
+   then compared whole, in blocks of at most two chunks of some 512 members, so that every link that can
    join two components is tried; there no pair becomes a row, only confirmed links do.
 4. *Candidate filter.* A pair must agree in size within 3/4 and its sketches must not show a similarity
    below `SKETCH_LEAST`, more than five standard deviations under 0.75.
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentiongrid.llm.common import annotate, row_key, table
-from mentiongrid.session import materialise
+from mentiongrid.session import materialise, scratch
 
 WORDS, ROWS, BANDS = 5, 5, 56
 SKETCH_BITS = 2048
@@ -43,7 +43,7 @@ NEED, OF = 75, 100
 _SAMPLES = ROWS * BANDS
 _FIRST_BANDS = 8
 _BLOCK = 256
-_CHUNK = 256
+_CHUNK = 512
 _CACHE = 200_000
 
 
@@ -349,8 +349,12 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """Per row of (doc_id, text): doc_id, text_hash, n_shingles, component_id, kept."""
-    documents = documents.select("doc_id", "text")
+    """Per row of (doc_id, text): doc_id, text_hash, n_shingles, component_id, kept; a stored table."""
+    with scratch(documents.sparkSession, "near-duplicates") as keep:
+        return keep(_near_duplicates(documents.select("doc_id", "text")))
+
+
+def _near_duplicates(documents: DataFrame) -> DataFrame:
     signed = materialise(signatures(documents).withColumn("row_id", F.monotonically_increasing_id()), "signatures")
     rows = signed.where("node is not null")
     first = rows.groupBy("node").agg(F.min("row_id").alias("row_id"), F.min("doc_id").alias("least_id"))
