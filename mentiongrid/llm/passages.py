@@ -72,7 +72,7 @@ def _extreme(x: np.ndarray, width: int, best) -> np.ndarray:
 
 
 def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of a text."""
+    """Places and 48-bit hashes of the anchors of a text."""
     if len(data) < LENGTH:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     grams = _hashes(np.frombuffer(data, np.uint8), [16, 8])
@@ -80,7 +80,17 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     edge = np.zeros(_REACH, np.uint64)
     chosen = _extreme(np.concatenate([edge, least, edge]), _STARTS, np.maximum) == grams
     places = np.flatnonzero(chosen)
-    return places, grams[places]
+    return places, grams[places] >> np.uint64(16)
+
+
+def _packed(hashes: np.ndarray) -> bytes:
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel()
 
 
 def _recurring(texts: DataFrame, buckets: int) -> DataFrame:
@@ -98,14 +108,14 @@ def _recurring(texts: DataFrame, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(keys.astype(np.int64)),
-                    pa.array([hashes[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
+                    pa.array([_packed(hashes[a:b]) for a, b in zip(first, ends, strict=True)], pa.binary()),
                     pa.array([counts[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
                 ],
                 ["bucket", "hashes", "counts"],
             )
 
     def unite(group: pa.Table) -> pa.Table:
-        hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in group.column(1).to_pylist()])
+        hashes = np.concatenate([_unpacked(x) for x in group.column(1).to_pylist()])
         counts = np.concatenate([np.frombuffer(x, np.uint32) for x in group.column(2).to_pylist()]).astype(np.int64)
         order = np.argsort(hashes)
         hashes = hashes[order]
@@ -118,8 +128,10 @@ def _recurring(texts: DataFrame, buckets: int) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(unite, "hash long, n long")
 
 
-def _places(hashes: np.ndarray, log_bits: int) -> np.ndarray:
-    return ((hashes * np.uint64(0xA24BAED4963EE407)) >> np.uint64(64 - log_bits)).astype(np.int64)
+def _places(hashes: np.ndarray, log_bits: int) -> list[np.ndarray]:
+    """Two flags of each hash."""
+    spread = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25))
+    return [((hashes * factor) >> np.uint64(64 - log_bits)).astype(np.int64) for factor in spread]
 
 
 def _bitmap(hashes: DataFrame, log_bits: int) -> np.ndarray:
@@ -127,7 +139,7 @@ def _bitmap(hashes: DataFrame, log_bits: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = _places(batch.column(0).to_numpy().view(np.uint64), log_bits)
+            place = np.concatenate(_places(batch.column(0).to_numpy().view(np.uint64), log_bits))
             yield pa.RecordBatch.from_arrays([pa.array(place >> 5), pa.array(np.int64(1) << (place & 31))], ["word", "flags"])
 
     words = hashes.select("hash").mapInArrow(run, "word long, flags long").groupBy("word").agg(F.bit_or("flags").alias("flags")).toArrow()
@@ -137,12 +149,13 @@ def _bitmap(hashes: DataFrame, log_bits: int) -> np.ndarray:
 
 
 def _flagged(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = _places(hashes, len(bits).bit_length() + 4)
-    return (bits[place >> 5] >> (place & 31).astype(np.uint32)) & np.uint32(1) == 1
+    first, second = _places(hashes, len(bits).bit_length() + 4)
+    both = (bits[first >> 5] >> (first & 31).astype(np.uint32)) & (bits[second >> 5] >> (second & 31).astype(np.uint32))
+    return both & np.uint32(1) == 1
 
 
 def _log_bits(n: int, most: int = 28) -> int:
-    return min(most, max(10, int(8 * n).bit_length()))
+    return min(most, max(10, int(16 * n).bit_length()))
 
 
 def _surroundings(texts: DataFrame, bits: np.ndarray, hot: np.ndarray | None) -> DataFrame:
