@@ -114,7 +114,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     pruning makes the branches differ and every branch would read the texts again.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
