@@ -7,7 +7,7 @@ document with a smaller doc_id.
    have equal anchors at equal places, so whatever repeats shares an anchor.
 3. Anchors that occur in one document only are dropped: batches of documents send their distinct anchor hashes,
    packed by bucket, and a bitmap of those that recur goes back (of bounded size; if it fills up it drops less).
-4. Every recurring anchor sends its surroundings, all windows that contain it, to the task of its hash.
+4. Every recurring anchor sends its surroundings, all windows it is the anchor of, to the task of its hash.
    There windows are compared by hash first. What repeats is cut out of the distinct surroundings, and the suffix
    array of these strings (`suffixes`, by linear grouping) gives each window the least document that has it.
 5. Anchors that more than `hot` documents share would gather in one task; their windows are rows instead, whose
@@ -71,26 +71,30 @@ def _extreme(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(x[:-rest], x[rest:]) if rest else x
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places and 48-bit hashes of the anchors of a text."""
+def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and 48-bit hashes of the anchors of a text, and whether each is the anchor of the windows at
+    its place - _REACH .. its place, one column for each."""
     if len(data) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((0, _STARTS), bool)
     grams = _hashes(np.frombuffer(data, np.uint8), [16, 8])
     least = _extreme(grams, _STARTS, np.minimum)
     edge = np.zeros(_REACH, np.uint64)
     chosen = _extreme(np.concatenate([edge, least, edge]), _STARTS, np.maximum) == grams
     places = np.flatnonzero(chosen)
-    return places, grams[places] >> np.uint64(16)
+    around = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, least, edge]), _STARTS)
+    return places, grams[places] >> np.uint64(16), around[places] == grams[places][:, None]
 
 
 def _packed(hashes: np.ndarray) -> bytes:
-    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    """Ascending 48-bit numbers as differences, low bytes first: the high bytes are nearly all zero."""
+    steps = np.diff(hashes, prepend=np.uint64(0)).astype("<u8")
+    return steps.view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
     wide = np.zeros((len(data) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return wide.view("<u8").ravel()
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(6, -1).T
+    return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
 
 
 def _recurring(texts: DataFrame, buckets: int) -> DataFrame:
@@ -168,17 +172,19 @@ def _surroundings(texts: DataFrame, bits: np.ndarray, hot: np.ndarray | None) ->
             columns: list[list] = [[], [], [], [], [], []]
             for i in range(batch.num_rows):
                 data = batch.column(2)[i].as_py().encode("utf-8", "surrogatepass")
-                places, hashes = anchors(data)
+                places, hashes, own = anchors(data)
                 wanted = _flagged(bits, hashes)
                 if hot is not None:
                     wanted &= ~_flagged(hot, hashes)
-                places, hashes = places[wanted], hashes[wanted].view(np.int64)
+                places, hashes, own = places[wanted], hashes[wanted].view(np.int64), own[wanted]
+                first = places - _REACH + own.argmax(1)
+                end = places - own[:, ::-1].argmax(1) + LENGTH
                 columns[0].append(hashes)
                 columns[1].append(np.full(len(places), batch.column(0)[i].as_py()))
                 columns[2].append(np.full(len(places), batch.column(1)[i].as_py()))
                 columns[3].append(places.astype(np.int32))
-                columns[4].append(np.minimum(places, _REACH).astype(np.int32))
-                columns[5] += [data[max(0, p - _REACH) : p + LENGTH] for p in places.tolist()]
+                columns[4].append((places - first).astype(np.int32))
+                columns[5] += [data[a:b] for a, b in zip(first.tolist(), end.tolist(), strict=True)]
                 if len(columns[5]) > 50_000:
                     yield _batch(columns)
                     columns = [[], [], [], [], [], []]
@@ -277,7 +283,7 @@ def _hot_stretches(texts: DataFrame, hot: np.ndarray) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 data = batch.column(2)[i].as_py().encode("utf-8", "surrogatepass")
-                places, hashes = anchors(data)
+                places, hashes, _ = anchors(data)
                 places = places[_flagged(shared.value, hashes)]
                 starts = np.unique((places[:, None] - np.arange(_STARTS)).ravel())
                 starts = starts[(starts >= 0) & (starts + LENGTH <= len(data))]
