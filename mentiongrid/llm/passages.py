@@ -226,7 +226,10 @@ def _compare(hashes, owners, places, before, around) -> tuple[np.ndarray, np.nda
     matrix[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes - lead, sizes)] = np.frombuffer(b"".join(strings), np.uint8)
     first = np.arange(_STARTS)
     valid = (first >= lead[:, None]) & (first + LENGTH <= (lead + sizes)[:, None])
-    windows = _mix(_hashes(matrix, [32, 16, 2]), anchor.view(np.uint64)[:, None])[valid]
+    part = 4096  # bounds what the hashes of all lengths occupy
+    windows = np.concatenate([
+        _mix(_hashes(matrix[k : k + part], [32, 16, 2]), anchor[k : k + part].view(np.uint64)[:, None])[valid[k : k + part]] for k in range(0, n, part)
+    ])
     _, inverse, counts = np.unique(windows, return_inverse=True, return_counts=True)
     shared = np.zeros_like(valid)
     shared[valid] = counts[inverse] > 1
