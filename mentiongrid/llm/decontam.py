@@ -18,8 +18,9 @@ re-parameterised.
 
 Items with equal texts are one class, named by the least item_id, so copies do not multiply rows.
 
-Defined results: null or empty texts and items without a usable window match nothing. Repeated rows of one
-doc_id count once. A null doc_id or item_id is a value like any other.
+Defined results: null or empty texts and items without a usable window match nothing. Documents
+are rows of equal doc_id and text: repeated ones count once, and texts that share a doc_id are judged apart. The query
+gives a doc_id its most covered text. A null doc_id or item_id is a value like any other.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentiongrid.llm.common import table
+from mentiongrid.llm.common import row_key, table
 from mentiongrid.session import materialise
 
 WINDOW, LITERAL = 8, 5
@@ -126,7 +127,7 @@ def _slots(words: list[str], kind: np.ndarray, start: int, length: int) -> list[
     return [words[i].strip(_EDGES).lower() for i in range(start, start + length) if kind[i]]
 
 
-_WINDOW_ROWS = "id long, start int, hash long, slots array<string>, total int"
+_WINDOW_ROWS = "id long, text_hash long, start int, hash long, slots array<string>, total int"
 
 
 def _window_rows(frame: DataFrame, lengths: list[int] | None, bits: np.ndarray | None) -> DataFrame:
@@ -136,33 +137,33 @@ def _window_rows(frame: DataFrame, lengths: list[int] | None, bits: np.ndarray |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _Codes()
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32()]
         for batch in batches:
             out: list[tuple] = []
             for i in range(batch.num_rows):
-                text = batch.column(1)[i].as_py()
+                text = batch.column(2)[i].as_py()
                 words, hashed, kind = template(text, codes) if text else ([], np.zeros(0, np.uint64), None)
                 if not words:
                     continue
-                row = batch.column(0)[i].as_py()
+                row, key = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 for length in lengths or [min(WINDOW, len(words))]:
                     starts, keys = windows(hashed, kind, length)
                     total = len(starts)
                     if shared is not None:
                         maybe = shared.value[_bit(keys, len(shared.value))]
                         starts, keys = starts[maybe], keys[maybe]
-                    out += [(row, int(s), int(k), _slots(words, kind, s, length), total) for s, k in zip(starts, keys, strict=True)]
+                    out += [(row, key, int(s), int(k), _slots(words, kind, s, length), total) for s, k in zip(starts, keys, strict=True)]
                 if len(out) > 20_000:
                     yield _batch(out, kinds)
                     out = []
             yield _batch(out, kinds)
 
-    return frame.select("id", "text").mapInArrow(run, _WINDOW_ROWS)
+    return frame.select("id", F.xxhash64("text"), "text").mapInArrow(run, _WINDOW_ROWS)
 
 
 def _batch(rows: list[tuple], kinds: list[pa.DataType]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["id", "start", "hash", "slots", "total"])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["id", "text_hash", "start", "hash", "slots", "total"])
 
 
 def _bit(keys: np.ndarray, size: int) -> np.ndarray:
@@ -185,7 +186,7 @@ def _bit_map(hashes: DataFrame, log_bits: int) -> np.ndarray:
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = 0.5, log_bits: int = 22) -> DataFrame:
-    """(doc_id, item_id, n_windows, item_windows, coverage, exact), one row per contaminated document and item.
+    """(doc_id, text_hash, item_id, n_windows, item_windows, coverage, exact), one row per contaminated document and item.
 
     `documents` has doc_id and text, `benchmark` item_id and text.
     """
@@ -194,11 +195,11 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = 0
     lengths = sorted({WINDOW} | {r["n"] for r in _short_lengths(items).collect()})
     bits = _bit_map(listed.select("hash"), log_bits)
     found = _window_rows(documents.select(F.col("doc_id").alias("id"), "text"), lengths, bits).distinct()
-    d = found.select(F.col("id").alias("doc_id"), F.col("start").alias("d_start"), "hash", F.col("slots").alias("d_slots"))
+    d = found.select(F.col("id").alias("doc_id"), "text_hash", F.col("start").alias("d_start"), "hash", F.col("slots").alias("d_slots"))
     i = listed.select(F.col("id").alias("item_id"), F.col("start").alias("i_start"), "hash", F.col("slots").alias("i_slots"), "total")
     aligned = d.join(i, "hash").where(F.size("d_slots") == F.size("i_slots"))
     # A slot pair per placeholder of an alignment; windows overlap, so sets keep each pair once.
-    per_alignment = aligned.groupBy("doc_id", "item_id", "total", (F.col("d_start") - F.col("i_start")).alias("shift")).agg(
+    per_alignment = aligned.groupBy("doc_id", "text_hash", "item_id", "total", (F.col("d_start") - F.col("i_start")).alias("shift")).agg(
         F.collect_set("i_start").alias("starts"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("i_slots").alias("i"), F.col("d_slots").alias("d"))))).alias("pairs"),
     )
@@ -207,11 +208,11 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = 0
     covered = (
         per_alignment.where(consistent)
         .withColumn("exact", exact)
-        .groupBy("doc_id", "item_id", "total")
+        .groupBy("doc_id", "text_hash", "item_id", "total")
         .agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"), F.bool_and("exact").alias("exact"))
     )
     return covered.where(F.size("starts") >= coverage * F.col("total")).select(
-        "doc_id", "item_id", F.size("starts").alias("n_windows"), F.col("total").alias("item_windows"),
+        "doc_id", "text_hash", "item_id", F.size("starts").alias("n_windows"), F.col("total").alias("item_windows"),
         (F.size("starts") / F.col("total")).alias("coverage"), "exact",
     )
 
@@ -230,12 +231,17 @@ def _short_lengths(items: DataFrame) -> DataFrame:
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `documents` that no item contaminates, all columns kept."""
-    bad = contaminated(documents, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    bad = contaminated(documents, benchmark).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct()
+    doc_id, text_hash = row_key("text")
+    return documents.join(bad, (text_hash == F.col("__hash")) & doc_id.eqNullSafe(F.col("__doc")), "left_anti")
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    best = F.max(F.struct("coverage", "exact", "n_windows", "item_windows")).alias("best")
+    return found.groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", "best.n_windows", "best.item_windows", "best.coverage", "best.exact"
+    )
 
 
 QUERIES = {"op2_decontamination": op2_decontamination}

@@ -290,6 +290,16 @@ def test_decontamination_of_empty_tables(spark):
     assert decontam.remove_contaminated(docs.withColumn("item_id", F.lit(1)), bench).columns == ["doc_id", "text", "item_id"]
 
 
+def test_decontamination_judges_texts_of_one_id_apart(spark):
+    item = "which of the seven small rivers of the northern valley carries the most water in a dry late summer"
+    half, rest = " ".join(item.split()[:12]), " ".join(item.split()[7:])
+    rows = [(None, "so " + item), (None, lines(2, 80)), (None, None), (1, item), (1, lines(2, 81)), (1, item), (2, half), (2, rest), (3, half), (3, half)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(0, item)], "item_id long, text string")
+    got = decontam.remove_contaminated(docs, bench).collect()
+    assert Counter(map(tuple, got)) == Counter(r for r in rows if item not in (r[1] or ""))
+
+
 # --- archive -----------------------------------------------------------------
 
 
