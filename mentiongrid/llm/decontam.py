@@ -7,18 +7,25 @@ placeholders whose values are kept apart as slots:
 * `unit`: a unit of measure right after a number;
 * `name`: a capitalised word that neither starts the text nor follows a sentence end, in a text that is not
   mostly written in capitals.
-Every window of `WINDOW` template tokens with at least `LITERAL` words that are no placeholders is hashed. An item with
-fewer tokens is one window of its own length. Documents are read once: a bit map of the benchmark's
+Windows of three tracks are hashed:
+* template: from every token on, the shortest window of at least `WINDOW` template tokens of which at least `LITERAL`
+  are no placeholders, so number-heavy passages get longer windows;
+* whole: an item of fewer than `WINDOW` tokens, or without a template window, is one window of its own length, if
+  it has a word at all. The first token of
+  an item starts a sentence, wherever a document has it;
+* literal: every `WINDOW` tokens, or all of a shorter item, in lower case and with the values of their placeholders.
+Documents are read once: a bit map of the benchmark's
 window hashes, of fixed size, drops nearly all windows where they arise, and the rest is joined by hash.
 
 Per document, item and alignment the slots must map consistently: equal values of the item to equal values of
-the document. A document is contaminated by an item if windows of consistent alignments cover at least
-`coverage` of the item's windows. `exact` says that all slots have the item's values; otherwise the question was
+the document; literal windows need no such test. A document is contaminated by an item if windows cover at least
+`coverage` of the item's template windows (or its whole one), or of its literal ones. The better share is given. `exact` says that all slots have the item's values; otherwise the question was
 re-parameterised.
 
 Items with equal texts are one class, named by the least item_id, so copies do not multiply rows.
 
-Defined results: null or empty texts and items without a usable window match nothing. Documents
+Defined results: null texts and texts without a token match nothing. An item without any word, only
+numbers, is found as it is and not re-parameterised; a short item is found wherever its few tokens stand. Documents
 are rows of equal doc_id and text: repeated ones count once, and texts that share a doc_id are judged apart. The query
 gives a doc_id its most covered text. A null doc_id or item_id is a value like any other.
 """
@@ -26,7 +33,7 @@ gives a doc_id its most covered text. A null doc_id or item_id is a value like a
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentiongrid.llm.common import row_key, table
+from mentiongrid.llm.common import _arrow_types, row_key, table
 from mentiongrid.session import materialise
 
 WINDOW, LITERAL = 8, 5
@@ -51,6 +58,10 @@ UNITS = frozenset(
 )
 
 NUMBER, UNIT, NAME = np.uint64(1), np.uint64(2), np.uint64(3)
+LITERALS, TEMPLATES, WHOLES = 0, 1, 2
+# An odd base of powers and its inverse modulo 2**64.
+_BASE = np.uint64(0xD1342543DE82EF95)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 # The low bits of a word's code.
 _CAPITAL, _ENDS, _IS_NUMBER, _IS_UNIT, _WITH_UNIT, _SHIFT = 1, 2, 4, 8, 16, 5
 
@@ -75,95 +86,177 @@ def _code(word: str) -> int:
         rest = m.string[m.end() :].strip(_EDGES).lower()
         with_unit = rest in UNITS or "%" in m.string[m.end() :]
         if not rest or with_unit:
-            return (1 << 63) | flags | _IS_NUMBER | (_WITH_UNIT if with_unit else 0)
+            return _hashed(core) | flags | _IS_NUMBER | (_WITH_UNIT if with_unit else 0)
     flags |= _IS_UNIT if core in UNITS else 0
     flags |= _CAPITAL if core != word.strip(_EDGES) and word.strip(_EDGES)[:1].isupper() else 0
-    return (xxhash.xxh64_intdigest(core.encode("utf-8", "surrogatepass")) >> (_SHIFT + 1) << _SHIFT) | flags | (1 << 63)
-
-
-def template(text: str, codes: dict[str, int]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Words, template hashes, and the kind of placeholder (0 for a word) of each token."""
-    words = re.findall(r"[^\x20\x09-\x0D]+", text)
-    code = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
-    if not code.all():
-        words = [w for w, c in zip(words, code.tolist(), strict=True) if c]
-        code = code[code != 0]
-    kind = np.zeros(len(code), np.uint64)
-    if not len(code):
-        return words, kind, kind
-
-    def has(flag: int) -> np.ndarray:
-        return code & np.uint64(flag) != 0
-
-    number, capital = has(_IS_NUMBER), has(_CAPITAL)
-    kind[number] = NUMBER
-    after = np.zeros(len(code), bool)
-    after[1:] = (number & ~has(_WITH_UNIT))[:-1]
-    kind[has(_IS_UNIT) & after] = UNIT
-    if 2 * int(capital.sum()) < len(code):
-        start = np.ones(len(code), bool)
-        start[1:] = has(_ENDS)[:-1]
-        kind[capital & ~start & (kind == 0)] = NAME
-    hashed = np.where(kind == 0, code >> np.uint64(_SHIFT), kind)
-    return words, hashed, kind
-
+    return _hashed(core) | flags
 
-def windows(hashed: np.ndarray, kind: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of every window of `length` tokens that has enough words."""
-    n = len(hashed) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    mixed = np.full(n, length, np.uint64)
-    for k in range(length):
-        mixed = (mixed ^ hashed[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-    plain = np.concatenate([[0], np.cumsum(kind == 0)])
-    enough = plain[length:] - plain[:-length] >= min(LITERAL, length)
-    starts = np.flatnonzero(enough)
-    return starts, mixed[starts].view(np.int64)
 
+def _hashed(core: str) -> int:
+    return (xxhash.xxh64_intdigest(core.encode("utf-8", "surrogatepass")) >> (_SHIFT + 1) << _SHIFT) | (1 << 63)
 
-def _slots(words: list[str], kind: np.ndarray, start: int, length: int) -> list[str]:
-    return [words[i].strip(_EDGES).lower() for i in range(start, start + length) if kind[i]]
 
+class Template:
+    """The tokens of a text: words, literal hashes, kinds of placeholders (0 for a word), and hashes of windows."""
 
-_WINDOW_ROWS = "id long, text_hash long, start int, hash long, slots array<string>, total int"
+    def __init__(self, text: str, codes: dict[str, int]):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        code = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
+        if not code.all():
+            words = [w for w, c in zip(words, code.tolist(), strict=True) if c]
+            code = code[code != 0]
+        self.words, self.n = words, len(words)
 
+        def has(flag: int) -> np.ndarray:
+            return code & np.uint64(flag) != 0
 
-def _window_rows(frame: DataFrame, lengths: list[int] | None, bits: np.ndarray | None) -> DataFrame:
-    """Windows of (id, text). With `bits`, only those whose hash may be in the benchmark, of all `lengths`;
-    without, all windows of items, an item of fewer than WINDOW tokens as one window."""
-    shared = frame.sparkSession.sparkContext.broadcast(bits) if bits is not None else None
+        number, self.capital = has(_IS_NUMBER), has(_CAPITAL)
+        kind = np.zeros(self.n, np.uint64)
+        kind[number] = NUMBER
+        after = np.zeros(self.n, bool)
+        after[1:] = (number & ~has(_WITH_UNIT))[:-1]
+        kind[has(_IS_UNIT) & after] = UNIT
+        start = np.ones(self.n, bool)
+        start[1:] = has(_ENDS)[:-1]
+        named = kind.copy()
+        named[self.capital & ~start & (kind == 0)] = NAME
+        self.kinds = (named, kind)  # with names as placeholders, and as words
+        self.literal = code >> np.uint64(_SHIFT)
+        self.powers = np.cumprod(np.full(self.n, _BASE))
+        self.inverse = np.cumprod(np.full(self.n, _INVERSE))
+        self.hashed = [np.where(k == 0, self.literal, k) for k in self.kinds]
+        self.sums = [self._sums(h) for h in (*self.hashed, self.literal)]
+
+    def _sums(self, values: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * self.powers)])
+
+    def _hash(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, track: int) -> np.ndarray:
+        """Of the tokens from starts to ends, wherever they stand: sums of powers modulo 2**64."""
+        mixed = sums * self.inverse[starts]
+        mixed = (mixed ^ (((ends - starts) << 2) | track).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed ^ (mixed >> np.uint64(29))).view(np.int64)
+
+    def _names_are_words(self, starts: np.ndarray, length: int) -> np.ndarray:
+        return np.full(len(starts), 2 * int(self.capital.sum()) >= self.n)
+
+    def literals(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, ends and hashes of the literal windows of `length` tokens."""
+        starts = np.arange(max(0, self.n - length + 1))
+        ends = starts + length
+        return starts, ends, self._hash(self.sums[2][ends] - self.sums[2][starts], starts, ends, LITERALS)
+
+    def templates(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, ends and hashes of the template windows, and which take names as words."""
+        starts = np.arange(max(0, self.n - WINDOW + 1))
+        as_words = self._names_are_words(starts, WINDOW)
+        ends = np.zeros((2, len(starts)), np.int64)
+        for k, kind in enumerate(self.kinds):
+            plain = kind == 0
+            # The end of the LITERAL-th word from each start on; none lies beyond the text.
+            fifth = np.append(np.flatnonzero(plain) + 1, [self.n + 1] * LITERAL)
+            earlier = np.cumsum(plain) - plain
+            ends[k] = np.maximum(fifth[earlier[: len(starts)] + LITERAL - 1], starts + WINDOW)
+        ends = np.where(as_words, ends[1], ends[0])
+        good = np.flatnonzero(ends <= self.n)
+        starts, ends, as_words = starts[good], ends[good], as_words[good]
+        sums = [x[ends] - x[starts] for x in self.sums[:2]]
+        return starts, ends, self._hash(np.where(as_words, sums[1], sums[0]), starts, ends, TEMPLATES), as_words
+
+    def openings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As `templates`, of windows from a name on that is a word where an item starts with it."""
+        starts = np.flatnonzero(self.kinds[0][: max(0, self.n - WINDOW + 1)] == NAME)
+        starts = starts[~self._names_are_words(starts, WINDOW)]
+        plain = self.kinds[0] == 0
+        fifth = np.append(np.flatnonzero(plain) + 1, [self.n + 1] * LITERAL)
+        ends = np.maximum(fifth[np.cumsum(plain)[starts] + LITERAL - 2], starts + WINDOW)
+        starts, ends = starts[ends <= self.n], ends[ends <= self.n]
+        sums = self.sums[0][ends] - self.sums[0][starts] + (self.literal[starts] - NAME) * self.powers[starts]
+        return starts, ends, self._hash(sums, starts, ends, TEMPLATES), np.zeros(len(starts), bool)
+
+    def wholes(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As `templates`, of windows of `length` tokens with a word, the first token taken as the start of a sentence."""
+        starts = np.arange(max(0, self.n - length + 1))
+        ends = starts + length
+        as_words = self._names_are_words(starts, length)
+        first = np.where(self.kinds[0] == NUMBER, NUMBER, self.literal)
+        sums, worded = [], []
+        for kind, hashed, summed in zip(self.kinds, self.hashed, self.sums, strict=False):
+            sums.append(summed[ends] - summed[starts] + (first[starts] - hashed[starts]) * self.powers[starts])
+            plain = np.concatenate([[0], np.cumsum(kind == 0)])
+            worded.append((plain[ends] > plain[starts + 1]) | (kind[starts] != NUMBER))
+        good = np.flatnonzero(np.where(as_words, worded[1], worded[0]))
+        keys = self._hash(np.where(as_words, sums[1], sums[0]), starts, ends, WHOLES)
+        return starts[good], ends[good], keys[good], as_words[good]
+
+    def slots(self, start: int, end: int, track: int, as_words: bool, opening: bool = False) -> list[str]:
+        if track == LITERALS:
+            return []
+        kind = self.kinds[int(as_words)]
+        return [
+            self.words[i].strip(_EDGES).lower()
+            for i in range(start, end)
+            if kind[i] and not (opening and i == start and kind[i] != NUMBER)
+        ]
+
+
+_ROW = {"id": "long", "text_hash": "long", "track": "int", "length": "int", "start": "int", "hash": "long", "slots": "array<string>"}
+# Of items: whether a literal window is as long as the template window from there on, and how many windows there are.
+_ITEM_ROW = _ROW | {"same": "boolean", "total": "int", "literals": "int"}
+
+
+def _item_rows(t: Template) -> Iterator[tuple]:
+    starts, ends, keys, as_words = t.templates()
+    track = TEMPLATES
+    if not len(starts):
+        track = WHOLES
+        starts, ends, keys, as_words = t.wholes(t.n)
+    literal = t.literals(min(WINDOW, t.n))
+    totals = len(starts), len(literal[0])
+    end_of = dict(zip(starts.tolist(), ends.tolist(), strict=True))
+    for s, e, k, w in zip(starts.tolist(), ends.tolist(), keys.tolist(), as_words.tolist(), strict=True):
+        yield track, e - s, s, k, t.slots(s, e, track, w, track == WHOLES), False, *totals
+    for s, e, k in zip(*(x.tolist() for x in literal), strict=True):
+        yield LITERALS, e - s, s, k, [], end_of.get(s) == e, *totals
+
+
+def _document_rows(t: Template, short: list[int], whole: list[int], bits: np.ndarray) -> Iterator[tuple]:
+    """The windows whose hashes may be in the benchmark."""
+    found = [(LITERALS, False, *t.literals(length), None) for length in short]
+    found += [(TEMPLATES, False, *t.templates()), (TEMPLATES, True, *t.openings())] + [(WHOLES, True, *t.wholes(length)) for length in whole]
+    for track, opening, starts, ends, keys, as_words in found:
+        for i in np.flatnonzero(bits[_bit(keys, len(bits))]).tolist():
+            s, e = int(starts[i]), int(ends[i])
+            yield track, e - s, s, int(keys[i]), t.slots(s, e, track, as_words is not None and bool(as_words[i]), opening)
+
+
+def _window_rows(frame: DataFrame, rows: Callable[..., Iterator[tuple]], columns: dict[str, str], *shared) -> DataFrame:
+    """The rows that `rows(Template, *shared)` gives for each text of (id, text)."""
+    ddl = ", ".join(f"{name} {kind}" for name, kind in columns.items())
+    kinds, names = _arrow_types(ddl), list(columns)
+    sent = frame.sparkSession.sparkContext.broadcast(shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _Codes()
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32()]
         for batch in batches:
             out: list[tuple] = []
             for i in range(batch.num_rows):
                 text = batch.column(2)[i].as_py()
-                words, hashed, kind = template(text, codes) if text else ([], np.zeros(0, np.uint64), None)
-                if not words:
+                t = Template(text, codes) if text else None
+                if not t or not t.n:
                     continue
                 row, key = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                for length in lengths or [min(WINDOW, len(words))]:
-                    starts, keys = windows(hashed, kind, length)
-                    total = len(starts)
-                    if shared is not None:
-                        maybe = shared.value[_bit(keys, len(shared.value))]
-                        starts, keys = starts[maybe], keys[maybe]
-                    out += [(row, key, int(s), int(k), _slots(words, kind, s, length), total) for s, k in zip(starts, keys, strict=True)]
+                out += [(row, key, *r) for r in rows(t, *sent.value)]
                 if len(out) > 20_000:
-                    yield _batch(out, kinds)
+                    yield _batch(out, kinds, names)
                     out = []
-            yield _batch(out, kinds)
+            yield _batch(out, kinds, names)
 
-    return frame.select("id", F.xxhash64("text"), "text").mapInArrow(run, _WINDOW_ROWS)
+    return frame.select("id", F.xxhash64("text"), "text").mapInArrow(run, ddl)
 
 
-def _batch(rows: list[tuple], kinds: list[pa.DataType]) -> pa.RecordBatch:
+def _batch(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["id", "text_hash", "start", "hash", "slots", "total"])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
 def _bit(keys: np.ndarray, size: int) -> np.ndarray:
@@ -191,44 +284,47 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = 0
     `documents` has doc_id and text, `benchmark` item_id and text.
     """
     items = benchmark.where("text is not null").groupBy("text").agg(F.min("item_id").alias("id"))
-    listed = materialise(_window_rows(items, None, None), "benchmark-windows")
-    lengths = sorted({WINDOW} | {r["n"] for r in _short_lengths(items).collect()})
+    listed = materialise(_window_rows(items, _item_rows, _ITEM_ROW), "benchmark-windows")
+    # Few values: lengths below WINDOW, and those of items without template windows.
+    lengths = listed.where(F.col("track") != TEMPLATES).select("track", "length").distinct().collect()
+    short = sorted({WINDOW} | {r["length"] for r in lengths if r["track"] == LITERALS})
+    whole = sorted({r["length"] for r in lengths if r["track"] == WHOLES})
     bits = _bit_map(listed.select("hash"), log_bits)
-    found = _window_rows(documents.select(F.col("doc_id").alias("id"), "text"), lengths, bits).distinct()
+    found = _window_rows(documents.select(F.col("doc_id").alias("id"), "text"), _document_rows, _ROW, short, whole, bits).distinct()
     d = found.select(F.col("id").alias("doc_id"), "text_hash", F.col("start").alias("d_start"), "hash", F.col("slots").alias("d_slots"))
-    i = listed.select(F.col("id").alias("item_id"), F.col("start").alias("i_start"), "hash", F.col("slots").alias("i_slots"), "total")
+    i = listed.select(
+        F.col("id").alias("item_id"), F.col("start").alias("i_start"), "hash", F.col("slots").alias("i_slots"), "track", "same", "total", "literals"
+    )
     aligned = d.join(i, "hash").where(F.size("d_slots") == F.size("i_slots"))
+    literal = F.col("track") == LITERALS
+    pair = ["doc_id", "text_hash", "item_id", "total", "literals"]
     # A slot pair per placeholder of an alignment; windows overlap, so sets keep each pair once.
-    per_alignment = aligned.groupBy("doc_id", "text_hash", "item_id", "total", (F.col("d_start") - F.col("i_start")).alias("shift")).agg(
-        F.collect_set("i_start").alias("starts"),
+    per_alignment = aligned.groupBy(*pair, (F.col("d_start") - F.col("i_start")).alias("shift")).agg(
+        F.collect_set(F.when(~literal, F.col("i_start"))).alias("starts"),
+        F.collect_set(F.when(literal & F.col("same"), F.col("i_start"))).alias("same_starts"),
+        F.collect_set(F.when(literal, F.col("i_start"))).alias("literal_starts"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("i_slots").alias("i"), F.col("d_slots").alias("d"))))).alias("pairs"),
     )
     consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"])))
     exact = F.forall("pairs", lambda p: p["i"].eqNullSafe(p["d"]))
+    every = {c: F.array_distinct(F.flatten(F.collect_list(c))) for c in ("starts", "same_starts", "literal_starts")}
     covered = (
-        per_alignment.where(consistent)
+        per_alignment.withColumn("starts", F.when(consistent, F.col("starts")).otherwise(F.array().cast("array<int>")))
+        .where((F.size("starts") > 0) | (F.size("literal_starts") > 0))
         .withColumn("exact", exact)
-        .groupBy("doc_id", "text_hash", "item_id", "total")
-        .agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"), F.bool_and("exact").alias("exact"))
+        .groupBy(*pair)
+        .agg(*[c.alias(name) for name, c in every.items()], F.bool_and("exact").alias("exact"))
     )
-    return covered.where(F.size("starts") >= coverage * F.col("total")).select(
-        "doc_id", "text_hash", "item_id", F.size("starts").alias("n_windows"), F.col("total").alias("item_windows"),
-        (F.size("starts") / F.col("total")).alias("coverage"), "exact",
+    shares = [
+        F.struct((F.size(F.array_union("starts", other)) / F.nullif(F.col(total), F.lit(0))).alias("coverage"), F.col(total).alias("of"), F.size(F.array_union("starts", other)).alias("n"))
+        for other, total in (("same_starts", "total"), ("literal_starts", "literals"))
+    ]
+    better = F.when(F.coalesce(shares[0]["coverage"], F.lit(-1.0)) >= shares[1]["coverage"], shares[0]).otherwise(shares[1])
+    return covered.withColumn("best", better).where(F.col("best.coverage") >= coverage).select(
+        "doc_id", "text_hash", "item_id", F.col("best.n").alias("n_windows"), F.col("best.of").alias("item_windows"), "best.coverage", "exact"
     )
 
 
-def _short_lengths(items: DataFrame) -> DataFrame:
-    """Lengths below WINDOW that items have: at most WINDOW - 1 values."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = _Codes()
-        for batch in batches:
-            n = {len(template(t.as_py(), codes)[0]) for t in batch.column(0)}
-            yield pa.RecordBatch.from_arrays([pa.array([x for x in n if 0 < x < WINDOW], pa.int32())], ["n"])
-
-    return items.select("text").mapInArrow(run, "n int").distinct()
-
-
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `documents` that no item contaminates, all columns kept."""
     bad = contaminated(documents, benchmark).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct()

@@ -300,6 +300,26 @@ def test_decontamination_judges_texts_of_one_id_apart(spark):
     assert Counter(map(tuple, got)) == Counter(r for r in rows if item not in (r[1] or ""))
 
 
+def found_by(spark, items, texts):
+    """(text number, item number, exact) of contaminated texts."""
+    docs, bench = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"], r["exact"]) for r in decontam.contaminated(docs, bench).collect()}
+
+
+def test_decontamination_of_items_full_of_numbers(spark):
+    sums = "Add 4 5 6 7 8 9 to 1 2 3 4 5 6 and divide 7 8 9 1 2 3 by 5 6 7 8 9 1"
+    numbers = " ".join(str(k * k) for k in range(3, 20))
+    items = ["Compute 12 + 35 + 48", sums, "12 34 56", numbers, "Ask Anna 12 34 Berta 56 78 Carla 91 23 Dora 45"]
+    texts = [
+        f"{lines(1, 85)} please compute 12 + 35 + 48 {lines(1, 86)}", "So. Compute 7 + 8 + 9 now", "see " + sums + " now", "see " + sums.replace("9", "77"),
+        "it is 12 34 56 here", "it is 12 34 57 here", f"list {numbers} end", f"list {numbers.replace('25', '26')[:30]} end",
+        "ask anna 12 34 berta 56 78 carla 91 23 dora 45", "Ask Emma 11 34 Frida 56 78 Gerda 91 23 Hanna 45", lines(3, 87), "add 4 5 6 7 8 9",
+    ]
+    assert found_by(spark, items, texts) == {
+        (0, 0, True), (1, 0, False), (2, 1, True), (3, 1, False), (4, 2, True), (6, 3, True), (8, 4, True), (9, 4, False),
+    }
+
+
 # --- archive -----------------------------------------------------------------
 
 
