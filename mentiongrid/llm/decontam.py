@@ -5,13 +5,13 @@ placeholders whose values are kept apart as slots:
 * `number`: it starts with a digit, possibly after a sign or currency; letters behind the digits that
   are a unit stay a unit placeholder;
 * `unit`: a unit of measure right after a number;
-* `name`: a capitalised word that neither starts the text nor follows a sentence end, in a text that is not
-  mostly written in capitals.
+* `name`: a capitalised word that neither starts the text nor follows a sentence end.
+Windows with names are also hashed with the names as words, so that neither side has to guess which capitals are names.
 Windows of three tracks are hashed:
 * template: from every token on, the shortest window of at least `WINDOW` template tokens of which at least `LITERAL`
   are no placeholders, so number-heavy passages get longer windows;
 * whole: an item of fewer than `WINDOW` tokens, or without a template window, is one window of its own length, if
-  it has a word at all. The first token of
+  it has a word at all; with names as placeholders only if it is not mostly capitalised. The first token of
   an item starts a sentence, wherever a document has it;
 * literal: every `WINDOW` tokens, or all of a shorter item, in lower case and with the values of their placeholders.
 Documents are read once: a bit map of the benchmark's
@@ -110,7 +110,8 @@ class Template:
         def has(flag: int) -> np.ndarray:
             return code & np.uint64(flag) != 0
 
-        number, self.capital = has(_IS_NUMBER), has(_CAPITAL)
+        number, capital = has(_IS_NUMBER), has(_CAPITAL)
+        self.capitals = np.concatenate([[0], np.cumsum(capital)])
         kind = np.zeros(self.n, np.uint64)
         kind[number] = NUMBER
         after = np.zeros(self.n, bool)
@@ -119,7 +120,8 @@ class Template:
         start = np.ones(self.n, bool)
         start[1:] = has(_ENDS)[:-1]
         named = kind.copy()
-        named[self.capital & ~start & (kind == 0)] = NAME
+        named[capital & ~start & (kind == 0)] = NAME
+        self.names = np.concatenate([[0], np.cumsum(named == NAME)])
         self.kinds = (named, kind)  # with names as placeholders, and as words
         self.literal = code >> np.uint64(_SHIFT)
         self.powers = np.cumprod(np.full(self.n, _BASE))
@@ -136,66 +138,55 @@ class Template:
         mixed = (mixed ^ (((ends - starts) << 2) | track).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         return (mixed ^ (mixed >> np.uint64(29))).view(np.int64)
 
-    def _names_are_words(self, starts: np.ndarray, length: int) -> np.ndarray:
-        return np.full(len(starts), 2 * int(self.capital.sum()) >= self.n)
-
     def literals(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, ends and hashes of the literal windows of `length` tokens."""
         starts = np.arange(max(0, self.n - length + 1))
         ends = starts + length
         return starts, ends, self._hash(self.sums[2][ends] - self.sums[2][starts], starts, ends, LITERALS)
 
-    def templates(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Starts, ends and hashes of the template windows, and which take names as words."""
+    def templates(self, form: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, ends and hashes of the template windows; in form 1 names are words, and those without names are left out."""
         starts = np.arange(max(0, self.n - WINDOW + 1))
-        as_words = self._names_are_words(starts, WINDOW)
-        ends = np.zeros((2, len(starts)), np.int64)
-        for k, kind in enumerate(self.kinds):
-            plain = kind == 0
-            # The end of the LITERAL-th word from each start on; none lies beyond the text.
-            fifth = np.append(np.flatnonzero(plain) + 1, [self.n + 1] * LITERAL)
-            earlier = np.cumsum(plain) - plain
-            ends[k] = np.maximum(fifth[earlier[: len(starts)] + LITERAL - 1], starts + WINDOW)
-        ends = np.where(as_words, ends[1], ends[0])
-        good = np.flatnonzero(ends <= self.n)
-        starts, ends, as_words = starts[good], ends[good], as_words[good]
-        sums = [x[ends] - x[starts] for x in self.sums[:2]]
-        return starts, ends, self._hash(np.where(as_words, sums[1], sums[0]), starts, ends, TEMPLATES), as_words
-
-    def openings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        plain = self.kinds[form] == 0
+        ends = np.maximum(self._word_ends(plain)[(np.cumsum(plain) - plain)[starts] + LITERAL - 1], starts + WINDOW)
+        good = ends <= self.n
+        starts, ends = starts[good], ends[good]
+        if form:
+            named = self.names[ends] > self.names[starts]
+            starts, ends = starts[named], ends[named]
+        return starts, ends, self._hash(self.sums[form][ends] - self.sums[form][starts], starts, ends, TEMPLATES)
+
+    def openings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """As `templates`, of windows from a name on that is a word where an item starts with it."""
         starts = np.flatnonzero(self.kinds[0][: max(0, self.n - WINDOW + 1)] == NAME)
-        starts = starts[~self._names_are_words(starts, WINDOW)]
         plain = self.kinds[0] == 0
-        fifth = np.append(np.flatnonzero(plain) + 1, [self.n + 1] * LITERAL)
-        ends = np.maximum(fifth[np.cumsum(plain)[starts] + LITERAL - 2], starts + WINDOW)
+        ends = np.maximum(self._word_ends(plain)[np.cumsum(plain)[starts] + LITERAL - 2], starts + WINDOW)
         starts, ends = starts[ends <= self.n], ends[ends <= self.n]
         sums = self.sums[0][ends] - self.sums[0][starts] + (self.literal[starts] - NAME) * self.powers[starts]
-        return starts, ends, self._hash(sums, starts, ends, TEMPLATES), np.zeros(len(starts), bool)
+        return starts, ends, self._hash(sums, starts, ends, TEMPLATES)
+
+    def _word_ends(self, plain: np.ndarray) -> np.ndarray:
+        """Where the words end, and LITERAL places beyond the text."""
+        return np.append(np.flatnonzero(plain) + 1, [self.n + 1] * LITERAL)
 
-    def wholes(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """As `templates`, of windows of `length` tokens with a word, the first token taken as the start of a sentence."""
+    def wholes(self, length: int, form: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As `templates`, of all windows of `length` tokens with a word, the first token taken as the start of a sentence."""
         starts = np.arange(max(0, self.n - length + 1))
         ends = starts + length
-        as_words = self._names_are_words(starts, length)
-        first = np.where(self.kinds[0] == NUMBER, NUMBER, self.literal)
-        sums, worded = [], []
-        for kind, hashed, summed in zip(self.kinds, self.hashed, self.sums, strict=False):
-            sums.append(summed[ends] - summed[starts] + (first[starts] - hashed[starts]) * self.powers[starts])
-            plain = np.concatenate([[0], np.cumsum(kind == 0)])
-            worded.append((plain[ends] > plain[starts + 1]) | (kind[starts] != NUMBER))
-        good = np.flatnonzero(np.where(as_words, worded[1], worded[0]))
-        keys = self._hash(np.where(as_words, sums[1], sums[0]), starts, ends, WHOLES)
-        return starts[good], ends[good], keys[good], as_words[good]
-
-    def slots(self, start: int, end: int, track: int, as_words: bool, opening: bool = False) -> list[str]:
-        if track == LITERALS:
-            return []
-        kind = self.kinds[int(as_words)]
+        kind, hashed, sums = self.kinds[form], self.hashed[form], self.sums[form]
+        words = np.concatenate([[0], np.cumsum(kind == 0)])
+        good = (words[ends] > words[starts + 1]) | (kind[starts] != NUMBER)
+        if not form:
+            good &= 2 * (self.capitals[ends] - self.capitals[starts]) < length
+        starts, ends = starts[good], ends[good]
+        first = np.where(kind[starts] == NUMBER, NUMBER, self.literal[starts])
+        changed = sums[ends] - sums[starts] + (first - hashed[starts]) * self.powers[starts]
+        return starts, ends, self._hash(changed, starts, ends, WHOLES)
+
+    def slots(self, start: int, end: int, form: int, opening: bool) -> list[str]:
+        kind = self.kinds[form]
         return [
-            self.words[i].strip(_EDGES).lower()
-            for i in range(start, end)
-            if kind[i] and not (opening and i == start and kind[i] != NUMBER)
+            self.words[i].strip(_EDGES).lower() for i in range(start, end) if kind[i] and not (opening and i == start and kind[i] != NUMBER)
         ]
 
 
@@ -205,28 +196,34 @@ _ITEM_ROW = _ROW | {"same": "boolean", "total": "int", "literals": "int"}
 
 
 def _item_rows(t: Template) -> Iterator[tuple]:
-    starts, ends, keys, as_words = t.templates()
-    track = TEMPLATES
-    if not len(starts):
-        track = WHOLES
-        starts, ends, keys, as_words = t.wholes(t.n)
+    found = {}
+    templates = [t.templates(form) for form in (0, 1)]
+    for form, rows in enumerate(templates):
+        # Names as words differ from names as placeholders only where there are names.
+        track = TEMPLATES if len(rows[0]) or (form and not t.names[-1] and len(templates[0][0])) else WHOLES
+        for s, e, k in zip(*(x.tolist() for x in (rows if track == TEMPLATES else t.wholes(t.n, form))), strict=True):
+            found[track, s, k] = e, t.slots(s, e, form, track == WHOLES)
     literal = t.literals(min(WINDOW, t.n))
-    totals = len(starts), len(literal[0])
-    end_of = dict(zip(starts.tolist(), ends.tolist(), strict=True))
-    for s, e, k, w in zip(starts.tolist(), ends.tolist(), keys.tolist(), as_words.tolist(), strict=True):
-        yield track, e - s, s, k, t.slots(s, e, track, w, track == WHOLES), False, *totals
+    totals = len({s for _, s, _ in found}), len(literal[0])
+    spans = {(s, e) for (_, s, _), (e, _) in found.items()}
+    for (track, s, k), (e, slots) in found.items():
+        yield track, e - s, s, k, slots, False, *totals
     for s, e, k in zip(*(x.tolist() for x in literal), strict=True):
-        yield LITERALS, e - s, s, k, [], end_of.get(s) == e, *totals
+        yield LITERALS, e - s, s, k, [], (s, e) in spans, *totals
 
 
 def _document_rows(t: Template, short: list[int], whole: list[int], bits: np.ndarray) -> Iterator[tuple]:
     """The windows whose hashes may be in the benchmark."""
-    found = [(LITERALS, False, *t.literals(length), None) for length in short]
-    found += [(TEMPLATES, False, *t.templates()), (TEMPLATES, True, *t.openings())] + [(WHOLES, True, *t.wholes(length)) for length in whole]
-    for track, opening, starts, ends, keys, as_words in found:
+    forms = (0, 1) if t.n and t.names[-1] else (0,)
+    found = [(LITERALS, 0, False, *t.literals(length)) for length in short]
+    found += [(TEMPLATES, form, False, *t.templates(form)) for form in forms]
+    found += [(WHOLES, form, True, *t.wholes(length, form)) for length in whole for form in (0, 1)]
+    if len(forms) > 1:
+        found.append((TEMPLATES, 0, True, *t.openings()))
+    for track, form, opening, starts, ends, keys in found:
         for i in np.flatnonzero(bits[_bit(keys, len(bits))]).tolist():
             s, e = int(starts[i]), int(ends[i])
-            yield track, e - s, s, int(keys[i]), t.slots(s, e, track, as_words is not None and bool(as_words[i]), opening)
+            yield track, e - s, s, int(keys[i]), [] if track == LITERALS else t.slots(s, e, form, opening)
 
 
 def _window_rows(frame: DataFrame, rows: Callable[..., Iterator[tuple]], columns: dict[str, str], *shared) -> DataFrame:
@@ -301,6 +298,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = 0
     # A slot pair per placeholder of an alignment; windows overlap, so sets keep each pair once.
     per_alignment = aligned.groupBy(*pair, (F.col("d_start") - F.col("i_start")).alias("shift")).agg(
         F.collect_set(F.when(~literal, F.col("i_start"))).alias("starts"),
+        F.bool_or(F.col("track") == WHOLES).alias("whole"),
         F.collect_set(F.when(literal & F.col("same"), F.col("i_start"))).alias("same_starts"),
         F.collect_set(F.when(literal, F.col("i_start"))).alias("literal_starts"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("i_slots").alias("i"), F.col("d_slots").alias("d"))))).alias("pairs"),
@@ -313,11 +311,12 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = 0
         .where((F.size("starts") > 0) | (F.size("literal_starts") > 0))
         .withColumn("exact", exact)
         .groupBy(*pair)
-        .agg(*[c.alias(name) for name, c in every.items()], F.bool_and("exact").alias("exact"))
+        .agg(F.bool_or(F.col("whole") & consistent).alias("whole"), *[c.alias(name) for name, c in every.items()], F.bool_and("exact").alias("exact"))
     )
+    n_templates = F.when(F.col("whole"), F.col("total")).otherwise(F.size(F.array_union("starts", "same_starts")))
     shares = [
-        F.struct((F.size(F.array_union("starts", other)) / F.nullif(F.col(total), F.lit(0))).alias("coverage"), F.col(total).alias("of"), F.size(F.array_union("starts", other)).alias("n"))
-        for other, total in (("same_starts", "total"), ("literal_starts", "literals"))
+        F.struct((n / F.nullif(F.col(total), F.lit(0))).alias("coverage"), F.col(total).alias("of"), n.alias("n"))
+        for n, total in ((n_templates, "total"), (F.size(F.array_union("starts", "literal_starts")), "literals"))
     ]
     better = F.when(F.coalesce(shares[0]["coverage"], F.lit(-1.0)) >= shares[1]["coverage"], shares[0]).otherwise(shares[1])
     return covered.withColumn("best", better).where(F.col("best.coverage") >= coverage).select(

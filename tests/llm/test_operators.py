@@ -320,6 +320,19 @@ def test_decontamination_of_items_full_of_numbers(spark):
     }
 
 
+def test_decontamination_in_any_case(spark):
+    plain = "Water boils at a lower temperature on high mountains because the pressure of the air up there is much smaller"
+    named = "Every morning Anna walks to Berta and brings her fresh bread while Carla and Dora wait at the old gate"
+    texts = [
+        lines(3, 95) + plain.title() + ". " + lines(3, 96), lines(3, 97) + plain.upper() + ". " + lines(3, 98),
+        lines(3, 99).upper() + named + ". " + lines(3, 100).upper(), lines(2, 101) + named.lower(), lines(3, 102) + named.upper() + ". " + lines(3, 103),
+        lines(3, 104).upper() + named.replace("Anna", "Emma").replace("Dora", "Hanna") + ". " + lines(3, 105).upper(),
+    ]
+    found = found_by(spark, [plain, named], texts)
+    assert found == {(0, 0, True), (1, 0, True), (2, 1, True), (3, 1, True), (4, 1, True), (5, 1, False)}
+    assert found_by(spark, [plain.title(), named.upper()], texts[:5]) == {(0, 0, True), (1, 0, True), (2, 1, True), (3, 1, True), (4, 1, True)}
+
+
 # --- archive -----------------------------------------------------------------
 
 
