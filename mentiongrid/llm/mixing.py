@@ -4,7 +4,8 @@ r"""Mixing sources to target weights, in DataFrame functions only.
    target stops at `repeats` times its source's size; the excess is shared again by weight. Sorted
    by cap over weight the capped sources come first, so running sums give the final level at once.
 2. *Blocks.* The documents of a source, in a pseudorandom order, make one stream of words that is cut
-   into blocks of `block_words`. Positions come from sums per bucket of documents, then within it.
+   into blocks of at most `block_words`, at least `MIN_BLOCKS` for a source of so many words; the blocks of a source
+   differ by one word at most, so a quota of blocks is a share of words. Positions come from sums per bucket of documents, then within it.
 3. *Draws.* Each output shard of `shard_slots` slots draws a source per slot by a hash, that is, one
    multinomial sample of source counts per shard. Free draws would wander from the targets and
    break the bound of `repeats`, so draws of a source beyond its quota are handed, in order,
@@ -32,6 +33,8 @@ from mentiongrid.session import materialise
 
 ROUNDS = 24
 _PER_BUCKET = 2000
+#: Blocks of a source that has that many words, so that small sources meet their targets too.
+MIN_BLOCKS = 16
 
 
 def word_count(text: Column) -> Column:
@@ -135,28 +138,38 @@ def mix(documents: DataFrame, block_words: int = 64, shard_slots: int = 4096, re
     sized = materialise(sized, "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     rank = F.row_number().over(Window.partitionBy().orderBy(F.col("source").asc_nulls_last())).cast("long")
-    sources = materialise(
-        targets(sizes, repeats).select(
-            "*",
-            rank.alias("rank"),
-            F.ceil(F.col("source_size") / block_words).alias("n_blocks"),
-            F.least(F.round(F.col("target") / block_words).cast("long"), repeats * F.ceil(F.col("source_size") / block_words)).alias("quota"),
-        ),
-        "mix-sources",
+    size = F.col("source_size")
+    blocked = targets(sizes, repeats).select(
+        "*", rank.alias("rank"), F.greatest(F.ceil(size / block_words), F.least(size, F.lit(MIN_BLOCKS).cast("long"))).alias("n_blocks")
     )
+    # No source with a target leaves the mix by rounding.
+    wanted = F.greatest(F.round(F.col("target") * F.col("n_blocks") / size).cast("long"), F.lit(1).cast("long"))
+    quota = F.when((size > 0) & (F.col("target") > 0), F.least(wanted, repeats * F.col("n_blocks"))).otherwise(F.lit(0).cast("long"))
+    sources = materialise(blocked.withColumn("quota", quota), "mix-sources")
     quotas = sources.select("rank", "n_blocks", "quota")
     n, j = F.col("n_blocks"), F.col("j")
     slots = draws(quotas, shard_slots, seed).join(quotas, "rank").withColumn("epoch", F.floor(j / n))
     slots = slots.select("shard", "rank", "epoch", permuted(F.pmod(j, n), n, F.xxhash64(F.lit(seed), "rank", "epoch")).alias("block"))
     used = slots.groupBy("rank", "block").count()
-    b = F.lit(block_words)
     known = sources.withColumnRenamed("source", "src")
     placed = streams(sized).join(F.broadcast(known) if _few(known) else known, F.col("source").eqNullSafe(F.col("src")))
-    pieces = placed.where("size > 0").select(
-        "row_id", "rank", "first", "size",
-        F.explode(F.sequence(F.floor(F.col("first") / b), F.floor((F.col("first") + F.col("size") - 1) / b))).alias("block"),
+    # The first `larger` blocks of a source have one word more than the others.
+    least = F.expr("source_size div greatest(n_blocks, 1)")
+    larger = F.expr("source_size % greatest(n_blocks, 1)")
+    placed = placed.where("size > 0").withColumn("least", least).withColumn("larger", larger)
+
+    def block_of(word: str) -> Column:
+        return F.expr(
+            f"if({word} < larger * (least + 1), ({word}) div (least + 1), larger + ({word} - larger * (least + 1)) div greatest(least, 1))"
+        )
+
+    def start_of(block: Column) -> Column:
+        return block * F.col("least") + F.least(block, F.col("larger"))
+
+    pieces = placed.select(
+        "row_id", "rank", "first", "size", "least", "larger", F.explode(F.sequence(block_of("first"), block_of("first + size - 1"))).alias("block")
     )
-    words = F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * b) - F.greatest(F.col("first"), F.col("block") * b)
+    words = F.least(F.col("first") + F.col("size"), start_of(F.col("block") + 1)) - F.greatest(F.col("first"), start_of(F.col("block")))
     taken = pieces.join(used, ["rank", "block"]).groupBy("row_id").agg(F.sum(words * F.col("count")).alias("taken"))
     per_document = (
         sized.join(taken, "row_id", "left")

@@ -435,6 +435,22 @@ def test_mix_meets_targets_and_bounds(spark):
     assert Counter(map(tuple, again)) == Counter(map(tuple, got))
 
 
+def test_mix_of_small_sources(spark):
+    sizes = {"five": 5, "hundred": 100, "large": 40_000, "one": 1, "sixty-five": 65, "z-large": 20_000}
+    rows = [(i, "w " * n, s) for i, (s, n) in enumerate(sizes.items())]
+    taken = {r["source"]: r for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))[1].collect()}
+    wanted = targets_by_hand(sizes)
+    for s, n in sizes.items():
+        assert taken[s]["taken"] <= 3 * n
+        if n < 1000:
+            assert wanted[s] == 3 * n == taken[s]["taken"]
+        assert abs(taken[s]["taken"] - wanted[s]) <= 32 + 0.01 * wanted[s]
+    # Below its cap, too, a small source gets what its target says.
+    even = {"a": 65, "b": 65, "c": 65}
+    got = mixing.mix(spark.createDataFrame([(i, "w " * n, s) for i, (s, n) in enumerate(even.items())], "doc_id long, text string, source string"))[1].collect()
+    assert all(abs(r["taken"] - targets_by_hand(even)[r["source"]]) <= 3 for r in got)
+
+
 def test_mix_of_nothing(spark):
     schema = "doc_id long, text string, source string"
     assert mixing.mix(spark.createDataFrame([], schema))[1].count() == 0
