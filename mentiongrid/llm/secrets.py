@@ -56,12 +56,16 @@ BASE_RULES = [
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
 ]
+# A key goes up to its END line. Without one it takes headers, lines of base64 and the token that ends them.
+_GAP = r"""(?:\\[nr]|[\s>"',])"""
+_TO_END = r"(?:[^-]|-{1,4}[^-])*-----END [A-Z ]*PRIVATE KEY-----"
+_BODY = rf"(?:[\r\n]+[A-Za-z]+-[A-Za-z]+:\x20[^\r\n]*)*(?:{_GAP}*[A-Za-z0-9+/=]{{16,}}(?:{_GAP}+[A-Za-z0-9+/=]{{16,}})*(?:{_GAP}+[A-Za-z0-9+/=]+)?)?"
 MORE_RULES = [
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", rf"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:{_TO_END}|{_BODY})"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36}"),
     Rule("slack", r"xox[abpr]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]+)?"),
     Rule("bearer", r"[Bb]earer [A-Za-z0-9._~+/-]{20,}"),
 ]
 RULES = BASE_RULES + MORE_RULES

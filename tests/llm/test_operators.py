@@ -255,6 +255,20 @@ def test_codewords_are_apart():
         assert codes.shape[0] == n and langid._distance(codes) >= 1
 
 
+def test_redaction_of_whole_keys(spark):
+    body = "\n".join("MIIEpAIBAAKCAQEA" + "Qx7Zk/+9" * 6 for _ in range(5)) + "\nwK2q=="
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    jwt = "eyJ" + "h" * 20 + ".eyJ" + "p" * 20 + "."
+    texts = [
+        f"a {begin}\n{body}\n{end} z", f"a {begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES,0A\n\n{body}\n{end} z", f"a {begin}\n{body}\n",
+        (f"a {begin}\n{body}\n{end} z").replace("\n", "\\n"), f"a {begin}\n{body}\n\n{begin}\n{body}\n{end} z", f"a {jwt}Sig-nature_1234 z", f"{begin} is how a key starts.",
+    ]
+    got = dict(secrets.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    assert [got[i] for i in (0, 1, 3, 5, 6)] == ["a [secret] z"] * 4 + ["[secret] is how a key starts."]
+    assert all(part not in got[i] for i in got for part in ("Qx7Zk", "wK2q", "Sig-", "PRIVATE", "MIIE"))
+    assert got[2].startswith("a [secret]") and got[4].startswith("a [secret]") and got[4].endswith(" z")
+
+
 # --- decontamination ---------------------------------------------------------
 
 
