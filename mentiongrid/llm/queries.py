@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentiongrid.llm import decontam, langid, mixing, neardup, passages, quality, secrets, toxicity, urlfilter, warc
+from mentiongrid.llm import collocations, decontam, langid, mixing, neardup, passages, quality, secrets, substrings, toxicity, urlfilter, warc, wordruns
 
-_MODULES = (langid, decontam, warc, neardup, urlfilter, passages, mixing, toxicity, quality, secrets)
+_MODULES = (langid, decontam, warc, neardup, urlfilter, passages, mixing, toxicity, quality, secrets, substrings, wordruns, collocations)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL: dict[str, str] = {k: v for m in _MODULES for k, v in m.SQL.items()}
