@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mentiongrid.llm.common import table
-from mentiongrid.llm.wordhash import WordNumbers, mixed, packed, unpacked
+from mentiongrid.llm.wordhash import WordNumbers, mixed, packed, stretches, unpacked
 from mentiongrid.session import materialise, scratch
 
 LONGEST, LEAST, TOP = 5, 100, 2000
@@ -122,9 +122,7 @@ def _flags(documents: DataFrame, least: int, buckets: int, log_bits: int) -> np.
             one, two = held.hashes(words, langs, names)
             here = words > 0
             value, count = np.unique(np.concatenate([one[here], two[here[:-1] & here[1:]]]), return_counts=True)
-            bucket, first = np.unique(value >> fine, return_index=True)
-            ends = [*first[1:].tolist(), len(value)]
-            cuts = list(zip(first.tolist(), ends, strict=True))
+            bucket, cuts = stretches(value >> fine)
             lists = [packed(value[a:b], _HASH_BITS // 8) for a, b in cuts]
             counts = [count[a:b].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for a, b in cuts]
             yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int64)), pa.array(lists, pa.binary()), pa.array(counts, pa.binary())], ["bucket", "hashes", "counts"])
@@ -137,8 +135,8 @@ def _flags(documents: DataFrame, least: int, buckets: int, log_bits: int) -> np.
         first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
         often = value[first][np.add.reduceat(count, first) >= least]
         place = np.unique((often >> shift).astype(np.int64))
-        section, first = np.unique(place >> _SECTION, return_index=True)
-        places = [(p & ((1 << _SECTION) - 1)).astype(np.uint16).tobytes() for p in np.split(place, first[1:])] if len(place) else []
+        section, cuts = stretches(place >> _SECTION)
+        places = [(place[a:b] & ((1 << _SECTION) - 1)).astype(np.uint16).tobytes() for a, b in cuts]
         return pa.table({"section": section, "places": pa.array(places, pa.binary())})
 
     def join(rows: pa.Table) -> pa.Table:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentiongrid.llm.common import table
-from mentiongrid.llm.wordhash import Runs, WordHashes, numbered, packed, pieces, unpacked
+from mentiongrid.llm.wordhash import Runs, WordHashes, numbered, packed, pieces, stretches, unpacked
 from mentiongrid.session import materialise
 
 WINDOW = 13
@@ -113,9 +113,8 @@ def _send(chunk_rows: pa.Table, bits: int, buckets: int) -> pa.Table:
     chunk = _Chunk(chunk_rows)
     short = np.unique(chunk.windows >> np.uint64(64 - bits))
     bucket = ((short >> np.uint64(max(0, bits - 32))).astype(np.int64) * buckets) >> min(32, bits)
-    which, first = np.unique(bucket, return_index=True)
-    ends = [*first[1:].tolist(), len(short)]
-    lists = [packed(short[a:b], (bits + 7) // 8) for a, b in zip(first.tolist(), ends, strict=True)]
+    which, cuts = stretches(bucket)
+    lists = [packed(short[a:b], (bits + 7) // 8) for a, b in cuts]
     number = chunk_rows.column("chunk")[0].as_py()
     return pa.table({"bucket": which, "chunk": np.full(len(which), number), "hashes": pa.array(lists, pa.binary())})
 

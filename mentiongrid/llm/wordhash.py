@@ -79,6 +79,12 @@ class Runs:
         return mixed(value + np.asarray(length).astype(np.uint64))
 
 
+def stretches(ascending: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The distinct values of an ascending array, and where each starts and ends."""
+    values, first = np.unique(ascending, return_index=True)
+    return values, list(zip(first.tolist(), [*first[1:].tolist(), len(ascending)][: len(first)], strict=True))
+
+
 def packed(ascending: np.ndarray, width: int) -> bytes:
     """Ascending numbers as differences of `width` bytes, low bytes first: the high bytes are nearly all zero."""
     steps = np.diff(ascending, prepend=np.uint64(0)).astype("<u8")
