@@ -16,7 +16,9 @@ They let a whole dictionary be looked up by words instead of tested pattern by p
 from __future__ import annotations
 
 import re
+import unicodedata
 from dataclasses import dataclass
+from functools import cache
 from re import _constants as sre
 from re import _parser
 
@@ -67,11 +69,55 @@ def near_pattern(first: str, second: str, max_chars: int, unicode_case: bool = F
     return ("(?iuU)" if unicode_case else "(?i)") + f"{a}{gap}{b}|{b}{gap}{a}"
 
 
-def near_pattern_column(first: Column, second: Column, max_chars: int, unicode_case: bool = False) -> Column:
-    """`near_pattern` for columns holding `java_body` values."""
-    gap = F.lit(f"[^\\n]{{0,{max_chars}}}")
-    flags = F.lit("(?iuU)" if unicode_case else "(?i)")
-    return F.concat(flags, first, gap, second, F.lit("|"), second, gap, first)
+def python_pattern(regex: str, unicode_case: bool = False) -> re.Pattern:
+    """`regex` compiled for Python workers, with the meaning of `java_pattern`."""
+    return re.compile(_python_body(regex, unicode_case), _python_flags(unicode_case))
+
+
+def python_near_pattern(first: str, second: str, max_chars: int, unicode_case: bool = False) -> re.Pattern:
+    """`near_pattern` compiled for Python workers."""
+    a, b = _python_body(first, unicode_case), _python_body(second, unicode_case)
+    gap = f"[^\\n]{{0,{max_chars}}}"
+    return re.compile(f"{a}{gap}{b}|{b}{gap}{a}", _python_flags(unicode_case))
+
+
+def longest_match(regex: str) -> int | None:
+    """The most characters a match can have, None without a bound."""
+    most = _parse(regex).getwidth()[1]
+    return int(most) if most < 10_000 else None
+
+
+def _python_flags(unicode_case: bool) -> int:
+    return re.IGNORECASE if unicode_case else re.IGNORECASE | re.ASCII
+
+
+def _python_body(regex: str, unicode_case: bool) -> str:
+    body = java_body(regex, unicode_case).replace("\\z", "\\Z").replace("(?-iu:", "(?-i:")
+    if not unicode_case:
+        return body
+    # Word characters of the Unicode mode include marks, connectors and joiners.
+    outside = _python_marks()
+    body = body.replace("[\\W]", "\\W").replace("[^\\W]", "\\w")
+    body = re.sub(r"\[(\^?)([^\]]*)\]", lambda m: f"[{m[1]}{m[2]}{outside if chr(92) + 'w' in m[2] else ''}]", body)
+    word, other = f"[\\w{outside}]", f"[^\\w{outside}]"
+    body = re.sub(r"(?<!\[)(?<!\[\^)\\w(?![^\[]*\])", lambda _: word, body)
+    body = re.sub(r"\\W(?![^\[]*\])", lambda _: other, body)
+    edge = f"(?:(?<={word})(?!{word})|(?<!{word})(?={word}))"
+    inner = f"(?:(?<={word})(?={word})|(?<!{word})(?!{word}))"
+    return body.replace("\\b", edge).replace("\\B", inner)
+
+
+@cache
+def _python_marks() -> str:
+    """The word characters that Python's own class lacks, as ranges."""
+    codes = [c for c in range(0x300, 0x110000) if unicodedata.category(chr(c)) in ("Mn", "Mc", "Me", "Pc") or c in (0x200C, 0x200D)]
+    parts, start = [], None
+    for code, after in zip(codes, [*codes[1:], None], strict=True):
+        start = code if start is None else start
+        if after != code + 1:
+            parts.append(f"{chr(start)}-{chr(code)}")
+            start = None
+    return "".join(parts)
 
 
 def _char(code: int) -> str:

@@ -3,21 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentiongrid.functions.patterns import fold_case, near_pattern, near_pattern_column
-from mentiongrid.operators.dictionary import EVERYWHERE, Term, compile_term
-from mentiongrid.operators.matching import match_terms, mention, mentioned_ids, with_keys
-from mentiongrid.session import local_table
+from mentiongrid.functions.patterns import fold_case, near_pattern
+from mentiongrid.operators.dictionary import Term, compile_term
+from mentiongrid.operators.matching import mention, with_folded
+from mentiongrid.operators.term_index import TermIndex, id_list, mentions
+from mentiongrid.session import materialise
 
 TEXT = "article_text"
 DATE = "newspaper_date"
 
-# Above this many topics, one aggregate column per topic gives way to one row per mention.
-WIDE_TOPICS = 100
-
 
 def in_years(date: Column | str, start: int, end: int) -> Column:
     """Half-open range [start, end) of years as a range on the date itself, so that scans can prune."""
@@ -56,60 +55,28 @@ def mention_counts(
     A row exists for each topic wherever the place is mentioned at all, also with
     `n_both = 0`. With `max_chars` > 0 the two mentions must lie that close together.
 
-    One pass: topics are flagged per article, the article is expanded to its places, and
-    one partially aggregated group-by counts everything, so a place or month that holds a
-    large share of all articles is reduced before the shuffle.
+    One row per text and period carries its places and topics to the counting. Rows with
+    equal topics are counted first; only these counts are spread over all topics. So what is shuffled is
+    reduced before, whatever share of all articles a place or month holds.
     """
     by = list(by)
-    keyed = with_keys(articles.select(*by, text), text, places, topics, unicode_case=unicode_case)
-    flagged = keyed.withColumn("topic_ids", mentioned_ids(text, topics))
-    # Distances are only measured in articles with a topic; the others leave their text behind.
-    near_text = (F.size("topic_ids") > 0) if max_chars else None
-    hits = match_terms(flagged, places, text, unicode_case, near_text).withColumnRenamed("term_id", "place_id")
-    if not topics:
-        none = F.lit(0).cast("bigint")
-        return hits.select("place_id", *by, F.lit(0).alias("topic_id"), none.alias("n_location"), none.alias("n_both")).limit(0)
-    if len(topics) <= WIDE_TOPICS:
-        return _counts_wide(hits, topics, by, max_chars, text, unicode_case)
-    return _counts_long(hits, topics, by, max_chars, text, unicode_case)
-
-
-def _counts_wide(hits, topics, by, max_chars, text, unicode_case):
-    counters = []
-    for topic in topics:
-        both = F.array_contains("topic_ids", topic.id)
-        if max_chars:
-            both = both & _near(F.lit(topic.body), text, max_chars, unicode_case)
-        counters.append(F.count_if(both).alias(f"topic_{topic.id}"))
-    counts = hits.groupBy("place_id", *by).agg(F.count(F.lit(1)).alias("n_location"), *counters)
-    per_topic = F.array(*(
-        F.struct(F.lit(t.id).alias("topic_id"), F.col(f"topic_{t.id}").alias("n_both")) for t in topics
-    ))
-    return counts.select("place_id", *by, "n_location", F.inline(per_topic)).select(
-        "place_id", *by, "topic_id", "n_location", "n_both"
-    )
-
-
-def _counts_long(hits, topics, by, max_chars, text, unicode_case):
-    """As the wide form, but counting (place, topic) rows; the mark -1 counts the place itself."""
-    bodies = local_table(hits.sparkSession, [(t.id, t.body) for t in topics], {"topic_id": "int", "topic_body": "string"})
-    rows = hits.select("*", F.explode(F.concat(F.array(F.lit(-1)), "topic_ids")).alias("topic_id"))
+    index = TermIndex.of(places, topics, unicode_case=unicode_case)
+    found = mentions(articles.where(F.col(text).isNotNull()), index, text, by, max_chars)
+    hits = found.select(*by, "copies", index.ids("terms", 1).alias("topic_ids"), *(["near"] if max_chars else []), F.explode(_numbers("terms", len(places))).alias("_place"))
     if max_chars:
-        near = _near(F.col("topic_body"), text, max_chars, unicode_case)
-        rows = rows.join(bodies, "topic_id", "left").filter((F.col("topic_id") == -1) | near)
-    counts = rows.groupBy("place_id", *by, "topic_id").agg(F.count(F.lit(1)).alias("n"))
-    # Gather each (place, period) again: at most one entry per topic, all already counted.
-    grouped = counts.groupBy("place_id", *by).agg(F.map_from_entries(F.collect_list(F.struct("topic_id", "n"))).alias("n_of"))
-    ids = F.array(*(F.lit(t.id) for t in topics))
-    return grouped.select("place_id", *by, "n_of", F.explode(ids).alias("topic_id")).select(
-        "place_id", *by, "topic_id",
-        F.col("n_of")[-1].alias("n_location"),
-        F.coalesce(F.try_element_at("n_of", F.col("topic_id")), F.lit(0)).cast("bigint").alias("n_both"),
-    )
+        close = F.filter("near", lambda n: n["first"] == F.col("_place"))
+        hits = hits.withColumn("topic_ids", index.ids(F.transform(close, lambda n: n["second"]), 1))
+    alike = hits.groupBy("_place", *by, "topic_ids").agg(F.sum("copies").alias("n"))
+    spread = alike.select("*", F.explode(id_list([t.id for t in topics])).alias("topic_id"))
+    both = F.sum(F.when(F.array_contains("topic_ids", F.col("topic_id")), F.col("n")).otherwise(0))
+    counts = spread.groupBy("_place", *by, "topic_id").agg(F.sum("n").alias("n_location"), both.alias("n_both"))
+    place_id = F.get(id_list([t.id for t in places]), F.col("_place")) if places else F.col("_place")
+    return counts.select(place_id.alias("place_id"), *by, "topic_id", "n_location", "n_both")
 
 
-def _near(topic_body: Column, text: str, max_chars: int, unicode_case: bool) -> Column:
-    return F.rlike(F.col(text), near_pattern_column(topic_body, F.col("term_body"), max_chars, unicode_case))
+def _numbers(terms: str, n_places: int) -> Column:
+    """The numbers of places among those of all terms."""
+    return F.filter(terms, lambda n: n < n_places)
 
 
 def database_rows(counts: DataFrame, places: DataFrame, topics: DataFrame) -> DataFrame:
@@ -144,6 +111,15 @@ def with_pair_flags(
     return flags.select(*kept, "disease", "location", both.alias("both"))
 
 
+def _second_flag(articles: DataFrame, disease: str, location: str, max_chars: int, text: str, unicode_case: bool) -> DataFrame:
+    """`both` for articles that mention the place: the topic, or with `max_chars` the two that close together."""
+    folded = with_folded(articles, text, unicode_case)
+    both = mention(text, compile_term(disease, unicode_case=unicode_case), F.col("_folded"))
+    if max_chars:
+        both = both & F.col(text).rlike(near_pattern(disease, location, max_chars, unicode_case))
+    return folded.select(*(c for c in articles.columns if c != text), both.alias("both"))
+
+
 def pair_counts(
     articles: DataFrame,
     disease: str,
@@ -165,16 +141,19 @@ def pair_counts(
     if denominator not in ("total", "location"):
         raise ValueError("denominator must be 'total' or 'location'")
     dated = with_year_month(of_years(articles, start, end, date).select(date, text), date, "yr", "mo")
+    if denominator == "location":
+        # The place comes first: the topic is sought only where it is mentioned.
+        folded = with_folded(dated, text, unicode_case)
+        dated = folded.filter(mention(text, compile_term(location, unicode_case=unicode_case), F.col("_folded"))).drop("_folded")
+        both = _second_flag(dated, disease, location, max_chars, text, unicode_case)
+        counts = both.groupBy(*by).agg(F.count(F.lit(1)).alias("n_location"), F.count_if("both").alias("n_both"))
+        return counts
     flags = with_pair_flags(dated, disease, location, max_chars, text, unicode_case)
     counters = [
         F.count_if("disease").alias("n_disease"),
         F.count_if("location").alias("n_location"),
         F.count_if("both").alias("n_both"),
     ]
-    if denominator == "location":
-        # A period without such an article has no row, as if the articles had been filtered.
-        counts = flags.groupBy(*by).agg(*counters[1:])
-        return counts.filter("n_location > 0") if by else counts
     return flags.groupBy(*by).agg(F.count(F.lit(1)).alias("n_total"), *counters)
 
 
@@ -226,21 +205,38 @@ def place_counts(
 ) -> DataFrame:
     """(place_id, *by, n_total, n_disease, n_location, n_both) for every place and every period.
 
-    The totals of a period are counted in the same pass, under a pseudo place. Afterwards
-    a period is gathered into one map with at most one entry per place, so places without
-    a mention get their zeros without a join.
+    The index tells of every text its places and whether it has the topic; a row per period and number
+    of the place, from -1 for all articles, is counted from that. The grid of all places and
+    periods is built from numbers and joined to the counts, so a place without a mention has its zeros.
     """
-    counts = mention_counts(articles, [EVERYWHERE, *places], [topic], by, max_chars, text, unicode_case)
-    entry = F.struct("place_id", F.struct("n_location", "n_both").alias("n"))
-    periods = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(entry)).alias("n_of"))
-    rows = periods.select("*", F.explode(F.array(*(F.lit(p.id) for p in places))).alias("place_id"))
-    here, everywhere = F.try_element_at("n_of", F.col("place_id")), F.try_element_at("n_of", F.lit(EVERYWHERE.id))
-    number = lambda n: F.coalesce(n, F.lit(0)).cast("bigint")
-    return rows.select(
-        "place_id", *by,
-        number(everywhere["n_location"]).alias("n_total"), number(everywhere["n_both"]).alias("n_disease"),
-        number(here["n_location"]).alias("n_location"), number(here["n_both"]).alias("n_both"),
-    )
+    by = list(by)
+    index = TermIndex.of(places, [topic], unicode_case=unicode_case)
+    found = mentions(articles, index, text, by, max_chars)
+    has_topic = F.array_contains("terms", F.lit(len(places)))
+    close = F.array_distinct(F.transform("near", lambda n: n["first"])) if max_chars else F.when(has_topic, _numbers("terms", len(places)))
+    rows = found.select(*by, "copies", has_topic.alias("topic"), close.alias("close"), F.explode(F.concat(F.array(F.lit(-1)), _numbers("terms", len(places)))).alias("_place"))
+    both = F.when(F.col("_place") < 0, F.col("topic")).otherwise(F.coalesce(F.array_contains("close", F.col("_place")), F.lit(False)))
+    counts = rows.groupBy("_place", *by).agg(F.sum("copies").alias("n"), F.sum(F.when(both, F.col("copies")).otherwise(0)).alias("m"))
+    totals = F.struct(*by, F.col("n").alias("n_total"), F.col("m").alias("n_disease"))
+    return _dense(counts, places, totals, by)
+
+
+def _dense(counts: DataFrame, places: list[Term], totals: Column, by: list[str]) -> DataFrame:
+    """Counts of every place (by number) in every period, zeros included."""
+    spark = counts.sparkSession
+    counts = materialise(counts, "place-counts")  # read for the periods and for the places
+    if by:
+        listed = F.collect_list(totals)  # as many as there are periods
+    else:
+        listed = F.array(F.struct(F.coalesce(F.sum("n"), F.lit(0)).alias("n_total"), F.coalesce(F.sum("m"), F.lit(0)).alias("n_disease")))
+    periods = counts.where("_place < 0").agg(listed.alias("p"))
+    grid = spark.range(len(places)).withColumn("p", periods.scalar()).select(F.col("id").cast("int").alias("_place"), F.inline("p"))
+    here = counts.where("_place >= 0").select(F.col("_place").alias("_here"), *(F.col(c).alias(f"_{c}") for c in by), "n", "m")
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by), F.col("_place") == F.col("_here"))
+    place_id = F.get(id_list([t.id for t in places]), F.col("_place")) if places else F.col("_place")
+    number = lambda n: F.coalesce(n, F.lit(0)).cast("bigint").alias(n)
+    rows = grid.join(here, same, "left").withColumnsRenamed({"n": "n_location", "m": "n_both"})
+    return rows.select(place_id.alias("place_id"), *by, *(number(c) for c in ("n_total", "n_disease", "n_location", "n_both")))
 
 
 def place_shares(

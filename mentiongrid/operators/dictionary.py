@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentiongrid.functions.patterns import ALWAYS, Key, PatternError, index_keys, java_body, java_pattern
+from mentiongrid.functions.patterns import Key, PatternError, index_keys, java_body, java_pattern
 from mentiongrid.session import local_table
 
 
@@ -31,13 +31,9 @@ class Term:
     unicode_case: bool = False
 
 
-# A pseudo place that every article mentions; counts under it are totals.
-EVERYWHERE = Term(-1, "", "", "", "", (Key(False, ALWAYS),))
-
-
 def require_mode(terms: Iterable[Term], unicode_case: bool) -> None:
     """Terms compiled for one pattern mode must not meet texts folded for the other."""
-    wrong = [t.label or t.regex for t in terms if t is not EVERYWHERE and t.unicode_case != unicode_case]
+    wrong = [t.label or t.regex for t in terms if t.unicode_case != unicode_case]
     if wrong:
         raise ValueError(f"compiled with unicode_case={not unicode_case}, used with {unicode_case}: {wrong[:5]}")
 

@@ -1,33 +1,16 @@
-"""Matching a dictionary of patterns against article texts.
-
-Cost per article must not grow with dictionary size times text length. So a text is split
-into its words once and the words are intersected with the dictionary's index keys. A key
-that is a whole delimited word proves its term; other keys only nominate the term, whose
-pattern is then tested. Nothing here shuffles: a text stays in the task that read it.
-"""
+"""Matching patterns against article texts: one term as an expression, a dictionary through its index."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentiongrid.functions.patterns import (
-    ALWAYS, INSIDE, RUN, RUN_START, WORD, WORD_START, Key, fold_case,
-)
-from mentiongrid.operators.dictionary import Term, require_mode
+from mentiongrid.functions.patterns import ALWAYS, fold_case
+from mentiongrid.operators.dictionary import Term
+from mentiongrid.operators.term_index import TermIndex, mentions, text_key
 from mentiongrid.session import local_table
 
-# Up to this many terms, flags are one expression per term; beyond it, one expression over
-# the dictionary as a constant.
-SMALL_DICTIONARY = 100
-# Up to this many keys the lookup set is rebuilt per article; beyond it words are joined.
-MAX_KEYS_IN_SET = 20_000
-# A dictionary up to this size is broadcast; a larger one is joined as Spark sees fit.
-MAX_BROADCAST_BYTES = 64 * 2**20
-
-_FOLDED, _KEYS = "_folded", "_keys"
+_FOLDED = "_folded"
 
 
 def mention(text: Column | str, term: Term, folded: Column | None = None) -> Column:
@@ -57,146 +40,23 @@ def with_folded(df: DataFrame, text: str, unicode_case: bool = False) -> DataFra
     return df.withColumn(_FOLDED, fold_case(F.col(text), unicode_case))
 
 
-# Stored keys carry the mark of their kind, then their literal.
-_MARKS = {WORD: "", WORD_START: "^", RUN: "-", RUN_START: "/", INSIDE: "~", ALWAYS: "*"}
-# The units a text is split into: their separator, the kind of a whole unit and of its start.
-# (`\W` is ASCII here; written out as a class with an underscore, Java is six times slower.)
-_UNITS = ((r"\W+", WORD, WORD_START), ("[^a-z]+", RUN, RUN_START))
-
-
-def _stored(key: Key) -> str:
-    return _MARKS[key.kind] + key.literal
-
-
-def _text_keys(folded: Column, keys: list[Key]) -> Column:
-    """The array of stored dictionary keys found in a folded text."""
-    parts = []
-    for separator, whole, start in _UNITS:
-        units = F.split(folded, separator)
-        wholes = [k.literal for k in keys if k.kind == whole]
-        if wholes:
-            parts.append(_mark(whole, _common(units, wholes)))
-        for length in sorted({len(k.literal) for k in keys if k.kind == start}):
-            starts = [k.literal for k in keys if k.kind == start and len(k.literal) == length]
-            parts.append(_mark(start, _common(_starts(units, length), starts)))
-    inside = [k for k in keys if k.kind == INSIDE]
-    if inside:
-        found = (F.when(folded.contains(k.literal), F.lit(_stored(k))) for k in inside)
-        parts.append(F.array_compact(F.array(*found)))
-    # Never NULL, or Spark would infer a null test and evaluate the keys twice for it.
-    parts = [F.coalesce(p, F.array().cast("array<string>")) for p in parts]
-    if any(k.kind == ALWAYS for k in keys):
-        parts.append(F.array(F.lit(_MARKS[ALWAYS])))
-    found = F.concat(*parts) if len(parts) > 1 else parts[0]
-    # Unfiltered words repeat, and short words are their own start at several lengths.
-    return F.array_distinct(found) if len(keys) > MAX_KEYS_IN_SET else found
-
-
-def _starts(units: Column, length: int) -> Column:
-    return F.transform(units, lambda u: F.left(u, F.lit(length)))
-
-
-def _common(units: Column, literals: list[str]) -> Column:
-    if len(literals) > MAX_KEYS_IN_SET:
-        return units
-    return F.array_intersect(units, _key_list(literals))
-
-
-def _mark(kind: str, literals: Column) -> Column:
-    mark = _MARKS[kind]
-    return F.transform(literals, lambda x: F.concat(F.lit(mark), x)) if mark else literals
+def match_terms(df: DataFrame, terms: list[Term], text: str, unicode_case: bool = False) -> DataFrame:
+    """One row per (article, mentioned term): the columns of `df` without the text, `term_id` and `term_body`."""
+    found = with_mentioned_ids(df, text, terms, "_ids", unicode_case).drop(text)
+    rows = found.withColumn("term_id", F.explode("_ids")).drop("_ids")
+    bodies = local_table(df.sparkSession, [(t.id, t.body) for t in terms], {"term_id": "int", "term_body": "string"})
+    columns = [c for c in df.columns if c != text]
+    return rows.join(bodies, "term_id").select(*(F.col(f"`{c}`") for c in columns), "term_id", "term_body")
 
 
-def with_keys(df: DataFrame, text: str, *dictionaries: list[Term], unicode_case: bool = False) -> DataFrame:
-    """Add the keys of all the dictionaries found in a text, so that it is split only once."""
-    if _KEYS in df.columns:
-        return df
-    for terms in dictionaries:
-        require_mode(terms, unicode_case)
-    keys = sorted({key for terms in dictionaries for term in terms for key in term.keys})
-    found = _text_keys(F.col(_FOLDED), keys) if keys else F.array().cast("array<string>")
-    # Two projections: the folded text is used several times and must be computed once.
-    return with_folded(df, text, unicode_case).withColumn(_KEYS, found).drop(_FOLDED)
-
-
-def _key_list(keys) -> Column:
-    return F.split(F.lit(" ".join(sorted(keys))), " ")
-
-
-def _has_any(keys) -> Column:
-    return F.arrays_overlap(_KEYS, _key_list(keys)) if keys else F.lit(False)
-
-
-def _lookup_table(spark, terms: list[Term]) -> DataFrame:
-    """The dictionary by key; a term's certain keys come before the others."""
-    columns = {"_key": "string", "term_id": "int", "term_body": "string", "_pattern": "string", "_earlier": "array<string>"}
-    rows = [
-        (_stored(key), t.id, t.body, None if key.certain else t.pattern, [_stored(k) for k in t.keys[:i]])
-        for t in terms
-        for i, key in enumerate(t.keys)
-    ]
-    size = sum(len(r[0]) + len(r[2]) + len(r[3] or "") + sum(map(len, r[4])) for r in rows)
-    lookup = local_table(spark, rows, columns)
-    return F.broadcast(lookup) if size <= MAX_BROADCAST_BYTES else lookup
-
-
-def match_terms(
-    df: DataFrame, terms: list[Term], text: str, unicode_case: bool = False, keep_text: Column | None = None
-) -> DataFrame:
-    """One row per (article, mentioned term): the columns of `df` plus `term_id` and `term_body`.
+def with_mentioned_ids(df: DataFrame, text: str, terms: list[Term], out: str, unicode_case: bool = False) -> DataFrame:
+    """Add the ascending array of the ids of all mentioned terms; a NULL text mentions none.
 
-    The text is dropped, or with `keep_text` stays where that condition holds. An article
-    whose keys are all certain does not carry its text into the candidate rows otherwise.
+    The rows wait with their texts for their terms, so drop the text first where it is not needed.
     """
-    columns = [c for c in df.columns if c != _KEYS and (keep_text is not None or c != text)]
-    keyed = with_keys(df, text, terms, unicode_case=unicode_case)
-    needed = _has_any({_stored(k) for t in terms for k in t.keys if k.uncertain})
-    if keep_text is not None:
-        needed = needed | keep_text
-    keyed = keyed.withColumn(text, F.when(needed, F.col(text)))
-    # array_compact keeps Spark from inferring a filter on the array, which would be
-    # pushed below the projection and evaluate the keys a second time.
-    candidates = keyed.select("*", F.explode(F.array_compact(_KEYS)).alias("_key"))
-    # A term found under several keys is taken under the first of them only.
-    matched = candidates.join(_lookup_table(df.sparkSession, terms), "_key").filter(
-        ~F.arrays_overlap(_KEYS, "_earlier")
-        & (F.col("_pattern").isNull() | F.rlike(F.col(text), F.col("_pattern")))
-    )
-    return matched.select(*columns, "term_id", "term_body")
-
-
-def mentioned_ids(text: str, terms: list[Term]) -> Column:
-    """Array of the ids of all mentioned terms, for articles with keys (`with_keys`)."""
-    if len(terms) > SMALL_DICTIONARY:
-        return _mentioned_in_large(text, terms)
-    tests = []
-    for t in terms:
-        proven = _has_any([_stored(k) for k in t.keys if k.certain])
-        nominated = _has_any([_stored(k) for k in t.keys if k.uncertain])
-        tests.append(F.when(proven | (nominated & F.col(text).rlike(t.pattern)), F.lit(t.id)))
-    return F.array_compact(F.array(*tests)) if tests else F.array().cast("array<int>")
-
-
-def _mentioned_in_large(text: str, terms: list[Term]) -> Column:
-    entries = [
-        {
-            "id": t.id,
-            "pattern": t.pattern,
-            "sure": [_stored(k) for k in t.keys if k.certain],
-            "keys": [_stored(k) for k in t.keys if k.uncertain],
-        }
-        for t in terms
-    ]
-    schema = "array<struct<id:int,pattern:string,sure:array<string>,keys:array<string>>>"
-    hits = F.filter(
-        F.from_json(F.lit(json.dumps(entries)), schema),
-        lambda t: F.arrays_overlap(F.col(_KEYS), t["sure"])
-        | (F.arrays_overlap(F.col(_KEYS), t["keys"]) & F.rlike(F.col(text), t["pattern"])),
-    )
-    return F.transform(hits, lambda t: t["id"])
-
-
-def with_mentioned_ids(df: DataFrame, text: str, terms: list[Term], out: str, unicode_case: bool = False) -> DataFrame:
-    """Add the array of the ids of all mentioned terms, computed in place (no extra rows)."""
-    keyed = with_keys(df, text, terms, unicode_case=unicode_case)
-    return keyed.withColumn(out, mentioned_ids(text, terms)).drop(_KEYS)
+    index = TermIndex.of(terms, unicode_case=unicode_case)
+    found = mentions(df.select(text), index, text).select("text_key", index.ids("terms", 0).alias("_found"))
+    keyed = df.withColumn("_text_key", text_key(text))
+    joined = keyed.join(found, F.col("_text_key") == F.col("text_key"), "left")
+    ids = F.when(F.col(text).isNull(), F.array().cast("array<int>")).otherwise(F.coalesce("_found", F.array().cast("array<int>")))
+    return joined.withColumn(out, ids).drop("_text_key", "text_key", "_found")

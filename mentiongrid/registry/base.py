@@ -102,6 +102,27 @@ def _values(name: str, columns: str, rows) -> str:
 PLACES_SQL = _values("places", "place_id, location, regex, cbscode, amsterdamcode", [(i, *p) for i, p in enumerate(PLACES)])
 TOPICS_SQL = _values("topics", "topic_id, label, topic_regex", [(i, *t) for i, t in enumerate(TOPICS)])
 
+# A dictionary of about the size and the mixture of forms of a hand-written one: all pairs of these syllables, written as
+# whole words, words with endings, alternatives, split words, open forms and substrings.
+SYLLABLES = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de".split()
+PLACE_FORMS = [
+    r"\b{a}{b}\b", r"\b{a}{b}\w*\b", r"\b({a}{b}|{b}{a})\b", r"\b{a}{b}s?\b", r"\b{a}\s?{b}\b", r"\b{a}{b}(en|er)?\b", r"{a}{b}st|\b{a}{b}\.", r"\b{a}[aeo]{b}\b",
+]
+FULL_TOPICS = [
+    *TOPICS, ("Delta", r"\b(the\s?re|whha\w*)\b"), ("Epsilon", r"\b(on(er|ed)|inan)\b"), ("Zeta", r"\b(re(re|th)\w*)\b"), ("Eta", r"\b(ou(an|re)|andou)\b"),
+    ("Theta", r"\b(eau|eaux)\b"), ("Iota", r"\b(c|k)oup\b|schen"), ("Kappa", r"\b(tion\w*|ing\s?of)\b"),
+]
+
+
+def full_places() -> list[tuple]:
+    """(name, Regex, cbscode, amsterdamcode) of the large dictionary."""
+    pairs = [(a, b) for a in SYLLABLES for b in SYLLABLES]
+    return [(a + "-" + b, PLACE_FORMS[k % len(PLACE_FORMS)].format(a=a, b=b), 1000 + k, 5000 + k) for k, (a, b) in enumerate(pairs)]
+
+
+FULL_PLACES_SQL = _values("places", "location, regex, cbscode, amsterdamcode", full_places())
+FULL_TOPICS_SQL = _values("topics", "label, topic_regex", FULL_TOPICS)
+
 # Articles by place, and the flat table, in SQL.
 HITS_SQL = f"""{ARTICLES},
 {PLACES_SQL},

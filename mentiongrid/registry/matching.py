@@ -7,15 +7,18 @@ from mentiongrid.functions.interval import binomial_interval
 from mentiongrid.operators.counting import (
     mention_counts, pair_counts, pair_set_counts, place_counts, place_shares, with_pair_flags,
 )
-from mentiongrid.operators.dictionary import compile_terms, terms_table
+from mentiongrid.operators.dictionary import compile_terms, load_terms, terms_table
 from mentiongrid.operators.matching import match_terms, mention, with_folded, with_mentioned_ids
 from mentiongrid.operators.panel import complete_panel, duplicate_keys, mention_rates, yearly
-from mentiongrid.plans.build_database import flat_counts, monthly_panel
+from mentiongrid.plans.build_database import Dictionaries, flat_counts, monthly_panel
 from mentiongrid.registry.interval_sql import with_interval
 from mentiongrid.registry.base import (
-    ARTICLES, FLAT_SQL, HITS_SQL, PAIR_PLACE, PAIR_TOPIC, PANEL_SQL, PLACES, PLACES_SQL, TOPICS,
-    articles, dictionaries, place_terms, query, stored_flat, table, topic_terms,
+    ARTICLES, FLAT_SQL, FULL_PLACES_SQL, FULL_TOPICS, FULL_TOPICS_SQL, HITS_SQL, PAIR_PLACE, PAIR_TOPIC, PANEL_SQL, PLACES, PLACES_SQL, TOPICS,
+    articles, dictionaries, full_places, place_terms, query, stored_flat, table, topic_terms,
 )
+from mentiongrid.session import local_table, new_folder
+from mentiongrid.sources.sinks import write_csv
+from mentiongrid.sources.tables import read_csv
 
 _GAMMA = TOPICS[2][1]
 
@@ -75,6 +78,35 @@ def _e03_large(spark, sf):
     return counts.join(terms_table(spark, terms, "place_id", {"location": "string"}), "place_id").select("year", "month", "location", "n_location", "n_both")
 
 
+def full_dictionaries(spark) -> Dictionaries:
+    """The large dictionaries, written as the delivered CSV files and read back."""
+    columns = {"name": "string", "Regex": "string", "cbscode": "int", "amsterdamcode": "int"}
+    places, topics = new_folder(spark, "places"), new_folder(spark, "topics")
+    write_csv(local_table(spark, full_places(), columns), places)
+    write_csv(local_table(spark, FULL_TOPICS, {"Label": "string", "Regex": "string"}), topics)
+    place_rows = read_csv(spark, places, ", ".join(f"{c} {t}" for c, t in columns.items()))
+    topic_rows = read_csv(spark, topics, "Label string, Regex string")
+    return Dictionaries(
+        load_terms(place_rows, "name", "Regex", ("name", "cbscode", "amsterdamcode")), load_terms(topic_rows, "Label", "Regex", ("Label",))
+    )
+
+
+@query(
+    "e03_full_dictionary_by_month",
+    f"""WITH {ARTICLES},
+{FULL_PLACES_SQL},
+{FULL_TOPICS_SQL},
+flags AS (SELECT label, list(article_id) AS ids FROM articles, topics WHERE regexp_matches(article_text, '(?i)' || topic_regex) GROUP BY label),
+hits AS (SELECT article_id, year, month, location, cbscode, amsterdamcode FROM articles JOIN places ON regexp_matches(article_text, '(?i)' || regex)),
+counted AS (SELECT year, month, location, cbscode, amsterdamcode, COUNT(*) AS n_location FROM hits GROUP BY ALL),
+both_ AS (SELECT year, month, location, label, COUNT(*) AS n_both FROM hits JOIN (SELECT label, unnest(ids) AS article_id FROM flags) USING (article_id) GROUP BY ALL)
+SELECT year, month, n_location, COALESCE(n_both, 0) AS n_both, location, cbscode, amsterdamcode, lower(label) AS disease
+FROM (SELECT * FROM counted, topics) LEFT JOIN both_ USING (year, month, location, label)""",
+)
+def _e03_full(spark, sf):
+    return flat_counts(articles(spark, sf), full_dictionaries(spark))
+
+
 @query("e04_completed_panel", f"WITH {PANEL_SQL} SELECT disease, year, month, cbscode, n_location, n_both FROM panel")
 def _e04(spark, sf):
     return complete_panel(stored_flat(spark, sf))

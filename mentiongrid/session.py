@@ -132,6 +132,7 @@ def spread_small_scan(scan: DataFrame, key: str) -> DataFrame:
 
 _ARROW_TYPES = {
     "int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "array<string>": pa.list_(pa.string()),
+    "array<int>": pa.list_(pa.int32()),
 }
 
 

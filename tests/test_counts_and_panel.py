@@ -1,13 +1,15 @@
 import datetime
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from mentiongrid.operators import counting
 from mentiongrid.operators.counting import mention_counts, pair_counts, pair_set_counts, place_counts, place_shares, with_year_month
 from mentiongrid.operators.dictionary import compile_term, compile_terms, require_columns, select_pattern
 from mentiongrid.operators.panel import complete_panel, duplicate_keys, mean_rate, mention_rates, panel_grid, require_unique, yearly
+from mentiongrid.operators.term_index import Patterns
+from mentiongrid.functions.patterns import python_near_pattern
 from mentiongrid.operators.series import impute_group_mean, rolling_mean
 from mentiongrid.plans import ad_hoc
 from mentiongrid.plans.build_database import Dictionaries, build, monthly_panel
@@ -49,9 +51,7 @@ def brute_force(max_chars=0):
 
 
 @pytest.mark.parametrize("max_chars", [0, 40, 41])
-@pytest.mark.parametrize("wide", [100, 0])
-def test_all_pairs_equal_brute_force(articles, max_chars, wide, monkeypatch):
-    monkeypatch.setattr(counting, "WIDE_TOPICS", wide)
+def test_all_pairs_equal_brute_force(articles, max_chars):
     rows = mention_counts(with_year_month(articles), compile_terms(PLACES), compile_terms(TOPICS), max_chars=max_chars).collect()
     got = {(r.place_id, r.year, r.month, r.topic_id): (r.n_location, r.n_both) for r in rows}
     assert got == brute_force(max_chars) and len(rows) == len(got)
@@ -180,13 +180,33 @@ def test_year_ranges_skip_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan and "PushedFilters: [IsNotNull(newspaper_date), GreaterThanOrEqual(newspaper_date" in plan
 
 
-def test_matching_neither_shuffles_texts_nor_evaluates_keys_twice(articles):
-    counts = mention_counts(with_year_month(articles), compile_terms(PLACES), compile_terms(TOPICS))
-    plan = counts._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "SortMergeJoin" not in plan
-    assert plan.count("lower(replace(") == 1
-    aggregated = plan.split("Exchange hashpartitioning(place_id")[0]
-    assert plan.count("Exchange hashpartitioning(place_id") == 1 and "article_text" not in aggregated
+def test_matching_never_shuffles_texts(articles):
+    counts = mention_counts(with_year_month(articles), compile_terms(PLACES), compile_terms(TOPICS), max_chars=40)
+    counts.collect()
+    plan = counts._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "RLIKE" not in plan
+    below = counts._jdf.queryExecution().optimizedPlan()
+    assert "article_text" not in [a.name() for a in _attributes(below.output())]
+    for line in plan.splitlines():
+        if "Exchange " in line or "SortMergeJoin" in line:
+            assert "article_text" not in line
+
+
+def _attributes(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def test_near_pairs_equal_the_pair_pattern():
+    rng = random.Random(4)
+    regexes = [r"ab", r"b(c|cd)", r"a.?c", r"\bcd\b", r"d\s?a", r"bc\w*", r"c.*d", r"a{2,3}"]
+    for unicode_case in (False, True):
+        patterns = Patterns(regexes, unicode_case, 3)
+        for _ in range(3000):
+            text = "".join(rng.choice("aabbccdd  \né") for _ in range(rng.randint(0, 40)))
+            a, b = rng.randrange(len(regexes)), rng.randrange(len(regexes))
+            if patterns[a].search(text) and patterns[b].search(text):
+                whole = python_near_pattern(regexes[a], regexes[b], 3, unicode_case).search(text) is not None
+                assert patterns.near(a, b, text, patterns.spans(a, text), patterns.spans(b, text)) == whole, (regexes[a], regexes[b], text)
 
 
 def test_empty_dictionaries_and_empty_periods(articles):

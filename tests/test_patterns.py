@@ -9,7 +9,6 @@ from mentiongrid.fixed_values import TOPIC_TERMS
 from mentiongrid.functions.patterns import (
     ALWAYS, INSIDE, RUN, RUN_START, WORD, WORD_START, Key, PatternError, index_keys, java_pattern,
 )
-from mentiongrid.operators import matching
 from mentiongrid.operators.dictionary import compile_terms, validate_dictionary
 from mentiongrid.operators.matching import match_terms, with_mentioned_ids
 
@@ -50,18 +49,16 @@ def test_ascii_mode_equals_brute_force(spark):
     assert {(TEXTS[i], REGEXES[j]) for i, j in got} == {(TEXTS[i], REGEXES[j]) for i, j in expected}
 
 
-def test_large_dictionary_path_equals_small(spark, monkeypatch):
-    monkeypatch.setattr(matching, "SMALL_DICTIONARY", 10)
-    regexes = [r for r in REGEXES if "w" in r or "e" in r] * 3
-    expected = {(i, j) for i, t in enumerate(TEXTS) for j, r in enumerate(regexes) if ascii_search(r, t)}
-    assert matched(spark, regexes, TEXTS) == expected
-
-
-def test_huge_dictionary_path_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(matching, "MAX_KEYS_IN_SET", 0)
-    monkeypatch.setattr(matching, "MAX_BROADCAST_BYTES", 0)
-    expected = {(i, j) for i, t in enumerate(TEXTS) for j, r in enumerate(REGEXES) if ascii_search(r, t)}
-    assert matched(spark, REGEXES, TEXTS) == expected
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_repeated_patterns_with_and_without_broadcast(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        regexes = REGEXES * 2
+        expected = {(i, j) for i, t in enumerate(TEXTS) for j, r in enumerate(regexes) if ascii_search(r, t)}
+        assert matched(spark, regexes, TEXTS) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_unicode_mode_equals_sql_engine(spark):
