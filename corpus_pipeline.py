@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from mentiongrid.llm import decontam, langid, mixing, neardup, secrets  # noqa: E402
-from mentiongrid.llm.common import table  # noqa: E402
+from mentiongrid.llm.common import row_key, table  # noqa: E402
 from mentiongrid.session import materialise, ship_package  # noqa: E402
 
 #: Letters below which an ambiguous prediction is no reason to reject.
@@ -45,9 +45,11 @@ def near_duplicate_stage(spark: SparkSession, documents: DataFrame, sf_dir: str)
     grouped = (F.col("n_shingles") > 0) & F.col("component_id").isNotNull()
     one = kept.where(grouped).groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select("k.*")
     keys = one.unionByName(kept.where(~grouped).select("doc_id", "text_hash"))
-    keys = keys.select(F.xxhash64("doc_id", "text_hash").alias("__key"), F.col("text_hash").alias("__hash")).distinct()
-    keyed = documents.withColumn("__hash", F.xxhash64("text")).withColumn("__key", F.xxhash64("doc_id", "__hash"))
-    return keyed.join(keys, ["__key", "__hash"], "left_semi").dropDuplicates(["__key", "__hash"]).drop("__key", "__hash")
+    keys = keys.select(F.xxhash64("doc_id", "text_hash").alias("key"), "text_hash").distinct()
+    # The row travels in a struct, so that no column of it can clash.
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), *row_key("text"))
+    keyed = rows.withColumn("key", F.xxhash64("doc_id", "text_hash"))
+    return keyed.join(keys, ["key", "text_hash"], "left_semi").dropDuplicates(["key", "text_hash"]).select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:

@@ -326,9 +326,11 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = 0
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `documents` that no item contaminates, all columns kept."""
-    bad = contaminated(documents, benchmark).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct()
-    doc_id, text_hash = row_key("text")
-    return documents.join(bad, (text_hash == F.col("__hash")) & doc_id.eqNullSafe(F.col("__doc")), "left_anti")
+    bad = contaminated(documents, benchmark).select("doc_id", "text_hash").distinct()
+    # The row travels in a struct, so that no column of it can clash.
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("all"), *row_key("text"))
+    same = (F.col("d.text_hash") == F.col("b.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("b.doc_id"))
+    return rows.alias("d").join(bad.alias("b"), same, "left_anti").select("all.*")
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

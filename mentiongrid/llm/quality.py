@@ -4,8 +4,9 @@ Every line of a text is judged first. A line with a word fails if it is
 * punctuation: fewer than half of its characters outside words' separators are letters or
   digits, or it ends without sentence punctuation although it has more than `long_line` words
   and is not the end of the text;
-* navigation: one word in three or more is only a separator such as `|`;
-* boilerplate: it contains one of the fixed phrases.
+* navigation: one word in three or more is only a separator such as `|` (one that opens the line is a bullet and does not count);
+* boilerplate: it has at most `furniture` words and contains one of the fixed phrases. A longer line is running text that
+  may well name such things.
 Failing lines are removed. A document is rejected if it loses more than `most_lost` percent of the
 characters of its words, or if it fails the base rules (fewer than 20 words, or more than
 30 % of its words in repeated windows of eight words).
@@ -85,7 +86,7 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def line_fails(line: Column, last: Column, long_line: int) -> Column:
+def line_fails(line: Column, last: Column, long_line: int, furniture: int) -> Column:
     """Whether a line that has a word is to be removed. Costly measures stand behind cheap ones."""
     n_words = F.regexp_count(line, F.lit(WORD))
     # Letters and digits are what remains when the rest is taken away.
@@ -93,16 +94,16 @@ def line_fails(line: Column, last: Column, long_line: int) -> Column:
     ends = F.instr(F.lit(SENTENCE_ENDS), F.right(F.rtrim(line), F.lit(1))) > 0
     # A line of so many words has as many characters and the blanks between them.
     punctuation = (2 * plain < F.length(without(line, BLANKS))) | ((F.length(line) > 2 * long_line) & ~last & ~ends & (n_words > long_line))
-    alone = F.regexp_count(line, F.lit(f"(?:^|[{BLANKS}]){SEPARATORS}+(?![^{BLANKS}])"))
+    alone = F.regexp_count(line, F.lit(f"(?<=[^{BLANKS}])[{BLANKS}]+{SEPARATORS}(?![^{BLANKS}])"))
     navigation = (alone > 0) & (3 * alone >= n_words)
     folded = F.lower(line)
     boilerplate = F.lit(False)
     for phrase in BOILERPLATE:
         boilerplate = boilerplate | folded.contains(phrase)
-    return punctuation | navigation | boilerplate
+    return punctuation | navigation | (boilerplate & (n_words <= furniture))
 
 
-def clean(documents: DataFrame, most_lost: int = 50, long_line: int = 200) -> DataFrame:
+def clean(documents: DataFrame, most_lost: int = 50, long_line: int = 200, furniture: int = 25) -> DataFrame:
     """Per row of (doc_id, text): base measures, `clean_text`, what was lost, and the verdict."""
     lines = documents.select(
         "doc_id", "text", words_of(F.coalesce("text", F.lit(""))).alias("words"), F.split(F.coalesce("text", F.lit("")), "\n").alias("lines")
@@ -119,7 +120,7 @@ def clean(documents: DataFrame, most_lost: int = 50, long_line: int = 200) -> Da
     flagged = measured.select(
         "*",
         (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long").alias("n_dup_lines"),
-        F.transform("worded", lambda x, i: F.struct(x.alias("line"), line_fails(x, i == F.size("worded") - 1, long_line).alias("bad"))).alias("flags"),
+        F.transform("worded", lambda x, i: F.struct(x.alias("line"), line_fails(x, i == F.size("worded") - 1, long_line, furniture).alias("bad"))).alias("flags"),
     )
     judged = flagged.select(
         "*",
@@ -160,8 +161,8 @@ flagged AS (
   SELECT row_id, line, shown,
          2 * length(regexp_replace(shown, '[^\p{{L}}\p{{N}}]+', '', 'g')) < length(shown)
          OR (pos < last_pos AND len(lw) > 200 AND NOT regexp_matches(rtrim(line), '[.!?…:;"''”»)\]]$'))
-         OR 3 * len(list_filter(lw, lambda w: regexp_full_match(w, '[|»«›‹•·>/\\-]+'))) >= len(lw)
-         OR regexp_matches(lower(line), '{_PHRASES}') AS bad
+         OR (3 * len(list_filter(lw[2:], lambda w: regexp_full_match(w, '[|»«›‹•·>/\\-]+'))) >= len(lw) AND len(list_filter(lw[2:], lambda w: regexp_full_match(w, '[|»«›‹•·>/\\-]+'))) > 0)
+         OR (len(lw) <= 25 AND regexp_matches(lower(line), '{_PHRASES}')) AS bad
   FROM judged),
 line_sums AS (
   SELECT row_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,

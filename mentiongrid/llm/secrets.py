@@ -58,7 +58,7 @@ BASE_RULES = [
 ]
 # A key goes up to its END line. Without one it takes headers, lines of base64 and the token that ends them.
 _GAP = r"""(?:\\[nr]|[\s>"',])"""
-_TO_END = r"(?:[^-]|-{1,4}[^-])*-----END [A-Z ]*PRIVATE KEY-----"
+_TO_END = r"(?:[^-]|-{1,4}[^-])*+-----END [A-Z ]*PRIVATE KEY-----"
 _BODY = rf"(?:[\r\n]+[A-Za-z]+-[A-Za-z]+:\x20[^\r\n]*)*(?:{_GAP}*[A-Za-z0-9+/=]{{16,}}(?:{_GAP}+[A-Za-z0-9+/=]{{16,}})*(?:{_GAP}+[A-Za-z0-9+/=]+)?)?"
 MORE_RULES = [
     Rule("private_key", rf"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:{_TO_END}|{_BODY})"),
@@ -182,20 +182,21 @@ def redact(documents: DataFrame, rules: Sequence[Rule] = RULES, mark: str = "[se
     """`documents` with every span, overlapping ones together, replaced by `mark`; n_chars follows."""
     columns = documents.columns
     found = scan(documents.select("doc_id", "text"), rules).where(F.size("spans") > 0).distinct()
-    found = found.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
-    same = F.xxhash64("text").eqNullSafe(F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-    joined = documents.join(found, same, "left")
+    # The row travels in a struct, so that no column of it can clash.
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("all"), "text", *row_key("text"))
+    same = F.col("d.text_hash").eqNullSafe(F.col("s.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))
+    joined = rows.alias("d").join(found.alias("s"), same, "left").select("d.all", "d.text", "s.spans")
 
     def work(texts, spans):
         for text, cuts in zip(texts, spans, strict=True):
             yield (text if not cuts else _cut(text, cuts, mark),)
 
-    changed = annotate(joined, columns, ["text", "_spans"], work, "clean string")
+    changed = annotate(joined, ["all"], ["text", "spans"], work, "clean string").select("row.all", "clean")
     clean = {"text": F.col("clean")}
     if "n_chars" in columns:
-        same_text = F.col("clean").eqNullSafe(F.col("row.text"))
-        clean["n_chars"] = F.when(same_text, F.col("row.n_chars")).otherwise(F.length("clean").cast(documents.schema["n_chars"].dataType))
-    return changed.select(*[clean.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns])
+        same_text = F.col("clean").eqNullSafe(F.col("all.text"))
+        clean["n_chars"] = F.when(same_text, F.col("all.n_chars")).otherwise(F.length("clean").cast(documents.schema["n_chars"].dataType))
+    return changed.select(*[clean.get(c, F.col(f"all.`{c}`")).alias(c) for c in columns])
 
 
 def _cut(text: str, spans: list[dict], mark: str) -> str:

@@ -100,7 +100,7 @@ def _quantifier(pattern: str, i: int) -> tuple[int, int | None, int]:
         high = low if m[2] is None else int(m[3]) if m[3] else None
     else:
         return low, high, i
-    return low, high, i + (i < len(pattern) and pattern[i] == "?")
+    return low, high, i + (i < len(pattern) and pattern[i] in "?+")  # lazy or possessive
 
 
 def _atom(pattern: str, i: int) -> tuple[Pieces, int]:

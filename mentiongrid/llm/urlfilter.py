@@ -101,7 +101,7 @@ _FIRST_DAY, _DAYS = "2020-01-01", 1461
 
 
 def captures_of_pages(pages: DataFrame) -> DataFrame:
-    day = F.date_add(F.lit(_FIRST_DAY).cast("date"), F.pmod(F.col("page_id") * 37, F.lit(_DAYS)).cast("int"))
+    day = F.date_add(F.lit(_FIRST_DAY).cast("date"), F.pmod(F.pmod("page_id", F.lit(_DAYS)) * 37, F.lit(_DAYS)).cast("int"))
     return pages.select(F.col("page_id").alias("capture_id"), "url", day.alias("fetched"))
 
 
@@ -139,7 +139,7 @@ def _digit(place: int) -> str:
 OP5_SQL = f"""
 WITH parts AS (
   SELECT row_number() OVER () AS row_id, page_id, url,
-         DATE '{_FIRST_DAY}' + CAST((page_id * 37) % {_DAYS} AS INTEGER) AS fetched,
+         DATE '{_FIRST_DAY}' + CAST((((page_id % {_DAYS}) + {_DAYS}) % {_DAYS} * 37) % {_DAYS} AS INTEGER) AS fetched,
          lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
          regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1) AS path
   FROM pages),

@@ -63,5 +63,5 @@ def test_native_operators_run_no_python(spark, folder):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
