@@ -57,7 +57,7 @@ _NAMESPACES = (
 ISSUE_XML_SQL = f"""'<didl:DIDL {_NAMESPACES} ><didl:Item dc:identifier="' || source || '"><didl:Component dc:identifier="' || source ||
   ':meta"><dc:title>Daily ' || source || '</dc:title><dcterms:spatial>Region ' || lang ||
   '</dcterms:spatial><dcterms:spatial xsi:type="dcx:creation">' || upper(lang) || '</dcterms:spatial><dc:date>' ||
-  CASE WHEN doc_id % 50 = 0 THEN 'undated' ELSE strftime(DATE '1830-01-01' + CAST((doc_id * 37) % 3650 AS INTEGER), '%Y-%m-%d') END ||
+  CASE WHEN doc_id % 50 = 0 THEN 'undated' ELSE strftime(DATE '1830-01-01' + CAST((doc_id % 3650 * 37) % 3650 AS INTEGER), '%Y-%m-%d') END ||
   '</dc:date><dc:language xsi:type="dcterms:ISO639-1">' || lang || '</dc:language></didl:Component><didl:Item dc:identifier="' ||
   source || ':a' || doc_id || '"><dc:subject>artikel</dc:subject></didl:Item><didl:Item dc:identifier="' || source ||
   ':p001"/></didl:Item></didl:DIDL>'"""
@@ -75,7 +75,7 @@ def issue_descriptions(spark: SparkSession, sf: str) -> DataFrame:
         '"><didl:Component dc:identifier="', F.col("source"), ':meta"><dc:title>Daily ', F.col("source"),
         "</dc:title><dcterms:spatial>Region ", F.col("lang"),
         '</dcterms:spatial><dcterms:spatial xsi:type="dcx:creation">', F.upper("lang"), "</dcterms:spatial><dc:date>",
-        F.expr("CASE WHEN doc_id % 50 = 0 THEN 'undated' ELSE date_format(date_add(date'1830-01-01', cast((doc_id * 37) % 3650 as int)), 'yyyy-MM-dd') END"),
+        F.expr("CASE WHEN doc_id % 50 = 0 THEN 'undated' ELSE date_format(date_add(date'1830-01-01', cast((doc_id % 3650 * 37) % 3650 as int)), 'yyyy-MM-dd') END"),
         '</dc:date><dc:language xsi:type="dcterms:ISO639-1">', F.col("lang"),
         "</dc:language></didl:Component><didl:Item dc:identifier=\"", F.col("source"), ":a", F.col("doc_id").cast("string"),
         '"><dc:subject>artikel</dc:subject></didl:Item><didl:Item dc:identifier="', F.col("source"),

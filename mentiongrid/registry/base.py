@@ -40,14 +40,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-_DATE = "date_add(date'1830-01-01', cast((doc_id * 37) % 3650 as int))"
+_DATE = "date_add(date'1830-01-01', cast((doc_id % 3650 * 37) % 3650 as int))"
 
 # The stored documents stand in for dated articles.
 ARTICLES = """articles AS (
   SELECT CAST(doc_id AS VARCHAR) AS article_id, source AS newspaper_id, lang,
-         DATE '1830-01-01' + CAST((doc_id * 37) % 3650 AS INTEGER) AS newspaper_date,
-         CAST(year(DATE '1830-01-01' + CAST((doc_id * 37) % 3650 AS INTEGER)) AS INTEGER) AS year,
-         CAST(month(DATE '1830-01-01' + CAST((doc_id * 37) % 3650 AS INTEGER)) AS INTEGER) AS month,
+         DATE '1830-01-01' + CAST((doc_id % 3650 * 37) % 3650 AS INTEGER) AS newspaper_date,
+         CAST(year(DATE '1830-01-01' + CAST((doc_id % 3650 * 37) % 3650 AS INTEGER)) AS INTEGER) AS year,
+         CAST(month(DATE '1830-01-01' + CAST((doc_id % 3650 * 37) % 3650 AS INTEGER)) AS INTEGER) AS month,
          text AS article_text
   FROM documents)"""
 

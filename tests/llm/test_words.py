@@ -92,10 +92,14 @@ def test_word_sequences_odd_tables(spark):
     assert {r["doc_id"]: r["kept"] for r in kept} == {1: text, 2: "new end"}
 
 
-def test_subtree_keeps_the_rightmost_path():
-    tree = substrings.Subtree()
-    found = [tree.add(s.split(), o) for s, o in [("a b c", 3), ("a b c", 5), ("a b d", 1), ("a c d", 2), ("b c d", 9), ("b c d", 11)]]
-    assert found == [(0, substrings._LAST), (3, 3), (2, 3), (1, 3), (0, substrings._LAST), (3, 9)]
+@pytest.mark.parametrize("cut", [6, 3, 1])
+def test_subtrees_keep_the_rightmost_path(cut):
+    rows = [(0, 1, 1, 1, 3), (0, 1, 1, 1, 5), (0, 1, 1, 2, 1), (0, 1, 2, 2, 2), (0, 2, 2, 2, 9), (0, 2, 2, 2, 11), (1, 2, 2, 2, 12)]
+    trees, found = substrings.Subtrees(), []
+    for k in range(0, len(rows), cut):
+        columns = [np.array(c) for c in zip(*rows[k : k + cut], strict=True)]
+        found += zip(*(x.tolist() for x in trees.add(columns[:4], columns[4])), strict=True)
+    assert found == [(0, 3), (13, 3), (5, 1), (1, 2), (0, 9), (13, 9), (0, 12)]
 
 
 def test_texts_move_once(spark):
@@ -215,8 +219,6 @@ def test_collocations_odd_tables(spark):
 
 def test_stripes_merge_totals():
     stripes = collocations.Stripes()
-    for words, n in [("a b", 2), ("a b c", 3), ("a b d", 1), ("a c", 5)]:
-        stripes.add("en", words.encode().split(), n)
-    stripes.leave(0)
-    totals = {b" ".join(w).decode(): n for _, w, n in stripes.closed}
-    assert totals == {"a b c": 3, "a b d": 1, "a b": 6, "a c": 5, "a": 11}
+    stripes.merge([b"a b ", b"a b c ", b"a c "], [2, 3, 5])
+    stripes.merge([b"a b d ", b"a b c d "], [1, 4])
+    assert stripes.totals() == {b"a b ": 10, b"a b c ": 7, b"a b d ": 1, b"a b c d ": 4, b"a c ": 5}
