@@ -5,19 +5,20 @@ with a smaller doc_id.
    This one exchange of texts is shared by the three passes below, and nothing passes through the driver.
 2. *Windows that recur.* A chunk sends its distinct window hashes, packed, to buckets of hash ranges. Hashes from
    several chunks go back to those chunks. This only spares most suffixes the way; a false alarm costs one row.
-3. *Prefix-partitioned suffix trees.* A suffix is a place where a window of step 2 starts, cut after `WINDOW` words; equal ones of a
-   chunk travel as one. Suffixes are split into groups by prefixes of variable length: a prefix is extended word by
-   word until so many words, at their frequency in the corpus, leave about `group_suffixes` per group. Groups come to
-   their task in the order of the suffixes, and each subtree grows from left to right along its rightmost path, so neither a
-   group nor its tree is ever held. An internal node of depth `WINDOW` is a repeat; the suffixes below it come by owner,
-   so that the first has its least document, which is told to the chunks of all others.
+3. *Prefix-partitioned suffix trees.* A suffix is a place where a window of step 2 starts, cut after `WINDOW` words, and
+   written as hashes of its first word, the next four and the last eight: the labels of the edges. Equal suffixes of a chunk travel as
+   one. Suffixes are split into groups by prefixes of variable length: a prefix is extended word by word until so many words, at
+   their frequency in the corpus, leave about `group_suffixes` per group. Groups come to their task in the order of the
+   labels, and each subtree grows from left to right along its rightmost path, so neither a group nor its tree is ever
+   held. An internal node of depth `WINDOW` is a repeat; the suffixes below it come by owner, so that the first has its least
+   document, which is told to the chunks of all others.
 4. *Removal.* The chunks mark all occurrences of these windows in documents after the least one.
 
 Defined results: a null text has no word. A null doc_id counts as larger than all ids and equal to other nulls. Rows that
 repeat a doc_id never remove each other's words. Of equal texts the smallest doc_id stands for all; the others lose every word
 if they have at least `WINDOW`. Texts with fewer words stay as they are. A text longer than a chunk is a chunk.
 
-Words and windows are compared by 64-bit hashes within a chunk, and by their words across chunks. For very large
+Windows are compared by 64-bit hashes within a chunk, and by the labels of the edges (160 bits) across chunks. For very large
 corpora raise `chunk_bytes` (64 MB, say) so that a packed list holds many hashes.
 """
 
@@ -182,81 +183,75 @@ def _suffixes(chunk_rows: pa.Table, replies: pa.Table, bits: int, surprise: dict
     first, least, most = first[wanted], least[wanted], most[wanted]
     order = np.argsort(first)
     first, least, most = first[order], least[order], most[order]
-    texts = []
-    for doc in np.unique(chunk.doc[first]).tolist():
-        words = [w for piece in pieces(chunk.texts[doc]) for w in piece.split()]
-        here = chunk.start[first[chunk.doc[first] == doc]] - chunk.first[doc]
-        texts += [b" ".join(words[s : s + WINDOW]) for s in here.tolist()]
+    start = chunk.start[first]
+    group = _groups(chunk, start, surprise, enough)
+    edges = [chunk.runs.hashes(start + at, n).view(np.int64) for at, n in EDGES]
     number = np.full(len(first), chunk_rows.column("chunk")[0].as_py())
-    group = _groups(chunk, chunk.start[first], surprise, enough)
-    return pa.table([pa.array(group), pa.array(texts, pa.binary()), pa.array(least), pa.array(most), pa.array(number), pa.array(first)], schema=_SUFFIX)
+    columns = [(group >> 32).astype(np.int32), (edges[0] >> 32).astype(np.int32), *edges[1:], least, least < most, number, first.astype(np.int32)]
+    return pa.table([pa.array(c) for c in columns], schema=_SUFFIX)
 
 
+#: First word and number of words of the edges of a suffix.
+EDGES = ((0, 1), (1, 4), (5, 8))
 _SUFFIX = pa.schema([
-    ("group", pa.int64()), ("suffix", pa.binary()), ("owner", pa.int64()), ("most", pa.int64()), ("chunk", pa.int64()), ("place", pa.int64()),
+    ("group", pa.int32()), ("edge_1", pa.int32()), ("edge_2", pa.int64()), ("edge_3", pa.int64()),
+    ("owner", pa.int64()), ("several", pa.bool_()), ("chunk", pa.int64()), ("place", pa.int32()),
 ])
+_SUFFIX_DDL = "group int, edge_1 int, edge_2 long, edge_3 long, owner long, several boolean, chunk long, place int"
 _REPEAT = pa.schema([("chunk", pa.int64()), ("places", pa.binary()), ("owners", pa.binary())])
 
 
-class Subtree:
-    """A suffix tree of the suffixes of one group, which come in order: the nodes of its rightmost path.
+class Subtrees:
+    """Suffix trees of groups whose suffixes come in order: how deep the path of each is shared with the one before.
 
-    A node is its depth in words and the owner of its first suffix. A new suffix leaves the path at the depth that it shares with
-    the one before; nodes below are complete, and a node is made there if none is.
+    A suffix leaves the rightmost path at the depth that it shares with the suffix before it, and an internal node stands
+    there. Only what stands on the rightmost path is kept from batch to batch: the last suffix, and the owner of the
+    first suffix below the last node of full depth.
     """
 
     def __init__(self) -> None:
-        self.path: list[tuple[int, int]] = [(0, int(_LAST))]
-        self._last: list[bytes] = []
-        self._owner = int(_LAST)
-
-    def add(self, words: list[bytes], owner: int) -> tuple[int, int]:
-        """Depth of the deepest internal node above the new suffix, and the owner of the node's first suffix."""
-        depth, last = 0, self._last
-        if words == last:
-            depth = len(words)
-        else:
-            while depth < len(words) and depth < len(last) and words[depth] == last[depth]:
-                depth += 1
-        owner_below = self._owner
-        while self.path[-1][0] > depth:
-            owner_below = self.path.pop()[1]
-        if self.path[-1][0] < depth:
-            self.path.append((depth, owner_below))
-        self._last, self._owner = words, owner
-        return self.path[-1]
+        self._last: list[int] | None = None
+        self._first_owner = 0
+
+    def add(self, group_and_edges: list[np.ndarray], owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Depth in words of the node above each suffix, as known from the left, and the owner of the first suffix below a deep node."""
+        n = len(owner)
+        same = np.ones(n, bool)
+        depth = np.zeros(n, np.int64)
+        for i, (values, words) in enumerate(zip(group_and_edges, (0, *(size for _, size in EDGES)), strict=True)):
+            same[1:] &= values[1:] == values[:-1]
+            same[:1] &= self._last is not None and self._last[i] == values[0] if n else False
+            depth[same] += words
+        starts = depth < WINDOW
+        index = np.maximum.accumulate(np.where(starts, np.arange(n), -1))
+        least = np.where(index >= 0, owner[np.maximum(index, 0)], self._first_owner)
+        if n:
+            self._last, self._first_owner = [int(v[-1]) for v in group_and_edges], int(least[-1])
+        return depth, least
 
 
 def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come by group, suffix and owner; told are the places of windows that have a smaller owner elsewhere."""
-    tree, group = Subtree(), None
-    told: dict[int, tuple[list[int], list[int]]] = {}
-    held = 0
+    """Rows come by group, edges and owner; told are the places of windows that have a smaller owner elsewhere."""
+    trees, held, size = Subtrees(), [], 0
     for batch in batches:
-        for g, suffix, owner, most, chunk, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if g != group:
-                tree, group = Subtree(), g
-            depth, least = tree.add(suffix.split(), owner)
-            if depth < WINDOW:
-                least = owner
-            if least < most:
-                places, owners = told.setdefault(chunk, ([], []))
-                places.append(place)
-                owners.append(least)
-                held += 1
-                # The first suffix of a deep node knows its own owner only, which is the least.
-        if held > 500_000:
-            yield _told(told)
-            told, held = {}, 0
-    yield _told(told)
-
-
-def _told(told: dict[int, tuple[list[int], list[int]]]) -> pa.RecordBatch:
-    columns = [
-        pa.array(list(told), pa.int64()),
-        pa.array([np.array(p, np.int64).tobytes() for p, _ in told.values()], pa.binary()),
-        pa.array([np.array(o, np.int64).tobytes() for _, o in told.values()], pa.binary()),
-    ]
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        owner, several, chunk, place = columns[4:]
+        _, least = trees.add(columns[:4], owner)
+        tell = (least < owner) | several
+        held.append((chunk[tell], place[tell], least[tell]))
+        size += int(tell.sum())
+        if size > 500_000:
+            yield _told(held)
+            held, size = [], 0
+    yield _told(held)
+
+
+def _told(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    chunk, place, owner = (np.concatenate([np.zeros(0, np.int64), *arrays]) for arrays in (zip(*held, strict=True) if held else ([], [], [])))
+    order = np.argsort(chunk, kind="stable")
+    chunk, place, owner = chunk[order], place[order], owner[order]
+    chunks, cuts = stretches(chunk)
+    columns = [pa.array(chunks), *(pa.array([values[a:b].tobytes() for a, b in cuts], pa.binary()) for values in (place, owner))]
     return pa.RecordBatch.from_arrays(columns, schema=_REPEAT)
 
 
@@ -306,7 +301,7 @@ def remove_repeats(
     size = documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]  # one number
     surprise, n_words = _frequent_words(documents)
     enough = max(1.0, float(np.log2(max(1, n_words) / group_suffixes)))
-    bits = min(64, 14 + int(size).bit_length())
+    bits = min(64, 8 + int(size).bit_length())  # one in a thousand hashes recurs by chance
     buckets = 1 + size // bucket_bytes
     texts = distinct_texts(documents, 1 + size // chunk_bytes)
     frequent = documents.sparkSession.sparkContext.broadcast(surprise)
@@ -314,9 +309,9 @@ def remove_repeats(
     sent = texts.groupBy("chunk").applyInArrow(lambda t: _send(t, bits, buckets), "bucket long, chunk long, hashes binary")
     replies = sent.groupBy("bucket").applyInArrow(lambda t: _recurring(t, bits), "chunk long, hashes binary")
     suffixes = texts.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
-        lambda t, r: _suffixes(t, r, bits, frequent.value, enough), "group long, suffix binary, owner long, most long, chunk long, place long"
+        lambda t, r: _suffixes(t, r, bits, frequent.value, enough), _SUFFIX_DDL
     )
-    in_order = suffixes.repartition("group").sortWithinPartitions("group", "suffix", "owner")
+    in_order = suffixes.repartition("group").sortWithinPartitions("group", "edge_1", "edge_2", "edge_3", "owner")
     repeats = in_order.mapInArrow(_grow, "chunk long, places binary, owners binary")
     found = texts.groupBy("chunk").cogroup(repeats.groupBy("chunk")).applyInArrow(
         lambda t, r: _removed(t, r, with_text), "digest binary, owner long, n_words long, n_removed long, kept_sha256 string, kept string"
