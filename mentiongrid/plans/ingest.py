@@ -18,12 +18,14 @@ from mentiongrid.sources.tables import stored_keys
 _PERIOD = {"period": "string"}
 
 
-def _new_archives(spark: SparkSession, folder: str, target: str) -> DataFrame:
+def _new_archives(spark: SparkSession, folder: str, target: str) -> list[str]:
+    """Paths of the archives whose period is not stored; deliveries are few files."""
     archives = with_zip_period(list_zip_files(spark, folder))
     unknown = [r.path for r in archives.filter(F.col("period").isNull()).select("path").limit(20).collect()]
     if unknown:
         raise ValueError(f"archives of unknown periods: {unknown}")
-    return pending(archives, stored_keys(spark, target, _PERIOD), "period")
+    new = pending(archives, stored_keys(spark, target, _PERIOD), "period")
+    return [r.path for r in new.select("path").orderBy("path").collect()]
 
 
 def _write_periods(df: DataFrame, path: str) -> None:
@@ -38,9 +40,9 @@ def extract_archives(spark: SparkSession, folder: str, texts: str, meta: str, pa
     Each table is partitioned by the archive's period; a period is skipped in a table that
     has it already.
     """
-    articles = read_zip_members(_new_archives(spark, folder, texts), ARTICLE_SUFFIX)
+    articles = read_zip_members(spark, _new_archives(spark, folder, texts), ARTICLE_SUFFIX)
     _write_periods(_with_period(articles, article_texts), texts)
-    described = read_zip_members(_new_archives(spark, folder, papers), ISSUE_SUFFIX)
+    described = read_zip_members(spark, _new_archives(spark, folder, papers), ISSUE_SUFFIX)
     # Parsed once, read for two tables. The issues come last, as they mark the period as done.
     issues = materialise(_with_period(described, parsed_issues), "issues")
     _write_periods(_with_period(issues, article_meta), meta)

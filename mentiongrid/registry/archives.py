@@ -7,11 +7,13 @@ import zipfile
 import zlib
 
 import pyarrow as pa
+import pyarrow.fs  # noqa: F401 - used as pa.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentiongrid.registry.base import table
+from mentiongrid.registry.base import stored, table
 from mentiongrid.session import spread_small_scan
+from mentiongrid.sources.archives import list_zip_files
 
 # Every 97th article is damaged on purpose.
 _XML = """'<text><title>' || source || ' ' || lang || '</title><p>' ||
@@ -47,6 +49,29 @@ def article_archives(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select(member.alias("member"), F.expr(_XML).alias("content")).mapInArrow(_pack, "path string, content binary")
 
 
+def stored_archives(spark: SparkSession, sf: str) -> list[str]:
+    """Paths of zip files on the shared folder, each with article and issue members."""
+
+    def write_all(folder: str) -> None:
+        def write(batches):
+            for packed in _pack(batches):
+                path = f"{folder}/{packed.column('path')[0].as_py()}"
+                filesystem, location = pa.fs.FileSystem.from_uri(path)
+                filesystem.create_dir(location.rpartition("/")[0], recursive=True)
+                with filesystem.open_output_stream(location) as out:
+                    out.write(packed.column("content")[0].as_py())
+                yield pa.RecordBatch.from_arrays([pa.array([path])], ["path"])
+
+        docs = spread_small_scan(table(spark, sf, "documents"), "doc_id")
+        member = F.expr("concat(upper(source), '/', upper(source), '_', cast(doc_id as string), '_0001_articletext.xml')")
+        articles = docs.select(member.alias("member"), F.expr(_XML).alias("content"))
+        members = articles.unionByName(issue_descriptions(spark, sf)).repartition(8, F.xxhash64("member"))
+        members.mapInArrow(write, "path string").write.parquet(f"{folder}/written")
+
+    folder = stored(spark, sf, "archives", lambda path: write_all(path if ":" in path else f"file://{path}"))
+    return [r.path for r in list_zip_files(spark, folder).collect()]
+
+
 _NAMESPACES = (
     'xmlns:didl="urn:mpeg:mpeg21:2002:02-DIDL-NS" xmlns:dc="http://purl.org/dc/elements/1.1/" '
     'xmlns:dcterms="http://purl.org/dc/terms/" xmlns:ddd="http://www.kb.nl/namespaces/ddd"'

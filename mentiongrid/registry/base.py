@@ -160,7 +160,7 @@ def names(spark: SparkSession) -> DataFrame:
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
-def _stored(spark: SparkSession, sf: str, name: str, write: Callable[[str], None]) -> str:
+def stored(spark: SparkSession, sf: str, name: str, write: Callable[[str], None]) -> str:
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _STORED:
         path = new_folder(spark, name)
@@ -171,11 +171,11 @@ def _stored(spark: SparkSession, sf: str, name: str, write: Callable[[str], None
 
 def stored_articles(spark: SparkSession, sf: str) -> str:
     """Path of the articles partitioned by year."""
-    return _stored(spark, sf, "articles", lambda path: write_by_year(articles(spark, sf).drop("month"), path))
+    return stored(spark, sf, "articles", lambda path: write_by_year(articles(spark, sf).drop("month"), path))
 
 
 def stored_flat(spark: SparkSession, sf: str) -> DataFrame:
     def write(path):
         flat_counts(articles(spark, sf), dictionaries()).write.parquet(path)
 
-    return spark.read.parquet(_stored(spark, sf, "flat", write))
+    return spark.read.parquet(stored(spark, sf, "flat", write))

@@ -4,12 +4,12 @@ from pyspark.sql import functions as F
 
 from mentiongrid.fixed_values import ARTICLE_SUFFIX, ISSUE_SUFFIX, KEY_DATES, ZIP_PERIODS
 from mentiongrid.operators.counting import place_counts
-from mentiongrid.registry.archives import ARTICLE_XML_SQL, ISSUE_XML_SQL, article_archives, issue_archives
+from mentiongrid.registry.archives import ARTICLE_XML_SQL, ISSUE_XML_SQL, stored_archives
 from mentiongrid.registry.base import (
     ARTICLES, HITS_SQL, articles, place_terms, query, stored_articles, table, topic_terms,
 )
 from mentiongrid.session import local_table, new_folder
-from mentiongrid.sources.archives import with_zip_period, zip_members
+from mentiongrid.sources.archives import read_zip_members, with_zip_period
 from mentiongrid.sources.nested_json import keyed_values, region_names
 from mentiongrid.sources.sinks import write_csv
 from mentiongrid.sources.tables import read_csv, read_folder, read_month_counts, read_partitioned, read_years
@@ -117,7 +117,7 @@ def _a09(spark, sf):
     f"WITH {ARTICLE_XML_SQL} SELECT member, content FROM members WHERE member LIKE '%articletext.xml'",
 )
 def _a10(spark, sf):
-    return zip_members(article_archives(spark, sf), ARTICLE_SUFFIX).select("member", "content")
+    return read_zip_members(spark, stored_archives(spark, sf), ARTICLE_SUFFIX, part_bytes=1 << 18).select("member", "content")
 
 
 @query(
@@ -125,7 +125,18 @@ def _a10(spark, sf):
     f"SELECT source || '/' || source || '_' || doc_id || '_didl.xml' AS member, {ISSUE_XML_SQL} AS content FROM documents",
 )
 def _a11(spark, sf):
-    return zip_members(issue_archives(spark, sf), ISSUE_SUFFIX).select("member", "content")
+    return read_zip_members(spark, stored_archives(spark, sf), ISSUE_SUFFIX, part_bytes=1 << 18).select("member", "content")
+
+
+@query(
+    "a11_members_of_both_kinds",
+    f"""WITH {ARTICLE_XML_SQL} SELECT member, 'article' AS kind, content FROM members WHERE member LIKE '%articletext.xml'
+UNION ALL SELECT source || '/' || source || '_' || doc_id || '_didl.xml', 'issue', {ISSUE_XML_SQL} FROM documents""",
+)
+def _a11_both(spark, sf):
+    found = read_zip_members(spark, stored_archives(spark, sf), ARTICLE_SUFFIX, ISSUE_SUFFIX)
+    kind = F.when(F.col("member").endswith(ISSUE_SUFFIX), "issue").otherwise("article")
+    return found.select("member", kind.alias("kind"), "content")
 
 
 _PERIOD_NAMES = [*(name for name, _ in ZIP_PERIODS), "unknown.zip"]

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-import pyarrow.fs  # noqa: F401 - used as pa.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentiongrid.fixed_values import ZIP_PERIODS
 from mentiongrid.functions.ids import file_name
+from mentiongrid.sources.zip_source import PART_BYTES, ZipMembers
 
 _BATCH_BYTES = 8 * 2**20
 _MEMBERS = "path string, member string, content string, read_error string"
@@ -24,36 +25,14 @@ def list_zip_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.load(folder).select("path", "length")
 
 
-def read_zip_members(files: DataFrame, suffix: str, part_bytes: int = 128 * 2**20) -> DataFrame:
-    """(path, member, content, read_error) of the members of listed zip files.
+def read_zip_members(spark: SparkSession, paths: Sequence[str], *suffixes: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """(path, member, content, read_error) of the members with these suffixes, of archives on any store.
 
-    A delivery is a few archives of many gigabytes each. So each archive is divided into
-    parts of about `part_bytes`, and every task opens an archive in place and reads the
-    members of its own part.
+    A delivery is a few archives of many gigabytes each; see `zip_source` for how they are divided.
     """
-    parts = F.greatest(F.ceil(F.col("length") / part_bytes), F.lit(1)).cast("int")
-    slices = files.select("path", parts.alias("parts"))
-    slices = slices.select("path", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                with _open(row["path"]) as source, zipfile.ZipFile(source) as archive:
-                    yield from _members(row["path"], archive, suffix, row["part"], row["parts"])
-
-    # A fixed number of partitions: adaptive execution would see a few bytes of paths and
-    # merge them into one task.
-    tasks = max(1, min(slices.count(), 100_000))
-    return slices.repartition(tasks, "path", "part").mapInArrow(members, _MEMBERS)
-
-
-def _open(path: str):
-    """A seekable file on whatever store holds it; Spark writes some schemes its own way."""
-    for spark_scheme, scheme in (("file:/", "file:///"), ("s3a://", "s3://")):
-        if path.startswith(spark_scheme) and not path.startswith(scheme):
-            path = scheme + path.removeprefix(spark_scheme)
-    filesystem, location = pa.fs.FileSystem.from_uri(path)
-    return filesystem.open_input_file(location)
+    spark.dataSource.register(ZipMembers)
+    reader = spark.read.format(ZipMembers.name()).option("paths", json.dumps(list(paths))).option("suffixes", ",".join(suffixes))
+    return reader.option("partBytes", part_bytes).load()
 
 
 def read_zip_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,15 +60,13 @@ def zip_members(archives: DataFrame, suffix: str) -> DataFrame:
     return archives.select("path", "content").mapInArrow(members, _MEMBERS)
 
 
-def _members(path: str, archive: zipfile.ZipFile, suffix: str, part: int = 0, parts: int = 1) -> Iterator[pa.RecordBatch]:
-    """Wanted members of one part of an archive, in batches of bounded size.
+def _members(path: str, archive: zipfile.ZipFile, suffix: str) -> Iterator[pa.RecordBatch]:
+    """Wanted members of an archive, in batches of bounded size.
 
     Members that are damaged, encrypted, or not text have NULL content and a `read_error`.
     """
-    listed = sorted(archive.infolist(), key=lambda info: info.header_offset)
-    mine = listed[len(listed) * part // parts: len(listed) * (part + 1) // parts]
     rows, size = [], 0
-    for info in mine:
+    for info in archive.infolist():
         if not info.filename.endswith(suffix):
             continue
         text, error = _read_text(archive, info)

@@ -1,6 +1,8 @@
 import datetime
 import zipfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from mentiongrid.functions import ids
@@ -64,7 +66,9 @@ def test_archives(spark, tmp_path):
         archive.writestr("d/readme.txt", "x")
     (tmp_path / "plain_articletext.xml").write_text("<text/>")
     by_value = zip_members(read_zip_files(spark, str(tmp_path)), "articletext.xml")
-    in_parts = read_zip_members(list_zip_files(spark, str(tmp_path)), "articletext.xml", part_bytes=500)
+    paths = [r.path for r in list_zip_files(spark, str(tmp_path)).collect()]
+    in_parts = read_zip_members(spark, paths, "articletext.xml", part_bytes=200)
+    assert in_parts.rdd.getNumPartitions() > 3
     for found in (by_value, in_parts):
         rows = {r.member: r.content for r in found.collect()}
         assert set(rows) == {*names, "d/bad_articletext.xml"}
@@ -74,6 +78,38 @@ def test_archives(spark, tmp_path):
     assert [r.content for r in read_member_files(spark, str(tmp_path), "articletext.xml").collect()] == ["<text/>"]
 
 
+def test_zip_source_reads_what_zipfile_writes(spark, tmp_path):
+    stored, long_name = "é\n" * 5000, "n" * 3000 + "_didl.xml"
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.comment = b"PK\5\6 in a comment"
+        archive.writestr("ü_didl.xml", stored, zipfile.ZIP_STORED)
+        archive.writestr(long_name, "", zipfile.ZIP_DEFLATED)
+        archive.writestr("b_didl.xml", "x" * 100, zipfile.ZIP_BZIP2)
+        with archive.open("wide_articletext.xml", "w", force_zip64=True) as out:
+            out.write(b"zip64")
+        archive.writestr("c.txt", "not wanted")
+    with open(tmp_path / "prefixed.zip", "wb") as out:
+        out.write(b"#!/bin/sh\n" + (tmp_path / "a.zip").read_bytes())
+    damaged = bytearray((tmp_path / "a.zip").read_bytes())
+    damaged[60] ^= 1
+    (tmp_path / "damaged.zip").write_bytes(damaged)
+    with zipfile.ZipFile(tmp_path / "empty.zip", "w"):
+        pass
+    for part_bytes in (1, 1 << 20):
+        paths = [f"file:{tmp_path}/{n}.zip" for n in ("a", "prefixed", "damaged", "empty")]
+        found = read_zip_members(spark, paths, "articletext.xml", "didl.xml", part_bytes=part_bytes).collect()
+        rows = {(r.path.rsplit("/")[-1], r.member): (r.content, r.read_error) for r in found}
+        for name in ("a.zip", "prefixed.zip"):
+            assert rows[name, "ü_didl.xml"] == (stored, None) and rows[name, long_name] == ("", None)
+            assert rows[name, "wide_articletext.xml"] == ("zip64", None) and "method 12" in rows[name, "b_didl.xml"][1]
+        assert rows["damaged.zip", "ü_didl.xml"][0] is None and rows["damaged.zip", "wide_articletext.xml"][0] == "zip64"
+        assert len(found) == 12
+    assert read_zip_members(spark, [], "x").collect() == []
+    (tmp_path / "none.zip").write_bytes(b"no archive")
+    with pytest.raises(Exception, match="none.zip"):
+        read_zip_members(spark, [f"file:{tmp_path}/none.zip"], "x").collect()
+
+
 def test_web_markup(spark):
     html = "<title>A\nB</title><p>x <b>y</b></p><p class='a'>open<p>z &lt;&amp;lt;</p> no <p>last"
     row = spark.createDataFrame([(html,)], "h string").select(web_title(F.col("h")), web_paragraphs(F.col("h"))).first()
