@@ -3,12 +3,12 @@ r"""Phrase collocations by stripes: each prefix keys a counter of its next words
 Texts, A-Z lower-cased, are cut at `[.,;:!?\x0A-\x0D]` into pieces and these at blanks and tabs into words. All counts are per language.
 
 1. *What can be frequent.* Tasks send hashes of words and word pairs with their counts, packed, to buckets of hash ranges.
-   Those that reach the least count set a bit each in a map of at most 2^`MOST_BITS` bits, which is broadcast.
-   A phrase of two words or more needs frequent pairs throughout, so a false alarm costs rows and nothing is lost.
-2. *Stripes.* Every place sends the longest run of up to five words whose pairs are all flagged, added up by task. Runs
-   of one head (three words) meet in one task in order and merge into nested stripes, prefix -> next word -> count:
-   the totals of prefixes of three words and more are complete there, those of two words are added up afterwards, so
-   not even a word pair that stands everywhere gathers in one task. Only the open stripes of one run are held.
+   Those that reach the least count set a bit each in a map of at most 2^`MOST_BITS` bits, which is broadcast. Then the same for
+   runs of three words and more, of which every pair is flagged. A false alarm costs an entry and nothing is lost.
+2. *Stripes.* Every place counts for the longest flagged run of up to five words there. A task adds up its runs as stripes, prefix ->
+   next word -> count, and sends them packed by head (the first three words); the stripes of one head meet in one task and merge
+   elementwise. Prefix totals carry longer runs over to shorter ones; totals of three words and more are complete there, those of
+   two words are added up afterwards, so not even a word pair that stands everywhere gathers in one task.
 3. *Extensions.* From the same counters: the greatest count of a next word is what a phrase's longer phrases can subsume it with on the
    right; on the left it is the greatest count of a phrase with one word before. Longer ones need no look-up, as counts
    never grow with the length.
@@ -20,7 +20,9 @@ count as often as they stand there. Ties are ordered by the phrase's bytes, whic
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -85,14 +87,17 @@ class _Words:
         of_text = np.array([number[lang] for lang in self.langs], np.int64)
         return np.concatenate(self.parts), np.concatenate([np.zeros(1, np.int64), np.repeat(of_text, self.sizes)]), names
 
-    def hashes(self, words: np.ndarray, langs: np.ndarray, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the word at each place and of the pair that starts there, both with their language."""
+    def levels(self, words: np.ndarray, langs: np.ndarray, names: list[str], longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For runs of 1, 2, .. words: the hash of the run that starts at each place, with its language, and whether there is one."""
         by_word = np.array([xxhash.xxh64_intdigest(w) for w in self.known.words], np.uint64)
         by_lang = np.array([xxhash.xxh64_intdigest(n) for n in names] or [0], np.uint64)
-        one = mixed(by_word[words] ^ by_lang[langs])
-        two = mixed(one[:-1] * np.uint64(3) + one[1:])
-        shift = np.uint64(64 - _HASH_BITS)
-        return one >> shift, two >> shift
+        one = run = mixed(by_word[words] ^ by_lang[langs])
+        here = whole = words > 0
+        yield run, whole
+        for k in range(1, longest):
+            run = mixed(run * np.uint64(3) + np.append(one[k:], np.zeros(k, np.uint64)))
+            whole = whole & np.append(here[k:], np.zeros(k, bool))
+            yield run, whole
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Words]:
@@ -111,17 +116,47 @@ def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
 
 
-def _flags(documents: DataFrame, least: int, buckets: int, log_bits: int) -> np.ndarray:
-    """A packed bitmap of the words and pairs that may occur `least` times in a language."""
+@dataclass(frozen=True)
+class Flags:
+    """Packed bitmaps of the runs that may occur often enough, one of words and pairs and one of longer runs."""
+
+    log_bits: int
+    bitmaps: tuple[np.ndarray, ...] = ()
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        return self.bitmaps[k > 2]
+
+    def marks(self, k: int, hashes: np.ndarray) -> np.ndarray:
+        place = (hashes >> np.uint64(64 - self.log_bits)).astype(np.int64)
+        return (self[k][place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
+def _chains(held: _Words, longest: int, flags: Flags) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, hashes, places): places of runs of k words whose shorter runs are all flagged, as far as flags are known."""
+    words, langs, names = held.arrays()
+    pair = None
+    for k, (run, whole) in enumerate(held.levels(words, langs, names, longest), 1):
+        if k == 2 and flags.bitmaps:
+            pair = whole.copy()
+            pair[whole] = flags.marks(2, run[whole])
+        if k > 2:
+            chain = pair if k == 3 else chain
+            chain = chain & np.append(pair[k - 2 :], np.zeros(k - 2, bool))
+            whole = chain
+        yield k, run, np.flatnonzero(whole)
+
+
+def _often(documents: DataFrame, sizes: range, flags: Flags, least: int, buckets: int) -> np.ndarray:
+    """A packed bitmap of the runs of these sizes that may occur `least` times in a language."""
+    log_bits = flags.log_bits
     shift = np.uint64(_HASH_BITS - log_bits)
     fine = np.uint64(_HASH_BITS - (buckets - 1).bit_length())
+    shared = documents.sparkSession.sparkContext.broadcast(flags)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _slices(batches):
-            words, langs, names = held.arrays()
-            one, two = held.hashes(words, langs, names)
-            here = words > 0
-            value, count = np.unique(np.concatenate([one[here], two[here[:-1] & here[1:]]]), return_counts=True)
+            runs = [run[at] for k, run, at in _chains(held, sizes[-1], shared.value) if k in sizes]
+            value, count = np.unique(np.concatenate(runs) >> np.uint64(64 - _HASH_BITS), return_counts=True)
             bucket, cuts = stretches(value >> fine)
             lists = [packed(value[a:b], _HASH_BITS // 8) for a, b in cuts]
             counts = [count[a:b].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for a, b in cuts]
@@ -154,125 +189,114 @@ def _flags(documents: DataFrame, least: int, buckets: int, log_bits: int) -> np.
     return bitmap
 
 
-def _flagged(bitmap: np.ndarray, log_bits: int, hashes: np.ndarray) -> np.ndarray:
-    place = (hashes >> np.uint64(_HASH_BITS - log_bits)).astype(np.int64)
-    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-
-
-def _runs(documents: DataFrame, bitmap: np.ndarray, log_bits: int, longest: int) -> DataFrame:
-    """(head, lang, run, n): word runs with their counts in a task; the empty run counts all words."""
-    shared = documents.sparkSession.sparkContext.broadcast(bitmap)
+def _stripes(documents: DataFrame, flags: Flags, longest: int, buckets: int) -> DataFrame:
+    """(bucket, lang, runs, counts): the runs of a task by head, each followed by a blank, one to a line; the empty run counts all words."""
+    shared = documents.sparkSession.sparkContext.broadcast(flags)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter: Counter[tuple[str, bytes]] = Counter()
         for held in _slices(batches):
-            words, langs, names = held.arrays()
-            one, two = held.hashes(words, langs, names)
-            here = words > 0
-            known = held.known.words
-            columns: list[list] = [[], [], [], []]
-
-            def put(places: np.ndarray, counts: np.ndarray, length: int) -> None:
-                lang = [names[i] for i in langs[places].tolist()]
-                parts = [[known[i] for i in words[places + k].tolist()] for k in range(length)]
-                runs = [b" ".join(p) + b" " for p in zip(*parts, strict=True)] if length else [b""] * len(places)
-                heads = mixed(sum((one[places + k] * np.uint64(2 * k + 1) for k in range(min(3, length))), np.zeros(len(places), np.uint64)))
-                for column, value in zip(columns, (heads.view(np.int64).tolist(), lang, runs, counts.tolist()), strict=True):
-                    column += value
-
-            per_lang = np.bincount(langs[here], minlength=len(names))
-            for i in np.flatnonzero(per_lang).tolist():
-                put(np.flatnonzero(langs == i)[:1], per_lang[i : i + 1], 0)
-            single = np.flatnonzero(here)
-            single = single[_flagged(shared.value, log_bits, one[single])]
-            _, first, count = np.unique(langs[single] * len(known) + words[single], return_index=True, return_counts=True)
-            put(single[first], count, 1)
-            pair = np.zeros(len(words), bool)
-            both = np.flatnonzero(here[:-1] & here[1:])
-            pair[both[_flagged(shared.value, log_bits, two[both])]] = True
-            start = np.flatnonzero(pair)
-            length = np.full(len(start), 2)
-            for k in range(1, longest - 1):
-                ahead = np.minimum(start + k, len(pair) - 1)
-                length += (length == k + 1) & pair[ahead]
-            for size in range(2, longest + 1):
-                places = start[length == size]
-                key = langs[places]
-                for k in range(size):  # numbers of distinct runs, word by word
-                    key = np.unique(key * len(known) + words[places + k], return_inverse=True)[1].reshape(-1)
-                _, first, count = np.unique(key, return_index=True, return_counts=True)
-                put(places[first], count, size)
-            for k in range(0, len(columns[0]), 50_000):
-                part = [c[k : k + 50_000] for c in columns]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, (pa.int64(), pa.string(), pa.binary(), pa.int64()), strict=True)], ["head", "lang", "run", "n"])
-
-    return _texts(documents).mapInArrow(send, "head long, lang string, run binary, n long")
+            counter.update(_flagged_runs(held, shared.value, longest))
+            if len(counter) > _FLUSH:
+                yield _packed_runs(counter, buckets)
+                counter = Counter()
+        if counter:
+            yield _packed_runs(counter, buckets)
+
+    return _texts(documents).mapInArrow(send, "bucket long, lang string, runs binary, counts binary")
+
+
+def _flagged_runs(held: _Words, flags: Flags, longest: int) -> dict[tuple[str, bytes], int]:
+    """By language, the longest flagged run at every place with its count; words apart, and the empty run."""
+    words, langs, names = held.arrays()
+    known = held.known.words
+    length = np.zeros(len(words), np.int8)
+    found: dict[tuple[str, bytes], int] = {}
+
+    def put(places: np.ndarray, size: int) -> None:
+        key = langs[places]
+        for k in range(size):  # numbers of distinct runs, word by word
+            key = np.unique(key * len(known) + words[places + k], return_inverse=True)[1].reshape(-1)
+        _, first, count = np.unique(key, return_index=True, return_counts=True)
+        places = places[first]
+        parts = [[known[i] for i in words[places + k].tolist()] for k in range(size)]
+        runs = [b" ".join(p) + b" " for p in zip(*parts, strict=True)] if size else [b""] * len(places)
+        found.update(zip(zip([names[i] for i in langs[places].tolist()], runs, strict=True), count.tolist(), strict=True))
+
+    for k, run, at in _chains(held, longest, flags):
+        if k == 1:
+            put(at, 0)
+        often = at[flags.marks(k, run[at])]
+        if k == 1:
+            put(often, 1)
+        else:
+            length[often[length[often] == (k - 1 if k > 2 else 0)]] = k
+    for k in range(2, longest + 1):
+        put(np.flatnonzero(length == k), k)
+    return found
+
+
+def _packed_runs(counter: dict[tuple[str, bytes], int], buckets: int) -> pa.RecordBatch:
+    by_bucket: dict[tuple[int, str], list[tuple[bytes, int]]] = {}
+    for (lang, run), n in counter.items():
+        head = xxhash.xxh64_intdigest(b" ".join(run.split(b" ", 3)[:3]))
+        by_bucket.setdefault((head % buckets, lang), []).append((run, n))
+    columns = [
+        pa.array([b for b, _ in by_bucket], pa.int64()), pa.array([lang for _, lang in by_bucket], pa.string()),
+        pa.array([b"\n".join(r for r, _ in rows) for rows in by_bucket.values()], pa.binary()),
+        pa.array([np.array([n for _, n in rows], np.int64).tobytes() for rows in by_bucket.values()], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "lang", "runs", "counts"])
 
 
 class Stripes:
-    """The nested stripes along one run: for each of its prefixes the counter of the next word that is open.
+    """Stripes of one language: prefix -> counter of next words, merged elementwise.
 
-    Runs must come in order. A prefix is complete when a run leaves it; `closed` then has its total.
+    A run adds to the counter of its last word only; `totals` carries the counts of longer prefixes over to shorter ones.
     """
 
     def __init__(self) -> None:
-        self.lang: str | None = None
-        self.words: list[bytes] = []
-        self.totals: list[int] = []
-        self.closed: list[tuple[str | None, list[bytes], int]] = []
-
-    def add(self, lang: str, words: list[bytes], n: int) -> None:
-        same = 0
-        if lang == self.lang:
-            for a, b in zip(words, self.words, strict=False):
-                if a != b:
-                    break
-                same += 1
-        self.leave(same)
-        self.lang = lang
-        for word in words[same:]:
-            self.words.append(word)
-            self.totals.append(0)
-        self.totals[-1] += n
-
-    def leave(self, depth: int) -> None:
-        while len(self.words) > depth:
-            total = self.totals.pop()
-            self.closed.append((self.lang, self.words.copy(), total))
-            self.words.pop()
-            if self.totals:
-                self.totals[-1] += total  # merged into the stripe above
+        self.stripes: dict[bytes, Counter[bytes]] = {}
+
+    def merge(self, runs: Iterable[bytes], counts: Iterable[int]) -> None:
+        for run, n in zip(runs, counts, strict=True):
+            cut = run.rfind(b" ", 0, -1) + 1  # before the last word
+            stripe = self.stripes.get(run[:cut])
+            if stripe is None:
+                stripe = self.stripes[run[:cut]] = Counter()
+            stripe[run[cut:]] += n
+
+    def totals(self) -> dict[bytes, int]:
+        """Counts of all runs of two words and more, those that continue included."""
+        deepest = max((prefix.count(b" ") for prefix in self.stripes), default=0)
+        for size in range(deepest, 1, -1):
+            for prefix in [p for p in self.stripes if p.count(b" ") == size]:
+                cut = prefix.rfind(b" ", 0, -1) + 1
+                self.stripes.setdefault(prefix[:cut], Counter())[prefix[cut:]] += sum(self.stripes[prefix].values())
+        return {prefix + word: n for prefix, stripe in self.stripes.items() for word, n in stripe.items()}
 
 
 def _merge(least: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(lang, phrase, size, n): totals of prefixes; those of up to two words are parts."""
-        stripes = Stripes()
-        rows: list[tuple] = []
-
-        def take() -> None:
-            for lang, words, n in stripes.closed:
-                if len(words) == 2 or (len(words) > 2 and n >= least):
-                    rows.append((lang, b" ".join(words), len(words), n))
-            stripes.closed.clear()
-
-        def batch_of() -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            rows.clear()
-            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.int32(), pa.int64()), strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "size", "n"])
-
-        for batch in batches:
-            for lang, run, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "run", "n")), strict=True):
-                words = run.split(b" ")[:-1] if run else []
-                if len(words) < 2:
-                    rows.append((lang, run[:-1], len(words), n))
-                else:
-                    stripes.add(lang, words, n)
-            take()
-            yield batch_of()
-        stripes.leave(0)
-        take()
-        yield batch_of()
+    def run(rows: pa.Table) -> pa.Table:
+        """(lang, phrase, size, n) of one bucket: those of up to two words are parts."""
+        columns: list[list] = [[], [], [], []]
+        for lang in set(rows.column("lang").to_pylist()):
+            stripes, words = Stripes(), Counter()
+            for name, runs, counts in zip(*(rows.column(c).to_pylist() for c in ("lang", "runs", "counts")), strict=True):
+                if name != lang:
+                    continue
+                listed, numbers = runs.split(b"\n"), np.frombuffer(counts, np.int64)
+                short = [r.count(b" ") < 2 for r in listed]
+                for r, n, s in zip(listed, numbers.tolist(), short, strict=True):
+                    if s:
+                        words[r] += n
+                stripes.merge([r for r, s in zip(listed, short, strict=True) if not s], numbers[~np.array(short, bool)].tolist())
+            for r, n in [*words.items(), *stripes.totals().items()]:
+                size = r.count(b" ")
+                if size < 3 or n >= least:
+                    for column, value in zip(columns, (lang, r[:-1], size, n), strict=True):
+                        column.append(value)
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.int32(), pa.int64()), strict=True)], ["lang", "phrase", "size", "n"])
 
     return run
 
@@ -281,9 +305,12 @@ def phrase_counts(documents: DataFrame, least: int = LEAST, longest: int = LONGE
     """(lang, phrase, size, a): words and phrases of up to `longest` words that occur `least` times, and all words as the empty phrase."""
     size = documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]  # one number
     log_bits = min(MOST_BITS, max(16, int(size).bit_length()))
-    bitmap = _flags(documents, least, 1 + size // BUCKET_BYTES, log_bits)
-    in_order = _runs(documents, bitmap, log_bits, longest).repartition("head").sortWithinPartitions("head", "lang", "run")
-    parts = in_order.mapInArrow(_merge(least), "lang string, phrase binary, size int, n long")
+    buckets = 1 + size // BUCKET_BYTES
+    flags = Flags(log_bits)
+    for sizes in (range(1, 3), range(3, longest + 1)):
+        flags = Flags(log_bits, (*flags.bitmaps, _often(documents, sizes, flags, least, buckets)))
+    stripes = _stripes(documents, flags, longest, buckets)
+    parts = stripes.groupBy("bucket").applyInArrow(_merge(least), "lang string, phrase binary, size int, n long")
     totals = parts.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("a"))
     return totals.where((F.col("a") >= least) | (F.col("size") == 0))
 
