@@ -1,7 +1,8 @@
 """Titles, paragraphs and issue metadata from XML and web markup.
 
 XML is parsed in Arrow-batched Python helpers: one malformed document must become one row
-with `parse_error`, while Spark's own XPath functions would fail the job.
+with `parse_error`, while Spark's own XPath functions would fail the job, and `from_xml` gives an element with
+nested markup as its source, in which escaped characters can no longer be told from tags.
 """
 
 from __future__ import annotations
@@ -48,17 +49,17 @@ _ISSUE_TYPE = T.StructType([
 
 @F.pandas_udf(_ARTICLE_TYPE)
 def parse_article(content: pd.Series) -> pd.DataFrame:
-    """Title and blank-joined paragraphs (with all nested text) of article XML."""
+    """First title and blank-joined paragraphs of article XML, at any depth, each with all its nested text."""
     return pd.DataFrame([_article(c) for c in content], columns=["title", "text", "parse_error"])
 
 
 def _article(content):
     try:
         root = ET.fromstring(content)
-        title = root.find("title")
+        title = root.find(".//title")
         if title is None:
             raise ValueError("no title element")
-        paragraphs = ("".join(p.itertext()) for p in root.findall("p"))
+        paragraphs = ("".join(p.itertext()) for p in root.iter("p"))
         return "".join(title.itertext()), " ".join(paragraphs), None
     except (ET.ParseError, ValueError, TypeError) as exc:
         return None, None, f"{type(exc).__name__}: {exc}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 PANEL_KEYS = ("disease", "year", "month", "cbscode")
@@ -47,6 +47,14 @@ def complete_panel(counts: DataFrame, keys: Sequence[str] = PANEL_KEYS, fill: Se
     return panel_grid(counts, keys).join(facts, same, "left").select(*keys, *fill).fillna(0, subset=list(fill))
 
 
+def watched_panel(counts: DataFrame, keys: Sequence[str] = PANEL_KEYS, fill: Sequence[str] = COUNTS) -> tuple[DataFrame, Observation]:
+    """`complete_panel` that tells, in the job that writes it, how many rows of `counts` share a key at most (`most`)."""
+    shared = counts.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    seen = Observation("panel keys")
+    panel = complete_panel(shared, keys, (*fill, "_n")).observe(seen, F.max("_n").alias("most"))
+    return panel.drop("_n"), seen
+
+
 def mention_rates(panel: DataFrame) -> DataFrame:
     """The monthly panel with its rate, in its published column order."""
     return panel.select(

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mentiongrid.operators.counting import database_rows, mention_counts, with_year_month
 from mentiongrid.operators.dictionary import Term, terms_table
-from mentiongrid.operators.panel import complete_panel, mention_rates, yearly
+from mentiongrid.operators.panel import PANEL_KEYS, complete_panel, duplicate_keys, mention_rates, watched_panel, yearly
 from mentiongrid.session import materialise
-from mentiongrid.sources.sinks import write_parquet, write_sorted
+from mentiongrid.sources.sinks import publish, write_parquet, write_sorted
 
 
 @dataclass(frozen=True)
@@ -44,9 +44,18 @@ def monthly_panel(articles: DataFrame, terms: Dictionaries, max_chars: int = 0)
 
 
 def build(spark: SparkSession, articles: DataFrame, terms: Dictionaries, out: str, max_chars: int = 0, files: int = 8) -> None:
-    """Write `database_flat`, `database` and `database_yearly` below `out`."""
+    """Write `database_flat`, `database` and `database_yearly` below `out`.
+
+    The monthly panel is published only if its keys identify its rows; that shows while it is written.
+    """
     write_parquet(flat_counts(articles, terms, max_chars), f"{out}/database_flat")
-    monthly, _ = panel_tables(spark.read.parquet(f"{out}/database_flat"))
-    write_sorted(monthly, f"{out}/database", ["disease", "year", "month", "cbscode"], files)
+    flat = spark.read.parquet(f"{out}/database_flat")
+    panel, seen = watched_panel(flat)
+    pending = f"{out}/_database_pending"
+    write_sorted(mention_rates(panel), pending, list(PANEL_KEYS), files)
+    if (seen.get["most"] or 0) > 1:
+        shared = [tuple(r) for r in duplicate_keys(flat).limit(5).collect()]
+        raise ValueError(f"{', '.join(PANEL_KEYS)} do not identify the rows, as in {shared}")
+    publish(spark, pending, f"{out}/database")
     by_year = yearly(spark.read.parquet(f"{out}/database"))
     write_sorted(by_year, f"{out}/database_yearly", ["disease", "year", "cbscode"], files)

@@ -6,26 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentiongrid.fixed_values import ARTICLE_SUFFIX, ISSUE_SUFFIX
+from mentiongrid.functions.ids import file_name
 from mentiongrid.functions.markup import article_meta, article_texts, newspaper_meta, parsed_issues
 from mentiongrid.operators.combine import combine, partitioned
 from mentiongrid.operators.counting import in_years
-from mentiongrid.operators.worklist import pending
-from mentiongrid.session import materialise
+from mentiongrid.operators.manifest import processed, record, unprocessed
+from mentiongrid.session import local_table, materialise
 from mentiongrid.sources.archives import list_zip_files, read_zip_members, with_zip_period
 from mentiongrid.sources.sinks import write_by_year
-from mentiongrid.sources.tables import stored_keys
 
-_PERIOD = {"period": "string"}
+# An archive is the same as long as its name and length are.
+_ARCHIVE = {"name": "string", "length": "bigint", "period": "string"}
+_ARCHIVE_YEAR = {"name": "string", "length": "bigint", "year": "int"}
 
 
-def _new_archives(spark: SparkSession, folder: str, target: str) -> list[str]:
-    """Paths of the archives whose period is not stored; deliveries are few files."""
-    archives = with_zip_period(list_zip_files(spark, folder))
+def _new_archives(spark: SparkSession, folder: str, target: str) -> tuple[DataFrame, list[str]]:
+    """Archives that `target` does not have, and the paths of all archives of their periods; deliveries are few files."""
+    archives = with_zip_period(list_zip_files(spark, folder)).withColumn("name", file_name(F.col("path")))
     unknown = [r.path for r in archives.filter(F.col("period").isNull()).select("path").limit(20).collect()]
     if unknown:
         raise ValueError(f"archives of unknown periods: {unknown}")
-    new = pending(archives, stored_keys(spark, target, _PERIOD), "period")
-    return [r.path for r in new.select("path").orderBy("path").collect()]
+    new = local_copy(unprocessed(archives, target, _ARCHIVE), _ARCHIVE)
+    whole = archives.join(new.select("period").distinct(), "period", "left_semi")
+    return new, [r.path for r in whole.select("path").orderBy("path").collect()]
 
 
 def _write_periods(df: DataFrame, path: str) -> None:
@@ -35,18 +38,22 @@ def _write_periods(df: DataFrame, path: str) -> None:
 
 
 def extract_archives(spark: SparkSession, folder: str, texts: str, meta: str, papers: str) -> None:
-    """Article texts, article ids and issue metadata of all archives not extracted before.
+    """Article texts, article ids and issue metadata of all archives that are new or have changed.
 
-    Each table is partitioned by the archive's period; a period is skipped in a table that
-    has it already.
+    Each table is partitioned by the archive's period. A period with a new archive is written anew from all its
+    archives; then the manifest of the table names them.
     """
-    articles = read_zip_members(spark, _new_archives(spark, folder, texts), ARTICLE_SUFFIX)
-    _write_periods(_with_period(articles, article_texts), texts)
-    described = read_zip_members(spark, _new_archives(spark, folder, papers), ISSUE_SUFFIX)
-    # Parsed once, read for two tables. The issues come last, as they mark the period as done.
-    issues = materialise(_with_period(described, parsed_issues), "issues")
-    _write_periods(_with_period(issues, article_meta), meta)
-    _write_periods(_with_period(issues, newspaper_meta), papers)
+    new, paths = _new_archives(spark, folder, texts)
+    if paths:
+        _write_periods(_with_period(read_zip_members(spark, paths, ARTICLE_SUFFIX), article_texts), texts)
+        record(new, texts, _ARCHIVE)
+    new, paths = _new_archives(spark, folder, papers)
+    if paths:
+        # Parsed once, read for two tables.
+        issues = materialise(_with_period(read_zip_members(spark, paths, ISSUE_SUFFIX), parsed_issues), "issues")
+        _write_periods(_with_period(issues, article_meta), meta)
+        _write_periods(_with_period(issues, newspaper_meta), papers)
+        record(new, papers, _ARCHIVE)
 
 
 def _with_period(df: DataFrame, step) -> DataFrame:
@@ -57,9 +64,27 @@ def _with_period(df: DataFrame, step) -> DataFrame:
 def combine_years(
     spark: SparkSession, texts: str, meta: str, papers: str, out: str, start: int, end: int
 ) -> None:
-    """Write the combined articles of the years [start, end) that are not stored yet, by year."""
-    issues = spark.read.parquet(papers).drop("period", "parse_error").filter(in_years("newspaper_date", start, end))
-    missing = pending(issues.withColumn("year", F.year("newspaper_date")), stored_keys(spark, out, {"year": "int"}), "year")
-    ids = spark.read.parquet(meta).drop("period")
-    articles = spark.read.parquet(texts).drop("period", "parse_error")
-    write_by_year(partitioned(combine(ids, articles, missing.drop("year"), start, end)), out)
+    """Write the combined articles of the years [start, end) anew that an archive touches for the first time, by year.
+
+    Texts are read from the periods of these years only.
+    """
+    issues = spark.read.parquet(papers).filter(in_years("newspaper_date", start, end)).withColumn("year", F.year("newspaper_date"))
+    archives = processed(spark, texts, _ARCHIVE).unionByName(processed(spark, papers, _ARCHIVE)).distinct()
+    by_period = issues.select("period", "year").distinct()
+    todo = local_copy(unprocessed(by_period.join(archives, "period"), out, _ARCHIVE_YEAR), {**_ARCHIVE_YEAR, "period": "string"})
+    touched = todo.select("year").distinct()
+    # Years and periods are a few hundred values at most.
+    years = [r.year for r in touched.collect()]
+    if not years:
+        return
+    periods = [r.period for r in by_period.join(touched, "year", "left_semi").select("period").distinct().collect()]
+    missing = issues.filter(F.col("year").isin(years)).drop("year", "period", "parse_error")
+    ids = spark.read.parquet(meta).filter(F.col("period").isin(periods)).drop("period")
+    articles = spark.read.parquet(texts).filter(F.col("period").isin(periods)).drop("period", "parse_error")
+    write_by_year(partitioned(combine(ids, articles, missing, start, end)), out)
+    record(todo, out, _ARCHIVE_YEAR)
+
+
+def local_copy(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """A few rows as they are now, whatever is written afterwards."""
+    return local_table(rows.sparkSession, [tuple(r) for r in rows.select(*columns).distinct().collect()], columns)

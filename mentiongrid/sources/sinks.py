@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_by_year(df: DataFrame, path: str, max_records_per_file: int = 0, mode: str = "overwrite") -> None:
@@ -32,6 +32,15 @@ def write_sorted(df: DataFrame, path: str, keys: Sequence[str], files: int, mode
     df.repartitionByRange(files, *keys).sortWithinPartitions(*keys).write.mode(mode).parquet(path)
 
 
+def publish(spark: SparkSession, pending: str, path: str) -> None:
+    """Put a folder that was written and checked in the place of an earlier one."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (pending, path))
+    store = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(target, True)
+    if not store.rename(source, target):
+        raise OSError(f"{pending} could not be moved to {path}")
+
+
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """CSV with a header; with `partition_by` one folder per value, each written by few tasks."""
     rows = df.hint("rebalance", *partition_by) if partition_by else df

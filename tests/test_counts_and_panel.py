@@ -122,6 +122,13 @@ def test_build_writes_three_tables(spark, articles, tmp_path):
     assert counts == {"database_flat": 10, "database": 24, "database_yearly": 8}
 
 
+def test_build_refuses_shared_codes(spark, articles, tmp_path):
+    places = [(name, regex, name, 1, ams) for name, regex, _, _, ams in PLACES]
+    with pytest.raises(ValueError, match="do not identify"):
+        build(spark, articles, Dictionaries(compile_terms(places), compile_terms(TOPICS)), str(tmp_path / "db"), files=2)
+    assert not (tmp_path / "db" / "database").exists() and (tmp_path / "db" / "database_flat").exists()
+
+
 def test_series(spark):
     rows = [("s", 1, m, float(m)) for m in range(1, 9)] + [("t", 1, m, None if m == 3 else 1.0) for m in range(1, 8)]
     df = spark.createDataFrame(rows, "s string, year int, month int, n double")

@@ -78,6 +78,12 @@ def test_archives(spark, tmp_path):
     assert [r.content for r in read_member_files(spark, str(tmp_path), "articletext.xml").collect()] == ["<text/>"]
 
 
+def test_paragraphs_at_any_depth(spark):
+    xml = "<r><head><title>A <b>&amp; B</b></title></head><p>x <i>y</i></p><sec><p>z &lt;q&gt;</p><sub><p><![CDATA[<w>]]></p></sub></sec></r>"
+    row = article_texts(spark.createDataFrame([("a/DDD_1_0001_articletext.xml", xml)], "member string, content string")).first()
+    assert (row.article_title, row.article_text, row.parse_error) == ("A & B", "x y z <q> <w>", None)
+
+
 def test_zip_source_reads_what_zipfile_writes(spark, tmp_path):
     stored, long_name = "é\n" * 5000, "n" * 3000 + "_didl.xml"
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
@@ -180,6 +186,19 @@ def test_from_archives_to_panel(spark, tmp_path):
         ("ddd:1:mpeg21:a0001", 1832): "Cholera te Leiden", ("ddd:1:mpeg21:a0002", 1832): "Leiden",
         ("ddd:2:mpeg21:a0001", 1841): "cholera", ("ddd:2:mpeg21:a0002", 1841): None,
     }
+    # A stored year and a stored period get more: an issue in a changed archive and a text that was missing.
+    _delivery(delivery / "kranten_pd_184x.zip", [("2", "1841-01-01", {"0001": "cholera", "0002": "late"}), ("3", "1841-05-01", {"0001": "new"})])
+    for _ in range(2):
+        extract_archives(spark, str(delivery), folders["texts"], folders["meta"], folders["papers"])
+        combine_years(spark, folders["texts"], folders["meta"], folders["papers"], folders["combined"], 1830, 1850)
+    later = {(r.article_id, r.year): r.article_text for r in spark.read.parquet(folders["combined"]).collect()}
+    assert later == {**rows, ("ddd:2:mpeg21:a0002", 1841): "late", ("ddd:3:mpeg21:a0001", 1841): "new", ("ddd:3:mpeg21:a0002", 1841): None}
+    # A run that was killed before its manifest was written repeats its years.
+    manifest = tmp_path / "out" / "combined_manifest"
+    manifest.rename(tmp_path / "lost")
+    combine_years(spark, folders["texts"], folders["meta"], folders["papers"], folders["combined"], 1830, 1850)
+    assert {(r.article_id, r.year): r.article_text for r in spark.read.parquet(folders["combined"]).collect()} == later
+    stored = spark.read.parquet(folders["combined"]).filter("year = 1832")
     terms = Dictionaries(compile_terms([("Leiden", r"\bleiden\b", "Leiden", 1, 2)]), compile_terms([("C", r"\bcholer\w*\b", "Cholera")]))
     assert [tuple(r) for r in monthly_panel(stored, terms).collect()] == [("cholera", 1832, 7, 1, 0.5, 2, 1)]
 
