@@ -40,6 +40,7 @@ def _parse(regex: str):
     if regex is None or not regex.strip():
         raise PatternError("empty pattern")
     body = re.sub(r"^\(\?[a-z]*(?:-[a-z]+)?\)", "", regex)
+    body = _respelt(body)
     if re.search(r"\[:\^?[a-z]+:\]", body):
         # The parser below would read such a class as single characters.
         raise PatternError("POSIX character classes are not supported")
@@ -49,6 +50,36 @@ def _parse(regex: str):
         raise PatternError(str(exc)) from exc
 
 
+def _respelt(body: str) -> str:
+    """Spellings of other pattern dialects in those of the parser: `(?<name>`, `\\z`, and `(?i:`, which every pattern is."""
+    out, i, in_class = [], 0, False
+    while i < len(body):
+        if body[i] == "\\" and i + 1 < len(body):
+            out.append("\\Z" if body[i + 1] == "z" and not in_class else body[i : i + 2])
+            i += 2
+            continue
+        if in_class:
+            in_class = body[i] != "]"
+        elif body[i] == "[":
+            # A bracket that opens the class belongs to it.
+            in_class = True
+            opening = re.match(r"\[\^?\]?", body[i:])[0]
+            out.append(opening)
+            i += len(opening)
+            continue
+        elif named := re.match(r"\(\?<(?=[A-Za-z_])", body[i:]):
+            out.append("(?P<")
+            i += named.end()
+            continue
+        elif body.startswith("(?i:", i):
+            out.append("(?:")
+            i += 4
+            continue
+        out.append(body[i])
+        i += 1
+    return "".join(out)
+
+
 # --- Java form ---------------------------------------------------------------
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from mentiongrid.fixed_values import AMBIGUOUS_PLACES
 from mentiongrid.functions.interval import binomial_interval, clamp_interval, normalized
 from mentiongrid.operators.panel import mean_rate
+from mentiongrid.operators.series import impute_group_mean
+from mentiongrid.session import materialise
 
 
 def with_names(panel: DataFrame, names: DataFrame, key: str = "cbscode") -> DataFrame:
@@ -53,6 +55,28 @@ def map_report(panel: DataFrame, names: DataFrame, disease: str, first_year: int
     return with_names(mean_rate(chosen), names)
 
 
+MAP_COLUMNS = ("n_both", "n_location", "lower", "upper", "width")
+
+
+def uncertainty_map(
+    counts: DataFrame, places: DataFrame, years: Sequence[int], most_mentions: int = 2500,
+    coverage: float = 0.95, variant: str = "textbook", key: str = "cbscode",
+) -> DataFrame:
+    """Every place in every year with counts, interval and its width, as drawn on maps with their uncertainty.
+
+    `counts` is (year, key, n_location, n_both) of one topic, at most one row per place and year. Places with `most_mentions` or
+    more are left out of it, as their names are ambiguous. What is missing then is filled with the mean of the year's places.
+    """
+    known = counts.filter((F.col("n_location") < most_mentions) & F.col("year").isin(*years))
+    known = binomial_interval(known.select("year", key, "n_both", "n_location"), "n_both", "n_location", coverage, variant)
+    grid = places.withColumn("year", F.explode(F.array(*(F.lit(y) for y in years))))
+    joined = grid.join(known.withColumn("width", F.col("upper") - F.col("lower")), ["year", key], "left")
+    # A few rows per place that are read twice, for the means and to be filled with them.
+    rows = materialise(joined.withColumns({c: F.col(c).cast("double") for c in MAP_COLUMNS}), "map-rows")
+    filled = impute_group_mean(rows, ["year"], list(MAP_COLUMNS))
+    return filled.withColumn("mention_rate", normalized(F.col("n_both"), F.col("n_location")))
+
+
 def blank_ambiguous(df: DataFrame, name: str, column: str, pattern: str = AMBIGUOUS_PLACES) -> DataFrame:
     """NULL instead of counts for places whose name is also an ordinary word."""
     return df.withColumn(column, F.when(~F.coalesce(F.col(name).rlike(pattern), F.lit(False)), F.col(column)))

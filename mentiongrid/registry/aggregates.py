@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from mentiongrid.functions.interval import binomial_interval, clamp_interval, normalized
 from mentiongrid.operators.panel import complete_panel, mean_rate, mention_rates
-from mentiongrid.operators.reports import map_report, month_date, population, series_report, with_names
+from mentiongrid.operators.reports import MAP_COLUMNS, map_report, month_date, population, series_report, uncertainty_map, with_names
 from mentiongrid.operators.series import impute_group_mean, rolling_mean
 from mentiongrid.registry.base import (
     ARTICLES, FLAT_SQL, NAMES_SQL, PANEL_SQL, articles, names, query, stored_flat, table,
@@ -282,6 +282,32 @@ def _h25(spark, sf):
     return report.withColumn("mention_rate", F.round("mention_rate", 9))
 
 
+_MAP_YEARS = (1832, 1833, 1834, 1835, 1836)
+_MAP_SQL = with_interval(
+    f"""WITH {FLAT_SQL}, {NAMES_SQL}, counts AS (
+  SELECT year, cbscode, SUM(n_both) AS n_both, SUM(n_location) AS n_location FROM flat WHERE disease = 'gamma' GROUP BY ALL HAVING SUM(n_location) < 40)
+SELECT y AS year, cbscode, location, amsterdamcode, n_both, n_location
+FROM names CROSS JOIN (SELECT unnest({list(_MAP_YEARS)}) AS y) LEFT JOIN (SELECT year AS y, cbscode, n_both, n_location FROM counts) USING (y, cbscode)""",
+    "base.*", "textbook", digits=13,
+)
+
+
+def _filled(c: str) -> str:
+    return f"round(coalesce({c}, AVG({c}) OVER (PARTITION BY year)), 6)"
+
+
+@query(
+    "h25_uncertainty_map",
+    f"""SELECT CAST(year AS INTEGER) AS year, cbscode, location, amsterdamcode, {", ".join(f"{_filled(c)} AS {c}" for c in ("n_both", "n_location", "lower", "upper", "width"))},
+  round(coalesce(n_both, AVG(n_both) OVER (PARTITION BY year)) / coalesce(n_location, AVG(n_location) OVER (PARTITION BY year)), 6) AS mention_rate
+FROM (SELECT * REPLACE (CAST(n_both AS DOUBLE) AS n_both, CAST(n_location AS DOUBLE) AS n_location), upper - lower AS width FROM ({_MAP_SQL}))""",
+)
+def _h25_uncertainty(spark, sf):
+    counts = stored_flat(spark, sf).filter("disease = 'gamma'").groupBy("year", "cbscode").agg(F.sum("n_both").alias("n_both"), F.sum("n_location").alias("n_location"))
+    rows = uncertainty_map(counts, names(spark), _MAP_YEARS, most_mentions=40)
+    return rows.withColumns({c: F.round(c, 6) for c in (*MAP_COLUMNS, "mention_rate")})
+
+
 def _series(spark, sf):
     return series_report(_panel(spark, sf), names(spark), ["Oned", "Ver", "Thble"], ["alpha", "gamma"])
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mentiongrid.fixed_values import CHOLERA_EVERYWHERE, SMALLPOX_EVERYWHERE
 from mentiongrid.operators.dictionary import Term, compile_terms
 from mentiongrid.plans.build_database import Dictionaries, flat_counts
 from mentiongrid.session import local_table, new_folder, spread_small_scan
@@ -120,6 +121,18 @@ def full_places() -> list[tuple]:
     return [(a + "-" + b, PLACE_FORMS[k % len(PLACE_FORMS)].format(a=a, b=b), 1000 + k, 5000 + k) for k, (a, b) in enumerate(pairs)]
 
 
+# The same size in the open form of the Unicode mode, where boundaries would differ between engines.
+OPEN_FORMS = [r"{a}{b}s", r"{a}.?{b}t", r"({a}{b}|{b}{a})n", r"{a}[aeo]{b}", r"{a}\s?{b}(en|er)"]
+
+
+def open_places() -> list[tuple]:
+    """(name, Regex, cbscode, amsterdamcode) of the large dictionary without word boundaries."""
+    return [(name, OPEN_FORMS[k % len(OPEN_FORMS)].format(a=name.split("-")[0], b=name.split("-")[1]), c, d) for k, (name, _, c, d) in enumerate(full_places())]
+
+
+OPEN_PLACES_SQL = _values("places", "place_id, regex", [(k, p[1]) for k, p in enumerate(open_places())])
+EVERYWHERE_TOPICS = [("Cholera", CHOLERA_EVERYWHERE), ("Smallpox", SMALLPOX_EVERYWHERE), ("Erth", r"erth|th.?on")]
+EVERYWHERE_SQL = _values("topics", "topic_id, topic_regex", [(k, r) for k, (_, r) in enumerate(EVERYWHERE_TOPICS)])
 FULL_PLACES_SQL = _values("places", "location, regex, cbscode, amsterdamcode", full_places())
 FULL_TOPICS_SQL = _values("topics", "label, topic_regex", FULL_TOPICS)
 

@@ -52,8 +52,12 @@ def _near_sql(a: str, b: str, n: int) -> str:
     f"regexp_matches(article_text, '{_near_sql(PAIR_TOPIC, PAIR_PLACE, 40)}') AS near_40 FROM articles",
 )
 def _d03(spark, sf):
-    near = {n: F.col("article_text").rlike(near_pattern(PAIR_TOPIC, PAIR_PLACE, n, unicode_case=True)) for n in (20, 40)}
-    return articles(spark, sf).select("article_id", near[20].alias("near_20"), near[40].alias("near_40"))
+    folded = with_folded(articles(spark, sf).select("article_id", "article_text"), "article_text", unicode_case=True)
+    both = [mention("article_text", compile_term(r, unicode_case=True), F.col("_folded")) for r in (PAIR_TOPIC, PAIR_PLACE)]
+    # Each of the two is sought first; the distance is measured only where both are mentioned.
+    flags = folded.select("article_id", "article_text", (both[0] & both[1]).alias("both"))
+    near = {n: F.col("both") & F.col("article_text").rlike(near_pattern(PAIR_TOPIC, PAIR_PLACE, n, unicode_case=True)) for n in (20, 40)}
+    return flags.select("article_id", near[20].alias("near_20"), near[40].alias("near_40"))
 
 
 @query(

@@ -13,7 +13,7 @@ _CDF = """2 / pi() * asin(sqrt(x))
       exp((s + 0.5) * ln(x) + (j + 0.5) * ln(1 - x) + lgamma(s + j + 1) - lgamma(s + 0.5) - lgamma(j + 0.5)) / (j + 0.5))), 0)"""
 
 
-def with_interval(base_sql: str, columns: str, variant: str, lower: str = "lower", upper: str = "upper") -> str:
+def with_interval(base_sql: str, columns: str, variant: str, lower: str = "lower", upper: str = "upper", digits: int = 6) -> str:
     """`base_sql` has n_both and n_location; `lower` and `upper` are expressions of the bounds."""
     misses = "n_location" if variant == "reference" else "n_location - n_both"
     return f"""WITH RECURSIVE base AS ({base_sql}),
@@ -25,5 +25,5 @@ bisect(s, f, p, low, high, step) AS (
   FROM (SELECT *, {_CDF} AS reached FROM (SELECT *, (low + high) / 2 AS x FROM bisect WHERE step < 48))),
 bounds AS (
   SELECT s, f, MAX(low) FILTER (WHERE p < 0.5) AS lower, MAX(low) FILTER (WHERE p > 0.5) AS upper FROM bisect WHERE step = 48 GROUP BY s, f)
-SELECT {columns}, round({lower}, 6) AS lower, round({upper}, 6) AS upper
+SELECT {columns}, round({lower}, {digits}) AS lower, round({upper}, {digits}) AS upper
 FROM base LEFT JOIN bounds ON s = n_both AND f = {misses}"""

@@ -13,8 +13,8 @@ from mentiongrid.operators.panel import complete_panel, duplicate_keys, mention_
 from mentiongrid.plans.build_database import Dictionaries, flat_counts, monthly_panel
 from mentiongrid.registry.interval_sql import with_interval
 from mentiongrid.registry.base import (
-    ARTICLES, FLAT_SQL, FULL_PLACES_SQL, FULL_TOPICS, FULL_TOPICS_SQL, HITS_SQL, PAIR_PLACE, PAIR_TOPIC, PANEL_SQL, PLACES, PLACES_SQL, TOPICS,
-    articles, dictionaries, full_places, place_terms, query, stored_flat, table, topic_terms,
+    ARTICLES, EVERYWHERE_SQL, EVERYWHERE_TOPICS, FLAT_SQL, FULL_PLACES_SQL, FULL_TOPICS, FULL_TOPICS_SQL, HITS_SQL, OPEN_PLACES_SQL, PAIR_PLACE, PAIR_TOPIC, PANEL_SQL, PLACES, PLACES_SQL, TOPICS,
+    articles, dictionaries, full_places, open_places, place_terms, query, stored_flat, table, topic_terms,
 )
 from mentiongrid.session import local_table, new_folder
 from mentiongrid.sources.sinks import write_csv
@@ -165,6 +165,24 @@ _PAIR_FLAGS = f"""{ARTICLES}, flags AS (
   FROM articles)"""
 
 
+@query(
+    "e07_full_proximity_everywhere",
+    f"""WITH {ARTICLES},
+{OPEN_PLACES_SQL},
+{EVERYWHERE_SQL},
+hits AS (SELECT article_id, article_text, year, month, place_id, regex FROM articles JOIN places ON regexp_matches(article_text, '(?i)' || regex)),
+topical AS (SELECT article_id, topic_id, topic_regex FROM articles JOIN topics ON regexp_matches(article_text, '(?i)' || topic_regex)),
+close AS (SELECT place_id, year, month, topic_id, COUNT(*) AS n_both FROM hits JOIN topical USING (article_id) WHERE regexp_matches(article_text, {_NEAR_40}) GROUP BY ALL),
+counted AS (SELECT place_id, year, month, COUNT(*) AS n_location FROM hits GROUP BY ALL)
+SELECT place_id, year, month, topic_id, n_location, COALESCE(n_both, 0) AS n_both
+FROM (SELECT * FROM counted, topics) LEFT JOIN close USING (place_id, year, month, topic_id)""",
+)
+def _e07_everywhere(spark, sf):
+    places = compile_terms([(name, regex, name) for name, regex, _, _ in open_places()], unicode_case=True)
+    topics = compile_terms([(label, regex, label) for label, regex in EVERYWHERE_TOPICS], unicode_case=True)
+    return mention_counts(articles(spark, sf), places, topics, max_chars=40, unicode_case=True)
+
+
 @query(
     "e08_pair_counts_by_month",
     f"""WITH {_PAIR_FLAGS} SELECT yr, mo, COUNT(*) AS n_total, COUNT(*) FILTER (WHERE disease) AS n_disease,
@@ -295,6 +313,26 @@ def _e16(spark, sf):
     return place_shares(articles(spark, sf), place_terms(), topic_terms()[2], max_chars=40, unicode_case=False)
 
 
+@query(
+    "e16_near_share_of_full_dictionary",
+    f"""WITH {ARTICLES},
+{FULL_PLACES_SQL},
+hits AS (SELECT article_id, article_text, year, month, cbscode, regex FROM articles JOIN places ON regexp_matches(article_text, '(?i)' || regex)),
+counted AS (SELECT year, month, cbscode, COUNT(*) AS n_total FROM hits GROUP BY ALL),
+close AS (SELECT year, month, cbscode, COUNT(*) AS n_both FROM hits WHERE regexp_matches(article_text, '(?i){_GAMMA}')
+  AND regexp_matches(article_text, {_near(f"'{_GAMMA}'", "regex", 40)}) GROUP BY ALL)
+SELECT year, month, cbscode, COALESCE(n_both, 0) AS n_both, COALESCE(n_total, 0) AS n_total,
+  CASE WHEN COALESCE(n_total, 0) = 0 THEN 0.0 ELSE CAST(COALESCE(n_both, 0) AS DOUBLE) / n_total END AS normalized_mentions
+FROM (SELECT DISTINCT year, month FROM articles) CROSS JOIN (SELECT cbscode FROM places)
+  LEFT JOIN counted USING (year, month, cbscode) LEFT JOIN close USING (year, month, cbscode)""",
+)
+def _e16_full(spark, sf):
+    places = full_dictionaries(spark).places
+    shares = place_shares(articles(spark, sf), places, topic_terms()[2], max_chars=40, unicode_case=False)
+    codes = terms_table(spark, places, "place_id", {"location": "string", "cbscode": "int", "amsterdamcode": "int"})
+    return shares.join(codes, "place_id").select("year", "month", "cbscode", "n_both", "n_total", "normalized_mentions")
+
+
 @query(
     "e17_counts_over_everything",
     f"WITH {_PAIR_FLAGS} SELECT COUNT(*) AS n_total, COUNT(*) FILTER (WHERE disease) AS n_disease, "

@@ -135,7 +135,7 @@ def test_null_text_and_empty_dictionary(spark):
     assert [r.ids for r in with_mentioned_ids(df, "text", [], "ids").collect()] == [[], []]
 
 
-@pytest.mark.parametrize("bad", ["", " ", "(", "*a", "[a", "(?i:a)b", r"(a)\1"])
+@pytest.mark.parametrize("bad", ["", " ", "(", "*a", "[a", "(?-i:a)b", r"(a)\1"])
 def test_bad_patterns(bad):
     with pytest.raises(PatternError):
         java_pattern(bad)
@@ -150,3 +150,17 @@ def test_validation_sets_bad_rows_apart(spark):
         compile_terms(rows)
     with pytest.raises(PatternError, match="POSIX"):
         java_pattern(r"[[:alpha:]]ver")
+
+
+def test_spellings_of_other_dialects(spark):
+    regexes = [r"(?<place>leiden)\b", r"(?i:Leiden)$", r"leiden\z", r"[(?<z]eiden", r"[]z]x", r"\\z", r"(?P<a>haag)"]
+    texts = ["te Leiden", "leiden te", "(eiden", "]x", "a\\z", "Haag", None]
+    hits = matched(spark, regexes, texts)
+    assert hits == {(0, 0), (0, 1), (0, 2), (1, 0), (2, 3), (3, 4), (4, 5), (5, 6)}
+
+
+def test_the_parser_still_has_the_shape_this_package_reads():
+    from re import _parser
+
+    kinds = [str(op) for op, _ in _parser.parse(r"a[b-c]\b(d|ef)g{2,3}.")]
+    assert kinds == ["LITERAL", "IN", "AT", "SUBPATTERN", "MAX_REPEAT", "ANY"]
