@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mentiongrid.operators.counting import in_years
 from mentiongrid.session import materialise
+from mentiongrid.sources.bucketed import join_stored
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -40,10 +41,20 @@ def combine(article_meta: DataFrame, article_texts: DataFrame, newspapers: DataF
     only form in which adaptive execution splits an issue or source that holds a large share of
     all articles.
     """
+    wanted = wanted_articles(article_meta, newspapers, start, end)
+    return wanted.join(one_per_key(article_texts, "article_id"), "article_id", "left")
+
+
+def wanted_articles(article_meta: DataFrame, newspapers: DataFrame, start: int, end: int) -> DataFrame:
+    """One row per article of the years [start, end): its ids and the metadata of its issue."""
     in_range = newspapers.filter(in_years("newspaper_date", start, end))
     issues = materialise(one_per_key(in_range, "newspaper_id"), "issues")
-    wanted = one_per_key(article_meta.join(issues, "newspaper_id"), "article_id")
-    return wanted.join(one_per_key(article_texts, "article_id"), "article_id", "left")
+    return one_per_key(article_meta.join(issues, "newspaper_id"), "article_id")
+
+
+def combine_stored(article_meta: DataFrame, stored_texts: DataFrame, newspapers: DataFrame, start: int, end: int) -> DataFrame:
+    """`combine` with texts that are stored in buckets of `article_id`, one row each: no text is shuffled or sorted."""
+    return join_stored(wanted_articles(article_meta, newspapers, start, end), stored_texts, "article_id")
 
 
 def partitioned(combined: DataFrame) -> DataFrame:

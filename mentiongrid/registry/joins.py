@@ -2,15 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from mentiongrid.operators.combine import combine, one_per_key, partitioned
+from mentiongrid.operators.combine import combine, combine_stored, one_per_key, partitioned
 from mentiongrid.operators.counting import pair_counts, place_counts
 from mentiongrid.operators.panel import complete_panel, mention_rates, panel_grid
 from mentiongrid.operators.reports import join_attributes, with_names
 from mentiongrid.session import local_table
 from mentiongrid.registry.base import (
     ARTICLES, FLAT_SQL, NAMES_SQL, PAIR_PLACE, PAIR_TOPIC, PANEL_SQL, PLACES_SQL, TOPICS,
-    articles, names, place_terms, query, stored_flat, table, topic_terms,
+    articles, names, place_terms, query, stored, stored_flat, table, topic_terms,
 )
+from mentiongrid.sources.bucketed import declare_bucketed, store_bucketed
 
 # Ids, texts and issues as three tables. Each article is listed a second time under an id
 # without text and an issue without description, so that no side of the joins is complete.
@@ -39,20 +40,34 @@ def _g01(spark, sf):
     return meta.join(texts, "article_id", "left").select("newspaper_id", "article_id", "article_title", "article_text")
 
 
-@query(
-    "g02_articles_with_issues",
-    f"""WITH {_SPLIT_SQL},
+_G02_SQL = f"""WITH {_SPLIT_SQL},
 m AS (SELECT DISTINCT ON (article_id) * FROM meta WHERE newspaper_id IN
   (SELECT newspaper_id FROM papers WHERE year(newspaper_date) >= 1831 AND year(newspaper_date) < 1837) ORDER BY article_id, newspaper_id, article_subject),
 t AS (SELECT DISTINCT ON (article_id) * FROM texts ORDER BY article_id, article_title, article_text)
 SELECT article_id, newspaper_id, article_subject, newspaper_date, article_title, article_text,
   CAST(year(newspaper_date) AS INTEGER) AS year
-FROM m JOIN papers USING (newspaper_id) LEFT JOIN t USING (article_id)""",
-)
+FROM m JOIN papers USING (newspaper_id) LEFT JOIN t USING (article_id)"""
+
+
+@query("g02_articles_with_issues", _G02_SQL)
 def _g02(spark, sf):
     return partitioned(combine(*_split(spark, sf), 1831, 1837))
 
 
+def stored_texts(spark, sf):
+    """The texts in buckets of article_id."""
+    schema = "article_id string, article_title string, article_text string"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = stored(spark, sf, f"texts-{buckets}", lambda path: store_bucketed(one_per_key(_split(spark, sf)[1], "article_id"), path, "article_id", buckets))
+    return declare_bucketed(spark, path, schema, "article_id", buckets)
+
+
+@query("g02_articles_with_stored_texts", _G02_SQL)
+def _g02_stored(spark, sf):
+    meta, _, papers = _split(spark, sf)
+    return partitioned(combine_stored(meta, stored_texts(spark, sf), papers, 1831, 1837))
+
+
 @query(
     "g03_skeleton_with_facts",
     """WITH facts AS (SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS year,

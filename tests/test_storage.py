@@ -11,6 +11,7 @@ from mentiongrid.operators.combine import one_per_key
 from mentiongrid.operators.dictionary import load_terms
 from mentiongrid.session import local_table, materialise, new_folder, scratch, shared_folder
 from mentiongrid.sources.nested_json import keyed_values, read_region_names
+from mentiongrid.sources.bucketed import declare_bucketed, join_stored, store_bucketed
 from mentiongrid.sources.sinks import append_csv, write_by_year, write_pending, write_sorted
 from mentiongrid.sources.tables import read_csv, read_folder, read_month_counts, read_years
 from mentiongrid.streaming.incremental import ingest_new_files
@@ -136,3 +137,34 @@ def test_scratch_folders_are_removed_and_results_kept(spark):
     assert sorted(r.id for r in result.collect()) == [1, 2, 3, 4, 5]
     with pytest.raises(Exception):
         inner.count()
+
+
+def _above(plan: str, wanted: str) -> list[str]:
+    """The operators above every scan that reads a column."""
+    path, found = [], []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        path = [(d, text) for d, text in path if d < depth] + [(depth, line.lstrip(" :+-"))]
+        if "FileScan" in line and wanted in line:
+            found += [text for _, text in path[:-1]]
+    return found
+
+
+def test_stored_texts_are_neither_moved_nor_sorted(spark, tmp_path):
+    texts = spark.range(2000).selectExpr("concat('a', id) AS article_id", "'t' AS article_title", "repeat('x', 50) AS article_text")
+    path, buckets = f"file://{tmp_path}/texts", 8
+    store_bucketed(texts, path, "article_id", buckets)
+    stored = declare_bucketed(spark, path, "article_id string, article_title string, article_text string", "article_id", buckets)
+    wanted = spark.range(1000, 3000).selectExpr("concat('a', id) AS article_id", "id AS n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_stored(wanted, stored, "article_id")
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(rows) == 2000 and sum(r.article_text is None for r in rows) == 1000
+    above = _above(plan, "article_text")
+    assert above and not any(line.split(" ", 1)[-1].startswith(("Exchange", "Sort", "SortMergeJoin")) or "Exchange" in line for line in above)
+    assert any("ShuffledHashJoin" in line for line in above)
