@@ -6,7 +6,8 @@ from mentiongrid.operators.combine import combine, combine_stored, one_per_key,
 from mentiongrid.operators.counting import pair_counts, place_counts
 from mentiongrid.operators.panel import complete_panel, mention_rates, panel_grid
 from mentiongrid.operators.reports import join_attributes, with_names
-from mentiongrid.session import local_table
+from mentiongrid.plans.harvest import combine_harvest
+from mentiongrid.session import local_table, new_folder
 from mentiongrid.registry.base import (
     ARTICLES, FLAT_SQL, NAMES_SQL, PAIR_PLACE, PAIR_TOPIC, PANEL_SQL, PLACES_SQL, TOPICS,
     articles, names, place_terms, query, stored, stored_flat, table, topic_terms,
@@ -68,6 +69,28 @@ def _g02_stored(spark, sf):
     return partitioned(combine_stored(meta, stored_texts(spark, sf), papers, 1831, 1837))
 
 
+@query(
+    "g02_harvested_years",
+    f"""WITH {_SPLIT_SQL}
+SELECT article_id, newspaper_id, article_subject, newspaper_date, article_title, article_text, CAST(year(newspaper_date) AS INTEGER) AS year, CAST(NULL AS VARCHAR) AS newspaper_language
+FROM meta JOIN papers USING (newspaper_id) LEFT JOIN texts USING (article_id)
+WHERE year(newspaper_date) BETWEEN 1831 AND 1837 AND year(newspaper_date) NOT IN (1833, 1835)""",
+)
+def _g02_harvest(spark, sf):
+    rows = articles(spark, sf)
+    texts, meta, papers, out = (new_folder(spark, n) for n in ("texts", "meta", "papers", "harvest"))
+    issue = F.concat("newspaper_id", F.lit("-"), "year").alias("newspaper_id")
+    dated = rows.groupBy(issue, "year").agg(F.min("newspaper_date").alias("newspaper_date"))
+    rows.select("article_id", F.col("lang").alias("article_title"), "article_text", "year").write.partitionBy("year").parquet(texts)
+    rows.select(issue, "article_id", F.col("lang").alias("article_subject"), "year").write.partitionBy("year").parquet(meta)
+    # Two years lack an input; a second run has nothing left to do.
+    dated.filter("year NOT IN (1833, 1835)").write.partitionBy("year").parquet(papers)
+    first_era = local_table(spark, [], {"article_id": "string", "newspaper_language": "string"})
+    for _ in range(2):
+        combine_harvest(spark, texts, meta, papers, out, 1831, 1838, first_era)
+    return spark.read.parquet(out)
+
+
 @query(
     "g03_skeleton_with_facts",
     """WITH facts AS (SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS year,

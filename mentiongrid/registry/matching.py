@@ -10,7 +10,8 @@ from mentiongrid.operators.counting import (
 from mentiongrid.operators.dictionary import compile_terms, load_terms, terms_table
 from mentiongrid.operators.matching import match_terms, mention, with_folded, with_mentioned_ids
 from mentiongrid.operators.panel import complete_panel, duplicate_keys, mention_rates, yearly
-from mentiongrid.plans.build_database import Dictionaries, flat_counts, monthly_panel
+from mentiongrid.plans import ad_hoc
+from mentiongrid.plans.build_database import Dictionaries, build, flat_counts, monthly_panel
 from mentiongrid.registry.interval_sql import with_interval
 from mentiongrid.registry.base import (
     ARTICLES, EVERYWHERE_SQL, EVERYWHERE_TOPICS, FLAT_SQL, FULL_PLACES_SQL, FULL_TOPICS, FULL_TOPICS_SQL, HITS_SQL, OPEN_PLACES_SQL, PAIR_PLACE, PAIR_TOPIC, PANEL_SQL, PLACES, PLACES_SQL, TOPICS,
@@ -364,3 +365,60 @@ def _g08_array(spark, sf):
     rows = articles(spark, sf).select("article_id", "newspaper_id", "article_text")
     ids = with_mentioned_ids(rows, "article_text", place_terms(), "terms")
     return ids.select("article_id", "newspaper_id", F.size("terms").cast("bigint").alias("n_terms"))
+
+
+# --- plans --------------------------------------------------------------------
+
+_OPEN = [(name, regex.replace("\\b", "").replace("\\w*", ""), cbs, ams) for name, regex, cbs, ams in PLACES]
+_OPEN_SQL = "places(location, regex, cbscode, amsterdamcode) AS (VALUES " + ", ".join(f"('{n}', '{r}', {c}, {a})" for n, r, c, a in _OPEN) + ")"
+
+
+def _open_terms():
+    return compile_terms([(name, regex, name, cbs, ams) for name, regex, cbs, ams in _OPEN], unicode_case=True)
+
+
+def _plain(spark, sf):
+    return articles(spark, sf).select("article_text", "newspaper_date")
+
+
+@query(
+    "e10_plan_over_space",
+    with_interval(
+        f"""WITH {ARTICLES}, {_OPEN_SQL} SELECT year, month, location, cbscode, amsterdamcode, COUNT(*) AS n_location,
+  COUNT(*) FILTER (WHERE regexp_matches(article_text, '(?i){PAIR_TOPIC}')) AS n_both
+FROM articles JOIN places ON regexp_matches(article_text, '(?i)' || regex) WHERE year = 1834 GROUP BY ALL""",
+        "base.*", "reference",
+    ),
+)
+def _plan_space(spark, sf):
+    rows = ad_hoc.over_space(_plain(spark, sf), _open_terms(), PAIR_TOPIC, 1834)
+    return rows.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
+
+
+@query("e11_plan_over_time", with_interval(_TIME_SQL, "base.*", "reference"))
+def _plan_time(spark, sf):
+    rows = ad_hoc.over_time(_plain(spark, sf), PAIR_TOPIC, PAIR_PLACE, 1830, 1840)
+    return rows.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
+
+
+@query(
+    "e12_plan_year_map",
+    f"""WITH {ARTICLES}, {_OPEN_SQL}, y AS (SELECT * FROM articles WHERE year = 1834),
+counted AS (SELECT location, COUNT(*) AS n_location, COUNT(*) FILTER (WHERE regexp_matches(article_text, '(?i){PAIR_TOPIC}')) AS n_both
+  FROM y JOIN places ON regexp_matches(article_text, '(?i)' || regex) GROUP BY location)
+SELECT location, cbscode, amsterdamcode, CAST(1834 AS INTEGER) AS year, COALESCE(n_location, 0) AS n_location, COALESCE(n_both, 0) AS n_both,
+  (SELECT COUNT(*) FROM y WHERE regexp_matches(article_text, '(?i){PAIR_TOPIC}')) AS n_disease
+FROM places LEFT JOIN counted USING (location)""",
+)
+def _plan_map(spark, sf):
+    return ad_hoc.year_map(_plain(spark, sf), _open_terms(), PAIR_TOPIC, 1834)
+
+
+@query(
+    "e05_plan_database_build",
+    f"WITH {PANEL_SQL} {YEARLY_SQL}",
+)
+def _plan_build(spark, sf):
+    out = new_folder(spark, "database")
+    build(spark, _plain(spark, sf), dictionaries(), out)
+    return spark.read.parquet(f"{out}/database_yearly")
