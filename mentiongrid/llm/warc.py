@@ -7,8 +7,8 @@ r"""A content-addressed WARC archive.
 Of the pages with equal payloads of at least `shortest` bytes the one with the smallest page_id becomes a
 `response`, the others are `revisit` records that refer to it; shorter payloads are stored with
 every digest once as well, but all their records are responses. `read_archive` parses the
-header blocks, checks each payload against its digest and joins both; `record_bytes` gives back the
-original records, header block, payload and trailer.
+header blocks, checks each payload against its digest, joins both and checks that the header block is whole and states the
+length that the record has; `record_bytes` gives back the original records, header block, payload and trailer.
 
 Who is a response is decided on narrow rows. Payloads are grouped by digest with partial aggregation, so one
 that a third of the pages share leaves each task once, and none moves in reading unless it is asked for.
@@ -33,6 +33,9 @@ VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_ID = "<urn:x-page:"
 LINE_END = "\r\n"
+TRAILER = b"\r\n\r\n"
+#: The version, lines of fields, and the empty line that ends them.
+WHOLE_HEADER = r"\AWARC/1\.1\r\n(?:[A-Za-z-]+: [^\r\n]*\r\n)+\r\n\z"
 
 
 def pages_to_records(pages: DataFrame) -> DataFrame:
@@ -123,6 +126,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         field("WARC-Type").alias("record_type"),
         page("WARC-Refers-To").alias("refers_to"),
         F.regexp_extract(field("WARC-Payload-Digest"), r"^sha256:([0-9a-f]{64})$", 1).alias("digest"),
+        field("Content-Length").try_cast("long").alias("content_length"),
+        F.col("lines").rlike(WHOLE_HEADER).alias("whole_header"),
     )
     payloads = spark.read.parquet(f"{path}/payloads").select(
         F.col("digest"),
@@ -130,13 +135,17 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         F.sha2("payload", 256).alias("payload_digest"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
     )
-    return records.join(payloads, "digest", "left").withColumn("verified", F.coalesce(F.col("digest") == F.col("payload_digest"), F.lit(False)))
+    # A record is as long as its header says: a response holds its payload, a revisit nothing.
+    length = F.when(F.col("record_type") == "revisit", F.lit(0)).when(F.col("record_type") == "response", F.col("payload_bytes"))
+    right = F.col("whole_header") & (F.col("digest") == F.col("payload_digest")) & (F.col("content_length") == length)
+    checked = records.join(payloads, "digest", "left").withColumn("verified", F.coalesce(right, F.lit(False)))
+    return checked.withColumn("record_bytes", F.octet_length("header") + F.col("content_length") + len(TRAILER)).drop("whole_header")
 
 
 def record_bytes(records: DataFrame) -> DataFrame:
     """Adds `record`: the original bytes of each record of `read_archive`."""
     body = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
-    return records.withColumn("record", F.concat("header", body, F.lit(b"\r\n\r\n")))
+    return records.withColumn("record", F.concat("header", body, F.lit(TRAILER)))
 
 
 def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import time
 
 import corpus_pipeline
-from mentiongrid.llm import decontam, quality, secrets, urlfilter
+from pyspark.sql import functions as F
+from mentiongrid.llm import decontam, quality, secrets, urlfilter, warc
 
 from test_operators import lines
 
@@ -62,3 +63,21 @@ def test_phrases_count_in_short_lines_only(spark):
     assert got[1]["n_bad_lines"] == 0
     assert got[2]["kept"] and got[2]["n_bad_lines"] == 1 and "Powered" not in got[2]["clean_text"]
     assert got[3]["n_bad_lines"] == 1 and "Imprint" not in got[3]["clean_text"]
+
+
+def test_damaged_headers_are_found(spark, tmp_path):
+    rows = [(i, f"http://a.example/{i}", "x" * (50 + 60 * (i % 2)) + str(i // 4)) for i in range(8)]
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "a"))
+    whole = warc.record_bytes(warc.read_archive(spark, str(tmp_path / "a"))).collect()
+    assert all(r["verified"] and len(r["record"]) == r["record_bytes"] for r in whole)
+    headers = spark.read.parquet(str(tmp_path / "a" / "headers"))
+    text = F.decode("header", "UTF-8")
+    damages = [
+        F.substring(text, 1, 150), F.substr(text, F.lit(1), F.length(text) - 2), F.regexp_replace(text, "Content-Length: ", "Content-Length: 1"),
+        F.regexp_replace(text, r"Content-Length: [^\r]*\r\n", ""), F.regexp_replace(text, "WARC-Type: [a-z]*", "WARC-Type: other"),
+    ]
+    for k, damage in enumerate(damages):
+        path = str(tmp_path / f"b{k}")
+        headers.withColumn("header", F.encode(damage, "UTF-8")).write.parquet(f"{path}/headers")
+        spark.read.parquet(str(tmp_path / "a" / "payloads")).write.parquet(f"{path}/payloads")
+        assert not any(r["verified"] for r in warc.read_archive(spark, path).collect()), k
