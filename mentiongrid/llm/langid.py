@@ -17,10 +17,12 @@ rows get equal predictions. Ties of the loss go to the language first in code-po
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -126,12 +128,24 @@ def fit(
             yield (None if x is None else x.astype(np.float16).tobytes(),)
 
     got = annotate(_sample(labelled, per_language, total), ["lang", "doc_id"], ["text"], work, "x binary")
-    rows = got.where("x is not null").select("row.lang", "row.doc_id", "x").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
+    rows = got.where("x is not null").select(F.lit(0).alias("one"), "row.lang", "row.doc_id", "x")
+    # The sample is bounded, so one task learns from it, and only the model comes to the driver.
+    learnt = rows.groupBy("one").applyInArrow(lambda t: pa.table({"model": [pickle.dumps(_learn(t, buckets, rounds, penalty))]}), "model binary")
+    found = learnt.collect()
+    return pickle.loads(found[0]["model"]) if found else _without_bits([], buckets)
+
+
+def _without_bits(languages: list[str], buckets: int) -> LanguageModel:
+    empty = np.zeros((len(languages), 0))
+    return LanguageModel(languages, empty, np.zeros((buckets, 0)), np.zeros(0), empty, 0)
+
+
+def _learn(rows: pa.Table, buckets: int, rounds: int, penalty: float) -> LanguageModel:
+    rows = rows.sort_by([("doc_id", "ascending"), ("lang", "ascending")])
     languages = sorted(set(rows.column("lang").to_pylist()))
     codes = codewords(len(languages))
     if codes.shape[1] == 0:
-        empty = np.zeros((len(languages), 0))
-        return LanguageModel(languages, empty, np.zeros((buckets, 0)), np.zeros(0), empty, 0)
+        return _without_bits(languages, buckets)
     x = np.stack([np.frombuffer(b, np.float16) for b in rows.column("x").to_pylist()]).astype(np.float32)
     index = {name: i for i, name in enumerate(languages)}
     y = np.array([index[v] for v in rows.column("lang").to_pylist()])

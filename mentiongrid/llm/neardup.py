@@ -329,23 +329,26 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     if labels is not None:
         known_a, known_b = (labels.withColumnsRenamed({"node": s, "root": f"r{s}"}) for s in "ab")
         mapped = both.join(known_a, "a", "left").join(known_b, "b", "left")
-        edges = mapped.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-        edges = materialise(edges.where("a != b").distinct(), "links")
+        ends = mapped.select(F.coalesce("ra", "a").alias("x"), F.coalesce("rb", "b").alias("y"))
+        edges = ends.where("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
         fresh = both.select(F.col("a").alias("node")).distinct().join(labels, "node", "left_anti")
-        labels = materialise(labels.unionByName(fresh.withColumn("root", F.col("node"))), "labels")
+        known = labels.unionByName(fresh.withColumn("root", F.col("node")))
     else:
-        edges = materialise(both.distinct(), "links")
-        labels = materialise(edges.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node")), "labels")
+        edges = both.distinct()
+        known = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("root", F.col("node"))
+    edges = materialise(edges, "links")
+    jumps: list[DataFrame] = []
     while not edges.isEmpty():
-        hook = materialise(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("to")), "hooks")
+        hook = edges.groupBy("a").agg(F.least("a", F.min("b")).alias("to"))
         onward = hook.select(F.col("a").alias("to"), F.col("to").alias("next"))
-        jump = materialise(hook.join(onward, "to").select("a", F.col("next").alias("to")), "hooks")
-        labels = materialise(
-            labels.join(jump.withColumnsRenamed({"a": "root"}), "root", "left").select("node", F.coalesce("to", "root").alias("root")), "labels"
-        )
+        jump = materialise(hook.join(onward, "to").select("a", F.col("next").alias("to")), "jumps")
         moved = edges.join(jump, "a").select(F.col("to").alias("a"), "b").join(jump.withColumnsRenamed({"a": "b", "to": "tb"}), "b")
         edges = materialise(moved.select("a", F.col("tb").alias("b")).where("a != b").distinct(), "links")
-    return labels
+        jumps.append(jump)
+    # Where every node has gone is told once, by all jumps in turn; a table more of them for each doubling of a chain.
+    for jump in jumps:
+        known = known.join(jump.withColumnsRenamed({"a": "root"}), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return materialise(known, "labels")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
