@@ -52,11 +52,10 @@ def match_terms(df: DataFrame, terms: list[Term], text: str, unicode_case: bool
 def with_mentioned_ids(df: DataFrame, text: str, terms: list[Term], out: str, unicode_case: bool = False) -> DataFrame:
     """Add the ascending array of the ids of all mentioned terms; a NULL text mentions none.
 
-    The rows wait with their texts for their terms, so drop the text first where it is not needed.
+    Rows find their terms by the digest of the text; where the text is dropped afterwards it is not moved for this.
     """
     index = TermIndex.of(terms, unicode_case=unicode_case)
     found = mentions(df.select(text), index, text).select("text_key", index.ids("terms", 0).alias("_found"))
     keyed = df.withColumn("_text_key", text_key(text))
     joined = keyed.join(found, F.col("_text_key") == F.col("text_key"), "left")
-    ids = F.when(F.col(text).isNull(), F.array().cast("array<int>")).otherwise(F.coalesce("_found", F.array().cast("array<int>")))
-    return joined.withColumn(out, ids).drop("_text_key", "text_key", "_found")
+    return joined.withColumn(out, F.coalesce("_found", F.array().cast("array<int>"))).drop("_text_key", "text_key", "_found")
