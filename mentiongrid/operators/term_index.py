@@ -157,7 +157,9 @@ def tested(texts: DataFrame, index: TermIndex, text: str, max_chars: int = 0) ->
     wanted = [t for t, (_, asked) in index.entries().items() if asked or max_chars]
     split, tokens = _split(texts.where(F.col(text).isNotNull()), index, text, text)
     words = F.split(F.lit("\n".join(wanted)), "\n")
-    here = split.select("text_key", text, F.array_intersect(words, tokens).alias("tokens")).where(F.size("tokens") > 0)
+    found = split.select("text_key", text, F.array_intersect(words, tokens).alias("tokens"))
+    # Texts that ask for nothing stay behind. A filter would be pushed below the units and compute them again for each use.
+    here = found.select("text_key", F.when(F.size("tokens") > 0, F.col(text)).alias(text), "tokens")
     schema = "text_key binary, found array<int>, near array<struct<first: int, second: int>>"
     return here.mapInArrow(_test(index, max_chars), schema).distinct()
 
@@ -194,6 +196,8 @@ def _test(index: TermIndex, max_chars: int):
         for batch in batches:
             rows = []
             for key, text, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not tokens:
+                    continue
                 sure = {n for t in tokens for n in entries[t][0]}
                 found = sorted(n for n in {n for t in tokens for n in entries[t][1]} - sure if patterns[n].search(text))
                 near = patterns.close_pairs(text, sorted({*sure, *found}), size) if max_chars else []
