@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mentiongrid.functions.patterns import ALWAYS, fold_case
 from mentiongrid.operators.dictionary import Term
-from mentiongrid.operators.term_index import TermIndex, mentions, text_key
+from mentiongrid.operators.term_index import TermIndex, mentions
 from mentiongrid.session import local_table
 
 _FOLDED = "_folded"
@@ -42,20 +42,16 @@ def with_folded(df: DataFrame, text: str, unicode_case: bool = False) -> DataFra
 
 def match_terms(df: DataFrame, terms: list[Term], text: str, unicode_case: bool = False) -> DataFrame:
     """One row per (article, mentioned term): the columns of `df` without the text, `term_id` and `term_body`."""
-    found = with_mentioned_ids(df, text, terms, "_ids", unicode_case).drop(text)
-    rows = found.withColumn("term_id", F.explode("_ids")).drop("_ids")
-    bodies = local_table(df.sparkSession, [(t.id, t.body) for t in terms], {"term_id": "int", "term_body": "string"})
     columns = [c for c in df.columns if c != text]
+    index = TermIndex.of(terms, unicode_case=unicode_case)
+    rows = mentions(df, index, text, columns).withColumn("term_id", F.explode(index.ids("_terms", 0)))
+    bodies = local_table(df.sparkSession, [(t.id, t.body) for t in terms], {"term_id": "int", "term_body": "string"})
     return rows.join(bodies, "term_id").select(*(F.col(f"`{c}`") for c in columns), "term_id", "term_body")
 
 
 def with_mentioned_ids(df: DataFrame, text: str, terms: list[Term], out: str, unicode_case: bool = False) -> DataFrame:
-    """Add the ascending array of the ids of all mentioned terms; a NULL text mentions none.
-
-    Rows find their terms by the digest of the text; where the text is dropped afterwards it is not moved for this.
-    """
+    """Add the ascending array of the ids of all mentioned terms; a NULL text mentions none."""
     index = TermIndex.of(terms, unicode_case=unicode_case)
-    found = mentions(df.select(text), index, text).select("text_key", index.ids("terms", 0).alias("_found"))
-    keyed = df.withColumn("_text_key", text_key(text))
-    joined = keyed.join(found, F.col("_text_key") == F.col("text_key"), "left")
-    return joined.withColumn(out, F.coalesce("_found", F.array().cast("array<int>"))).drop("_text_key", "text_key", "_found")
+    kept = [c for c in df.columns if c != out]
+    found = mentions(df, index, text, kept).withColumn(out, index.ids("_terms", 0))
+    return found.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*df.columns, out])))
