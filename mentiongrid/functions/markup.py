@@ -1,6 +1,6 @@
 """Titles, paragraphs and issue metadata from XML and web markup.
 
-XML is parsed in Arrow-batched Python helpers: one malformed document must become one row
+XML is parsed in Arrow-batched Python helpers, a few documents at a time: one malformed document must become one row
 with `parse_error`, while Spark's own XPath functions would fail the job, and `from_xml` gives an element with
 nested markup as its source, in which escaped characters can no longer be told from tags.
 """
@@ -8,14 +8,16 @@ nested markup as its source, in which escaped characters can no longer be told f
 from __future__ import annotations
 
 import xml.etree.ElementTree as ET
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mentiongrid.fixed_values import NAMESPACES
 from mentiongrid.functions.ids import article_id_from_file, is_page_item, repair_namespace
+from mentiongrid.session import bounded_batches
 
 # Issue metadata field -> element, and whether it is looked up inside the
 # issue's metadata component or in the whole document.
@@ -45,15 +47,36 @@ _ISSUE_TYPE = T.StructType([
     T.StructField("items", T.ArrayType(T.StructType(_strings("article_id", "article_subject")))),
     *_strings("parse_error"),
 ])
+#: Documents parsed before their rows are handed on.
+_ROWS = 200
 
 
-@F.pandas_udf(_ARTICLE_TYPE)
-def parse_article(content: pd.Series) -> pd.DataFrame:
-    """First title and blank-joined paragraphs of article XML, at any depth, each with all its nested text."""
-    return pd.DataFrame([_article(c) for c in content], columns=["title", "text", "parse_error"])
+def _parsed(rows: DataFrame, parse: Callable[[str | None], tuple], kind: T.StructType) -> DataFrame:
+    """The rows with what `parse` finds in their last column, the content, in place of it."""
+    kept_names = rows.columns[:-1]
+    schema = pa.schema([(f.name, _arrow_type(f.dataType)) for f in kind])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(start, _ROWS)
+                *kept, contents = part.columns
+                found = zip(*(parse(c.as_py()) for c in contents), strict=True)
+                arrays = [pa.array(values, f.type) for values, f in zip(found, schema, strict=True)]
+                yield pa.RecordBatch.from_arrays([*kept, *arrays], [*kept_names, *schema.names])
+
+    bounded_batches(rows.sparkSession)
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], *kind.fields]))
+
+
+def _arrow_type(kind: T.DataType) -> pa.DataType:
+    if isinstance(kind, T.ArrayType):
+        return pa.list_(_arrow_type(kind.elementType))
+    return pa.struct([(f.name, _arrow_type(f.dataType)) for f in kind]) if isinstance(kind, T.StructType) else pa.string()
 
 
 def _article(content):
+    """First title and blank-joined paragraphs of article XML, at any depth, each with all its nested text."""
     try:
         root = ET.fromstring(content)
         title = root.find(".//title")
@@ -65,13 +88,6 @@ def _article(content):
         return None, None, f"{type(exc).__name__}: {exc}"
 
 
-@F.pandas_udf(_ISSUE_TYPE)
-def parse_issue(content: pd.Series) -> pd.DataFrame:
-    """Metadata fields and listed items of an issue description."""
-    columns = ["newspaper_id", *(name for name, _, _ in ISSUE_FIELDS), "items", "parse_error"]
-    return pd.DataFrame([_issue(c) for c in content], columns=columns)
-
-
 def _identifier(node):
     return node.get(f"{{{NAMESPACES['dc']}}}identifier") or ""
 
@@ -82,6 +98,7 @@ def _text(node, path):
 
 
 def _issue(content):
+    """Metadata fields and listed items of an issue description."""
     try:
         root = ET.fromstring(content)
         issue_tag = f"{{{NAMESPACES['didl']}}}DIDL"
@@ -106,15 +123,17 @@ def _issue(content):
 def article_texts(members: DataFrame, *keep: str) -> DataFrame:
     """(article_id, article_title, article_text, parse_error, *keep) from (member, content) rows."""
     article_id = article_id_from_file(F.col("member")).alias("article_id")
-    parsed = members.select(article_id, parse_article("content").alias("a"), *keep)
+    rows = members.select(article_id, *keep, F.col("content").alias("_content"))
+    parsed = _parsed(rows, _article, _ARTICLE_TYPE)
     return parsed.select(
-        "article_id", F.col("a.title").alias("article_title"), F.col("a.text").alias("article_text"), "a.parse_error", *keep
+        "article_id", F.col("title").alias("article_title"), F.col("text").alias("article_text"), "parse_error", *keep
     )
 
 
 def parsed_issues(members: DataFrame, *keep: str) -> DataFrame:
     """Parsed issue descriptions; both tables below read this one result."""
-    return members.select(parse_issue(repair_namespace(F.col("content"))).alias("issue"), *keep).select("issue.*", *keep)
+    rows = members.select(*keep, repair_namespace(F.col("content")).alias("_content"))
+    return _parsed(rows, _issue, _ISSUE_TYPE).select(*_ISSUE_TYPE.names, *keep)
 
 
 def newspaper_meta(issues: DataFrame, *keep: str) -> DataFrame:

@@ -35,11 +35,12 @@ def _pack(batches):
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
             archive.writestr("readme.txt", "not an article")
-            for row in batch.to_pylist():
-                archive.writestr(row["member"], row["content"])
+            # Row by row: the batch must not stand in memory as Python values too.
+            for member, content in zip(batch["member"], batch["content"], strict=True):
+                archive.writestr(member.as_py(), content.as_py())
         first = batch.column("member")[0].as_py()
         path = f"archive_{zlib.crc32(first.encode())}.zip"
-        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([buffer.getvalue()], pa.binary())], ["path", "content"])
+        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([buffer.getbuffer()], pa.binary())], ["path", "content"])
 
 
 def article_archives(spark: SparkSession, sf: str) -> DataFrame:

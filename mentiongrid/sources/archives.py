@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from mentiongrid.fixed_values import ZIP_PERIODS
 from mentiongrid.functions.ids import file_name
+from mentiongrid.session import bounded_batches
 from mentiongrid.sources.zip_source import PART_BYTES, ZipMembers
 
 _BATCH_BYTES = 8 * 2**20
@@ -57,6 +58,7 @@ def zip_members(archives: DataFrame, suffix: str) -> DataFrame:
                 with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
                     yield from _members(path.as_py(), archive, suffix)
 
+    bounded_batches(archives.sparkSession)
     return archives.select("path", "content").mapInArrow(members, _MEMBERS)
 
 

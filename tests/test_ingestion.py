@@ -226,3 +226,16 @@ def test_a_hot_issue_is_split_over_tasks(spark):
     finally:
         for key, value in old.items():
             spark.conf.set(key, value)
+
+
+def test_documents_are_parsed_a_few_at_a_time(spark):
+    members = spark.range(1000).selectExpr(
+        "concat('x/A_', id, '_0001_articletext.xml') as member", "id % 7 as part",
+        "if(id % 97 = 0, '<text><title>t', concat('<text><title>t', id, '</title><p>a</p><p>b', id, '</p></text>')) as content",
+    ).coalesce(1)
+    texts = article_texts(members, "part")
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "MapInArrow" in plan
+    rows = texts.collect()
+    assert len(rows) == 1000 and sum(r.parse_error is not None for r in rows) == 11
+    assert {(r.article_title, r.article_text) for r in rows if r.parse_error is None and r.part == 3} == {(f"t{i}", f"a b{i}") for i in range(3, 1000, 7) if i % 97}
