@@ -77,18 +77,21 @@ class _Codes(dict):
 
 
 def _code(word: str) -> int:
-    core = word.strip(_EDGES)
-    if not core and word not in UNITS:
+    bare = word.strip(_EDGES)
+    if not bare and word not in UNITS:
         return 0  # punctuation alone
-    core = (core or word).lower()
-    flags = _ENDS if word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":") else 0
-    if m := _NUMBER.match(word.lstrip(_QUOTES)):
+    core = (bare or word).lower()
+    flags = _ENDS if not word[-1].isalnum() and word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":") else 0
+    # Edges are no digits: what is all letters between them is no number.
+    if not bare.isalpha() and (m := _NUMBER.match(word.lstrip(_QUOTES))):
         rest = m.string[m.end() :].strip(_EDGES).lower()
         with_unit = rest in UNITS or "%" in m.string[m.end() :]
         if not rest or with_unit:
             return _hashed(core) | flags | _IS_NUMBER | (_WITH_UNIT if with_unit else 0)
-    flags |= _IS_UNIT if core in UNITS else 0
-    flags |= _CAPITAL if core != word.strip(_EDGES) and word.strip(_EDGES)[:1].isupper() else 0
+    if core in UNITS:
+        flags |= _IS_UNIT
+    if core != bare and bare[:1].isupper():
+        flags |= _CAPITAL
     return _hashed(core) | flags
 
 
@@ -96,11 +99,20 @@ def _hashed(core: str) -> int:
     return (xxhash.xxh64_intdigest(core.encode("utf-8", "surrogatepass")) >> (_SHIFT + 1) << _SHIFT) | (1 << 63)
 
 
+# What `str.split` takes for blanks besides the six ASCII ones.
+_OTHER_BLANKS = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def _words(text: str) -> list[str]:
+    """Runs of anything but the six ASCII blanks."""
+    return re.findall(r"[^\x20\x09-\x0D]+", text) if _OTHER_BLANKS.search(text) else text.split()
+
+
 class Template:
     """The tokens of a text: words, literal hashes, kinds of placeholders (0 for a word), and hashes of windows."""
 
     def __init__(self, text: str, codes: dict[str, int]):
-        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        words = _words(text)
         code = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
         if not code.all():
             words = [w for w, c in zip(words, code.tolist(), strict=True) if c]
@@ -221,7 +233,8 @@ def _document_rows(t: Template, short: list[int], whole: list[int], bits: np.nda
     if len(forms) > 1:
         found.append((TEMPLATES, 0, True, *t.openings()))
     for track, form, opening, starts, ends, keys in found:
-        for i in np.flatnonzero(bits[_bit(keys, len(bits))]).tolist():
+        kept = np.flatnonzero(bits[_bit(keys, len(bits))])
+        for i in kept[bits[_bit(keys[kept], len(bits), _SECOND)]].tolist():
             s, e = int(starts[i]), int(ends[i])
             yield track, e - s, s, int(keys[i]), [] if track == LITERALS else t.slots(s, e, form, opening)
 
@@ -256,17 +269,22 @@ def _batch(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
-def _bit(keys: np.ndarray, size: int) -> np.ndarray:
-    return ((keys.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
+# Two odd factors, as every hash has two flags.
+_FIRST, _SECOND = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9FB21C651E98DF25)
+
+
+def _bit(keys: np.ndarray, size: int, factor: np.uint64 = _FIRST) -> np.ndarray:
+    return ((keys.view(np.uint64) * factor) >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
 
 
 def _bit_map(hashes: DataFrame, log_bits: int) -> np.ndarray:
-    """One flag for each value of the leading bits of the mixed hashes; words of 32 flags come to the driver."""
+    """Flags at the places that the leading bits of two mixtures of the hashes name; words of 32 flags come to the driver."""
     size = 1 << log_bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = _bit(batch.column(0).to_numpy(), size)
+            hashes = batch.column(0).to_numpy()
+            place = np.concatenate([_bit(hashes, size), _bit(hashes, size, _SECOND)])
             yield pa.RecordBatch.from_arrays([pa.array(place >> 5), pa.array(np.int64(1) << (place & 31))], ["word", "flags"])
 
     words = hashes.select("hash").mapInArrow(run, "word long, flags long").groupBy("word").agg(F.bit_or("flags").alias("flags")).toArrow()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -222,3 +223,28 @@ def test_stripes_merge_totals():
     stripes.merge([b"a b ", b"a b c ", b"a c "], [2, 3, 5])
     stripes.merge([b"a b d ", b"a b c d "], [1, 4])
     assert stripes.totals() == {b"a b ": 10, b"a b c ": 7, b"a b d ": 1, b"a b c d ": 4, b"a c ": 5}
+
+
+def test_words_of_decontamination_are_cut_and_coded_as_defined():
+    from mentiongrid.llm import decontam
+
+    rng = random.Random(5)
+    for _ in range(3000):
+        text = "".join(rng.choice("ab.7\x1d\x85\xa0  \t\n\x0b\x0c\r") for _ in range(rng.randint(0, 12)))
+        assert decontam._words(text) == re.findall(r"[^\x20\x09-\x0D]+", text)
+    code = decontam._code
+    assert code("...") == 0 and code("%") & decontam._IS_UNIT and code("Berlin") & decontam._CAPITAL and not code("berlin,") & decontam._CAPITAL
+    assert code("12") & decontam._IS_NUMBER and code("(5%") & decontam._WITH_UNIT and code('end."') & decontam._ENDS and code("km,") & decontam._IS_UNIT
+    assert code("Word,") >> decontam._SHIFT == code("word") >> decontam._SHIFT
+
+
+def test_a_hash_outside_the_benchmark_rarely_passes_both_flags():
+    from mentiongrid.llm import decontam
+
+    rng = np.random.default_rng(3)
+    known, others = (rng.integers(-(1 << 63), 1 << 63, n, np.int64) for n in (15_000, 1_000_000))
+    bits = np.zeros(1 << 22, bool)
+    for factor in (decontam._FIRST, decontam._SECOND):
+        bits[decontam._bit(known, len(bits), factor)] = True
+    passed = [(bits[decontam._bit(keys, len(bits))] & bits[decontam._bit(keys, len(bits), decontam._SECOND)]) for keys in (known, others)]
+    assert passed[0].all() and passed[1].sum() < 300
